@@ -7,9 +7,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# `trim` only strips spaces; the validation rules strip every kind of
-# whitespace (tabs, newlines, ...), so they use a regex.
-_OUTER_WS = r"^\s+|\s+$"
+# `trim` only strips spaces; the validation rules strip every character
+# Python's str.strip() treats as whitespace.
+# FIXED VALUES: the whitespace set of str.isspace().
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003"
+              "\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def col_of(c: str | Column) -> Column:
@@ -18,7 +20,7 @@ def col_of(c: str | Column) -> Column:
 
 def strip_ws(c: str | Column) -> Column:
     """Remove leading and trailing whitespace of any kind."""
-    return F.regexp_replace(col_of(c), _OUTER_WS, "")
+    return F.btrim(col_of(c), F.lit(WHITESPACE))
 
 
 def is_blank(c: str | Column) -> Column:

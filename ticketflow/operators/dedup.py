@@ -1,31 +1,35 @@
 """Duplicate-key detection and removal that stay balanced under skew.
 
-A window ``PARTITION BY key`` would send every row of a key to one task; a
-key (or a group of identical copies) holding a third of all rows would then
-sit in a single task. Instead:
-
-1. identical rows are collapsed into ``(row, copies)`` by an aggregate with
-   map-side partial aggregation, so a mass of copies shrinks before the
-   shuffle;
-2. the first row of each key — the minimum of a sort struct built from the
-   declared order, NULLs last, then every other column as tie-breaker — is
-   another partially-aggregated ``min``;
-3. rows are matched to their key's first row by an equi-join on
-   ``(key, sort struct)``: the shuffle hashes whole rows, not the key, so a
-   hot key with many distinct rows spreads over all tasks;
-4. copies are regenerated with ``explode(sequence(...))``; groups with more
-   than ``chunk_rows`` copies are first cut into chunks that are spread by a
-   (tiny) repartition, so no task regenerates an unbounded group.
-
-The result is deterministic: it does not depend on partitioning or on the
-order rows arrive in.
+``flag_repeats`` marks every occurrence of a key after the first one in a
+declared order. A plain ``row_number() OVER (PARTITION BY key …)`` puts all
+rows of a key into one task, so one key (or one group of identical copies)
+holding a third of the data would sit in a single task. The hot groups are
+therefore split off:
+
+1. a key census — one aggregate, partially combined map-side, shuffling
+   keys only — counts keys above a hot threshold. The threshold is raised,
+   if needed, so that at most ``max_hot_keys`` keys are hot: the hot-key
+   list then has a proven size bound and may be broadcast;
+2. cold keys (at most ``threshold`` rows each) use the window;
+3. rows of hot keys never shuffle by key: the first row of each hot key is
+   a partially-aggregated ``min`` of a sort struct (one row per hot key,
+   broadcast back); rows that differ from it are repeats outright, and the
+   exact copies of it are collapsed to one ``(row, copies)`` row and
+   regenerated in chunks spread over tasks (one copy stays unflagged).
+
+With no hot key (the usual case) only the window runs. ``dedup_first``
+keeps one row per key through a ``min`` aggregate, which partial
+aggregation already makes skew-safe.
+
+The sort struct compares like ``ORDER BY o1 NULLS LAST, …`` and then every
+other column, so results do not depend on partitioning or arrival order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +41,9 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def sort_struct(df: DataFrame, order: Sequence[str]) -> Column:
-    """Struct comparing like ``ORDER BY o1 NULLS LAST, o2 NULLS LAST, …, rest…``."""
+def _sort_fields(df: DataFrame, order: Sequence[str]) -> tuple[list[Column], list[str]]:
+    """Struct fields ordering like ``ORDER BY o1 NULLS LAST, …, rest…`` and
+    the payload column names (every orderable column, order columns first)."""
     fields: list[Column] = []
     for i, c in enumerate(order):
         fields.append(_q(c).isNull().alias(f"_n{i}"))
@@ -47,46 +52,90 @@ def sort_struct(df: DataFrame, order: Sequence[str]) -> Column:
             if f.name not in order and isinstance(f.dataType, _ORDERABLE)]
     for j, c in enumerate(rest):
         fields.append(_q(c).alias(f"_r{j}"))
-    return F.struct(*fields)
+    return fields, list(order) + rest
+
+
+def sort_struct(df: DataFrame, order: Sequence[str]) -> Column:
+    return F.struct(*_sort_fields(df, order)[0])
+
+
+def _window_order(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    _, names = _sort_fields(df, order)
+    return [_q(c).asc_nulls_last() for c in names]
+
+
+def hot_threshold(total: int, hot_over: int, max_hot_keys: int, n_hot: int) -> int:
+    """Rows per key above which a key is hot, so that at most ``max_hot_keys``
+    keys are hot (their rows sum to at most ``total``)."""
+    if n_hot <= max_hot_keys:
+        return hot_over
+    return max(hot_over, -(-total // max_hot_keys))
+
+
+def key_census(df: DataFrame, key: str) -> DataFrame:
+    return (df.where(_q(key).isNotNull()).groupBy(_q(key).alias("__hk"))
+            .agg(F.count(F.lit(1)).alias("__n")))
+
+
+def _cold_flags(df: DataFrame, key: str, order: Sequence[str], flag: str) -> DataFrame:
+    """Window flag. NULL keys are never repeats; they are spread over tasks by
+    a content hash instead of forming one NULL group."""
+    k = _q(key)
+    spread = F.when(k.isNull(), F.xxhash64(*[_q(c) for c in df.columns]))
+    w = Window.partitionBy(k.isNull(), spread, k).orderBy(*_window_order(df, order))
+    return df.withColumn(flag, k.isNotNull() & (F.row_number().over(w) > 1))
+
+
+def _hot_flags(df: DataFrame, key: str, order: Sequence[str], flag: str,
+               chunk_rows: int) -> DataFrame:
+    cols = df.columns
+    fields, names = _sort_fields(df, order)
+    if sorted(names) != sorted(cols):
+        raise TypeError("hot-key path needs atomic column types")
+    field_of = {c: (f"_o{list(order).index(c)}" if c in order
+                    else f"_r{names.index(c) - len(order)}") for c in cols}
+    s = df.withColumn("__s", F.struct(*fields))
+    firsts = s.groupBy(_q(key).alias("__fk")).agg(F.min("__s").alias("__f"))
+    # one row per hot key; the census bounded their number
+    m = s.join(F.broadcast(firsts), _q(key) == F.col("__fk"), "inner")
+    repeats = m.where(F.col("__s") != F.col("__f")).select(*[_q(c) for c in cols],
+                                                           F.lit(True).alias(flag))
+    copies = (m.where(F.col("__s") == F.col("__f"))
+              .groupBy("__fk", "__s").agg(F.count(F.lit(1)).alias("__copies")))
+    n = F.col("__copies")
+    chunks = (copies.withColumn("__chunk", F.explode(F.sequence(
+                  F.lit(0).cast("long"), F.floor((n - 1) / chunk_rows).cast("long"))))
+              .repartition("__chunk", "__fk"))
+    lo = F.col("__chunk") * chunk_rows + 1
+    hi = F.least(n, (F.col("__chunk") + 1) * chunk_rows)
+    regen = (chunks.withColumn("__copy", F.explode(F.sequence(lo, hi)))
+             .select(*[F.col(f"__s.{field_of[c]}").alias(c) for c in cols],
+                     (F.col("__copy") > 1).alias(flag)))
+    return repeats.unionByName(regen)
 
 
 def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
+                 hot_over: int = 1_000_000, max_hot_keys: int = 100_000,
                  chunk_rows: int = 100_000) -> DataFrame:
-    """Add boolean ``flag``: the row's key was already seen earlier in ``order``.
+    """Add boolean ``flag``: the row's key already occurred earlier in ``order``.
 
     Every occurrence after the first is flagged; the first is not, whatever
-    else is wrong with it. NULL keys are never flagged.
+    else is wrong with it. NULL keys are never flagged. Runs one census job
+    (a few scalars reach the driver) to choose the plan.
     """
-    cols = df.columns
-    copies = "__copies"
-    srt = "__sort"
-    first = "__first"
-    fkey = "__first_key"
-
-    grouped = (df.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias(copies))
-               .withColumn(srt, sort_struct(df, order)))
-    firsts = (grouped.where(_q(key).isNotNull())
-              .groupBy(_q(key).alias(fkey)).agg(F.min(srt).alias(first)))
-    marked = (grouped.join(firsts, (_q(key) == F.col(fkey)) & (F.col(srt) == F.col(first)), "left")
-              .withColumn("__is_first", F.col(fkey).isNotNull())
-              .withColumn("__null_key", _q(key).isNull())
-              .drop(fkey, first, srt))
-
-    def expand(frame: DataFrame, lo: Column, hi: Column) -> DataFrame:
-        i = "__copy"
-        return (frame.withColumn(i, F.explode(F.sequence(lo, hi)))
-                .withColumn(flag, ~F.col("__null_key") & ~(F.col("__is_first") & (F.col(i) == 1)))
-                .select(*[_q(c) for c in cols], flag))
-
-    n = F.col(copies)
-    small = expand(marked.where(n <= chunk_rows), F.lit(1).cast("long"), n)
-    big = marked.where(n > chunk_rows)
-    big = (big.withColumn("__chunk", F.explode(F.sequence(
-                F.lit(0).cast("long"), F.floor((n - 1) / chunk_rows).cast("long"))))
-           .repartition("__chunk", *[_q(c) for c in cols]))
-    lo = F.col("__chunk") * chunk_rows + 1
-    hi = F.least(n, (F.col("__chunk") + 1) * chunk_rows)
-    return small.unionByName(expand(big, lo, hi))
+    census = key_census(df, key)
+    st = census.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total"),
+                    F.count_if(F.col("__n") > hot_over).alias("hot")).first()
+    total, n_hot = int(st["total"]), int(st["hot"])
+    if n_hot == 0:
+        return _cold_flags(df, key, order, flag)
+    limit = hot_threshold(total, hot_over, max_hot_keys, n_hot)
+    hot_keys = F.broadcast(census.where(F.col("__n") > limit).select("__hk"))  # <= max_hot_keys
+    tagged = df.join(hot_keys, _q(key) == F.col("__hk"), "left")
+    cold = tagged.where(F.col("__hk").isNull()).drop("__hk")
+    hot = tagged.where(F.col("__hk").isNotNull()).drop("__hk")
+    return _cold_flags(cold, key, order, flag).unionByName(
+        _hot_flags(hot, key, order, flag, chunk_rows))
 
 
 def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -31,7 +31,7 @@ def agency_name_counts(raw: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("record_count")))
 
 
-def dim_agency(raw: DataFrame) -> DataFrame:
+def dim_agency(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
     """(agency_id, agency_code, agency_name, record_count)."""
     names = agency_name_counts(raw)
     per_code = names.groupBy("agency_code").agg(
@@ -40,7 +40,7 @@ def dim_agency(raw: DataFrame) -> DataFrame:
         .alias("best"),
         F.sum("record_count").alias("record_count"),
     ).select("agency_code", F.col("best.name").alias("agency_name"), "record_count")
-    return sequential_ids(per_code, "agency_code", "agency_id").select(
+    return sequential_ids(per_code, "agency_code", "agency_id", settings.local_id_rows).select(
         "agency_id", "agency_code", "agency_name", "record_count")
 
 
@@ -64,15 +64,17 @@ def dim_complaint_type(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETT
     """(complaint_type_id, complaint_type, category, record_count)."""
     counts = (dim_input(raw).groupBy("complaint_type").agg(F.count(F.lit(1)).alias("record_count"))
               .withColumn("category", categorize("complaint_type", settings.category_rules)))
-    return sequential_ids(counts, "complaint_type", "complaint_type_id").select(
+    return sequential_ids(counts, "complaint_type", "complaint_type_id",
+                          settings.local_id_rows).select(
         "complaint_type_id", "complaint_type", "category", "record_count")
 
 
-def dim_borough(raw: DataFrame) -> DataFrame:
+def dim_borough(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
     """(borough_id, borough, record_count); borough stripped and upper-cased."""
     counts = (dim_input(raw).select(F.upper(strip_ws("borough")).alias("borough"))
               .groupBy("borough").agg(F.count(F.lit(1)).alias("record_count")))
-    return sequential_ids(counts, "borough", "borough_id").select("borough_id", "borough", "record_count")
+    return sequential_ids(counts, "borough", "borough_id", settings.local_id_rows).select(
+        "borough_id", "borough", "record_count")
 
 
 def build_report(raw: DataFrame, agency: DataFrame, complaint: DataFrame,

@@ -1,11 +1,12 @@
-"""Surrogate ids = 1-based position in key order, without a single-task window.
+"""Surrogate ids = 1-based position in key order.
 
-``row_number() OVER (ORDER BY k)`` moves every row into one partition. Here
-the rows are range-partitioned on ``k`` and the partition index is stored in
-a reliable checkpoint (so it stays fixed under AQE re-planning and task
-retries); each range numbers its own rows (a window bounded by one range),
-and a prefix sum over the per-range counts — one row per range, broadcast —
-offsets them. Keys must be unique (dimension keys are).
+A dimension is first counted (one aggregate job, a scalar to the driver).
+Up to ``local_rows`` rows — a proven bound — it is numbered by one
+``row_number() OVER (ORDER BY k)`` task. Beyond that, rows are
+range-partitioned on ``k`` and the partition index is kept in a reliable
+checkpoint (fixed under AQE re-planning and task retries); each range
+numbers its own rows and a prefix sum over the per-range counts — one row
+per range, broadcast — offsets them. Keys must be unique (dimension keys are).
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ from pyspark.sql import functions as F
 from ticketflow.session import ensure_checkpoint_dir
 
 
-def sequential_ids(df: DataFrame, key: str, id_col: str, partitions: int | None = None) -> DataFrame:
+def sequential_ids(df: DataFrame, key: str, id_col: str, local_rows: int = 1_000_000,
+                   partitions: int | None = None) -> DataFrame:
+    order = F.col(key).asc_nulls_first()
+    if df.count() <= local_rows:
+        return df.withColumn(id_col, F.row_number().over(Window.orderBy(order)).cast("long"))
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     part, local = "__range", "__local"
-    order = F.col(key).asc_nulls_first()
     ranged = (df.repartitionByRange(n, order)
               .withColumn(part, F.spark_partition_id())
               .checkpoint(eager=True))

@@ -47,9 +47,16 @@ class Stages:
 
 
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint directory and read it back."""
+    """Write ``df`` as Parquet under the checkpoint directory and read it back.
+
+    A partitioned write is rebalanced first: AQE cuts the data into
+    advisory-size tasks per partition value (splitting big months, merging
+    small ones), so files are neither tiny nor one-per-month giants.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -60,13 +67,17 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
 def compose(raw: DataFrame, refs: dict, settings: PipelineSettings,
             keep: Callable[[DataFrame, str, tuple], DataFrame] | None = None) -> Stages:
     """Wire the stages; ``keep`` (optional) materialises a named stage."""
+    materialized = keep is not None
     keep = keep or (lambda df, name, part=(): df)
     flagged = keep(Q.flag_requests(raw, refs, settings), "flagged", ())
     valid = Q.valid_rows(flagged)
     rejected = Q.rejected_rows(flagged)
-    da = keep(D.dim_agency(raw), "dim_agency", ())
-    dc = keep(D.dim_complaint_type(raw, settings), "dim_complaint_type", ())
-    db = keep(D.dim_borough(raw), "dim_borough", ())
+    # The written flagged table holds every raw row: the dimensions read it
+    # (column-pruned) instead of recomputing the raw source.
+    dim_src = flagged.select(*raw.columns) if materialized else raw
+    da = keep(D.dim_agency(dim_src, settings), "dim_agency", ())
+    dc = keep(D.dim_complaint_type(dim_src, settings), "dim_complaint_type", ())
+    db = keep(D.dim_borough(dim_src, settings), "dim_borough", ())
     curated = keep(T.curate(valid, da, dc, db, settings), "curated", T.PARTITION_COLUMNS)
     monthly = keep(M.monthly_summary(curated), "monthly", ())
     daily = keep(M.daily_summary(curated), "daily", ())

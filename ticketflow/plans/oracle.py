@@ -9,6 +9,7 @@ nation region part events`` are the driver's pre-registered views.
 from __future__ import annotations
 
 from ticketflow.functions.categories import categorize_sql
+from ticketflow.functions.text import WHITESPACE
 from ticketflow.settings import CATEGORY_RULES, NA_TOKENS, REJECTION_REASONS
 from ticketflow.sources.testdata import (
     PART_CATEGORY_RULES, UNKNOWN_AGENCY, UNKNOWN_COMPLAINT_TYPE,
@@ -31,8 +32,15 @@ def _na(c: str) -> str:
     return f"CASE WHEN {c} IN ({_NA}) THEN NULL ELSE {c} END"
 
 
+_WS = " || ".join(f"chr({ord(ch)})" for ch in WHITESPACE)
+
+
+def _strip(c: str) -> str:
+    return f"trim({c}, {_WS})"
+
+
 def _blank(c: str) -> str:
-    return f"({c} IS NULL OR regexp_replace({c}, '^\\s+|\\s+$', '', 'g') = '')"
+    return f"({c} IS NULL OR {_strip(c)} = '')"
 
 
 def _ts(c: str) -> str:
@@ -102,7 +110,7 @@ f0 AS (
                                                      WHERE borough IS NOT NULL), false)
       AS unknown_borough,
     NOT (incident_zip IS NULL OR regexp_full_match(
-           regexp_replace(incident_zip, '^\\s+|\\s+$', '', 'g'), '[0-9]{{5}}')) AS invalid_zip_format
+           {_strip("incident_zip")}, '[0-9]{{5}}')) AS invalid_zip_format
   FROM raw
 ),
 flagged AS (SELECT *, concat_ws(';', {_REASONS}) AS _rejection_reasons FROM f0),
@@ -136,7 +144,7 @@ dim_complaint_type AS (
 ),
 dim_borough AS (
   SELECT CAST(row_number() OVER (ORDER BY borough) AS BIGINT) AS borough_id, borough, record_count
-  FROM (SELECT upper(regexp_replace(borough, '^\\s+|\\s+$', '', 'g')) AS borough, count(*) AS record_count
+  FROM (SELECT upper({_strip("borough")}) AS borough, count(*) AS record_count
         FROM dim_in GROUP BY 1)
 ),
 dedup AS (

@@ -116,8 +116,14 @@ class PipelineSettings:
     order_columns: tuple[str, ...] = ("created_date", "closed_date")
     # Largest side (bytes, from plan statistics) that is broadcast in a join.
     broadcast_max_bytes: int = 64 * 1024 * 1024
+    # Rows per key above which the duplicate flag treats a key as hot, and
+    # the most hot keys it will broadcast (the threshold rises to keep it).
+    hot_key_rows: int = 1_000_000
+    max_hot_keys: int = 100_000
     # Copies of one identical row above which regeneration is split in chunks.
     copy_chunk_rows: int = 100_000
+    # Largest dimension numbered in one task; bigger ones use range partitions.
+    local_id_rows: int = 1_000_000
 
 
 DEFAULT_SETTINGS = PipelineSettings()

@@ -4,9 +4,13 @@ One raw request per (order, line item); orders without a line item give one
 request with a NULL key. All raw columns are text, as in a raw CSV; three
 typed source columns are carried along to complete the duplicate order.
 
-Joins: ``orders ⟕ lineitem`` and ``⋈ customer`` / ``⟕ part`` are large-to-large
-at scale and are left to the planner (sort-merge, AQE-adjusted); ``nation``
-and ``region`` are broadcast only after their measured size is checked.
+Joins: ``orders ⟕ lineitem`` is written as an inner sort-merge join plus the
+orders without a line item (``orders ▷ lineitem``): both are shuffle joins on
+the order key in which AQE can split a skewed key on either side (a left
+outer join could only split the preserved side). ``customer`` and ``part``
+are left to the planner (broadcast only under the size threshold, else
+sort-merge); ``nation`` and ``region`` are broadcast only after their
+estimated size is checked.
 """
 
 from __future__ import annotations
@@ -16,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ticketflow.operators.joins import broadcast_if_small
 from ticketflow.session import table_path
-from ticketflow.settings import PipelineSettings
+from ticketflow.settings import NA_TOKENS, PipelineSettings
+from ticketflow.sources.raw import RAW_COLUMNS, normalize_na
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
@@ -65,14 +70,17 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = broadcast_if_small(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
-    j = (o.join(li, o.o_orderkey == li.l_orderkey, "left")
-         .join(c, o.o_custkey == c.c_custkey, "inner")
+    lines = o.join(li.hint("merge"), o.o_orderkey == li.l_orderkey, "inner")
+    lineless = o.join(li.select("l_orderkey").hint("merge"), o.o_orderkey == li.l_orderkey,
+                      "left_anti")
+    j = (lines.unionByName(lineless, allowMissingColumns=True)
+         .join(c, F.col("o_custkey") == c.c_custkey, "inner")
          .join(n, c.c_nationkey == n.n_nationkey, "inner")
          .join(r, n.n_regionkey == r.r_regionkey, "inner")
-         .join(p, li.l_partkey == p.p_partkey, "left"))
+         .join(p, F.col("l_partkey") == p.p_partkey, "left"))
 
     has_line = F.col("l_orderkey").isNotNull()
-    return j.select(
+    raw = j.select(
         F.when(has_line, (F.col("o_orderkey") * 10 + F.col("l_linenumber")).cast("string"))
          .alias("unique_key"),
         F.when(F.col("o_orderkey") % 997 == 0, F.lit("not-a-date"))
@@ -92,6 +100,8 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("city"),
         *[F.col(x) for x in SOURCE_ORDER_COLUMNS],
     )
+    # Raw text goes through the same NA-token rule as a raw CSV scan.
+    return normalize_na(raw, NA_TOKENS, RAW_COLUMNS)
 
 
 def reference_sets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
