@@ -67,17 +67,16 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
 def compose(raw: DataFrame, refs: dict, settings: PipelineSettings,
             keep: Callable[[DataFrame, str, tuple], DataFrame] | None = None) -> Stages:
     """Wire the stages; ``keep`` (optional) materialises a named stage."""
-    materialized = keep is not None
     keep = keep or (lambda df, name, part=(): df)
+    # Landed raw requests: every later stage (and the key census of the
+    # duplicate flag, which reads only the key column) scans this table.
+    raw = keep(raw, "raw", ())
     flagged = keep(Q.flag_requests(raw, refs, settings), "flagged", ())
     valid = Q.valid_rows(flagged)
     rejected = Q.rejected_rows(flagged)
-    # The written flagged table holds every raw row: the dimensions read it
-    # (column-pruned) instead of recomputing the raw source.
-    dim_src = flagged.select(*raw.columns) if materialized else raw
-    da = keep(D.dim_agency(dim_src, settings), "dim_agency", ())
-    dc = keep(D.dim_complaint_type(dim_src, settings), "dim_complaint_type", ())
-    db = keep(D.dim_borough(dim_src, settings), "dim_borough", ())
+    da = keep(D.dim_agency(raw, settings), "dim_agency", ())
+    dc = keep(D.dim_complaint_type(raw, settings), "dim_complaint_type", ())
+    db = keep(D.dim_borough(raw, settings), "dim_borough", ())
     curated = keep(T.curate(valid, da, dc, db, settings), "curated", T.PARTITION_COLUMNS)
     monthly = keep(M.monthly_summary(curated), "monthly", ())
     daily = keep(M.daily_summary(curated), "daily", ())
