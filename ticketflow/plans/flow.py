@@ -18,7 +18,7 @@ import hashlib
 from dataclasses import dataclass, fields
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticketflow.operators import dims as D
@@ -44,9 +44,12 @@ class Stages:
     monthly: DataFrame
     daily: DataFrame
     settings: PipelineSettings
+    # rows written per stage, counted by Observations during the writes
+    counts: dict | None = None
 
 
-def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
+                counts: dict | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint directory and read it back.
 
     A partitioned write is rebalanced first: AQE cuts the data into
@@ -55,12 +58,16 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    obs = Observation(f"rows_{name}")
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if counts is not None:
+        counts[name] = int(obs.get["rows"])
     return spark.read.parquet(path)
 
 
@@ -113,8 +120,10 @@ def testdata_stages(spark: SparkSession, sf_dir: str, materialize: bool = True,
     hit = _CACHE.get(key)
     if hit is not None:
         return hit
+    counts: dict = {}
     st = compose(TD.raw_requests(spark, sf_dir), TD.reference_sets(spark, sf_dir), settings,
-                 keep=lambda df, name, part=(): write_table(df, name, part))
+                 keep=lambda df, name, part=(): write_table(df, name, part, counts))
+    st.counts = counts
     _CACHE[key] = st
     return st
 
@@ -139,3 +148,9 @@ def unmatched_dimension_keys(st: Stages) -> DataFrame:
     return c.agg(F.count_if(F.col("agency_id").isNull()).alias("unmatched_agency"),
                  F.count_if(F.col("complaint_type_id").isNull()).alias("unmatched_complaint_type"),
                  F.count_if(F.col("borough_id").isNull()).alias("unmatched_borough"))
+
+
+def handover_counts(spark: SparkSession, st: Stages) -> DataFrame:
+    """(stage, rows) as counted while each stage table was written."""
+    rows = [(i + 1, k, v) for i, (k, v) in enumerate((st.counts or {}).items())]
+    return spark.createDataFrame(rows, "step int, stage string, rows long")

@@ -291,6 +291,13 @@ def _resolution(where: str = "") -> str:
             f"GROUP BY 1")
 
 
+_INGEST = """SELECT count(*) AS total_rows,
+        count(*) FILTER (WHERE _rejection_reasons = '') AS valid_rows,
+        count(*) FILTER (WHERE _rejection_reasons <> '') AS rejected_rows,
+        CASE WHEN count(*) > 0 THEN ((2000000 * count(*) FILTER (WHERE _rejection_reasons = '')
+             + count(*)) // (2 * count(*))) / 10000.0 ELSE 0.0 END AS pass_rate_pct
+        FROM flagged"""
+
 BODIES: dict[str, str] = {
     "raw_scan": "SELECT * FROM raw",
     "csv_roundtrip": f"SELECT {RAW_COLS} FROM raw",
@@ -331,12 +338,7 @@ BODIES: dict[str, str] = {
     "valid_requests": f"SELECT {RAW_COLS} FROM valid",
     "rejected_requests": f"SELECT {RAW_COLS}, _rejection_reasons FROM rejected",
     "rejection_reason_counts": _reason_rows(),
-    "ingestion_report": """SELECT count(*) AS total_rows,
-        count(*) FILTER (WHERE _rejection_reasons = '') AS valid_rows,
-        count(*) FILTER (WHERE _rejection_reasons <> '') AS rejected_rows,
-        CASE WHEN count(*) > 0 THEN ((2000000 * count(*) FILTER (WHERE _rejection_reasons = '')
-             + count(*)) // (2 * count(*))) / 10000.0 ELSE 0.0 END AS pass_rate_pct
-        FROM flagged""",
+    "ingestion_report": _INGEST,
     "threshold_checks": _threshold_rows(),
     "split_invariant": """SELECT (SELECT count(*) FROM raw) AS raw_rows,
         (SELECT count(*) FROM valid) AS valid_rows, (SELECT count(*) FROM rejected) AS rejected_rows,
@@ -436,8 +438,27 @@ BODIES: dict[str, str] = {
     "mirror_reconcile": """SELECT count(*) AS source_rows, count(*) AS copy_rows, 0 AS missing_rows,
         0 AS extra_rows, true AS match FROM curated""",
     "mart_csv_export": f"SELECT {MONTHLY_COLS} FROM monthly",
+    "split_sink": """SELECT 'valid' AS part, count(*) AS rows, count(DISTINCT unique_key) AS distinct_keys,
+        0 AS rows_with_reasons FROM valid
+        UNION ALL SELECT 'rejected', count(*), count(DISTINCT unique_key), count(_rejection_reasons)
+        FROM rejected""",
+    "report_roundtrip": f"""SELECT t.total_rows, t.valid_rows, t.rejected_rows, t.pass_rate_pct, c.reason, c.rows
+        FROM ({_INGEST}) t, ({_reason_rows()}) c""",
+    "handover_counts": """SELECT 1 AS step, 'raw' AS stage, (SELECT count(*) FROM raw) AS rows
+        UNION ALL SELECT 2, 'flagged', (SELECT count(*) FROM flagged)
+        UNION ALL SELECT 3, 'dim_agency', (SELECT count(*) FROM dim_agency)
+        UNION ALL SELECT 4, 'dim_complaint_type', (SELECT count(*) FROM dim_complaint_type)
+        UNION ALL SELECT 5, 'dim_borough', (SELECT count(*) FROM dim_borough)
+        UNION ALL SELECT 6, 'curated', (SELECT count(*) FROM curated)
+        UNION ALL SELECT 7, 'monthly', (SELECT count(*) FROM monthly)
+        UNION ALL SELECT 8, 'daily', (SELECT count(*) FROM daily)""",
 }
 
+for _k in ("monthly_summary", "daily_summary", "monthly_summary_head", "top_category_per_borough_month",
+           "reconcile_monthly", "reconcile_daily", "monthly_volume", "top_complaint_types",
+           "category_totals_ytd"):
+    BODIES["sql_" + _k] = BODIES[_k]
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: BASE + v for k, v in BODIES.items()}

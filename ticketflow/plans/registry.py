@@ -415,6 +415,89 @@ def q_mart_csv_export(spark, sf):
     return FS.read_csv(spark, path, m.schema)
 
 
+def q_split_sink(spark, sf):
+    st = _st(spark, sf)
+    vp, rp = scratch_path(spark, "valid_csv"), scratch_path(spark, "rejected_csv")
+    FS.write_split(st.flagged, vp, rp)
+    schema_v = st.flagged.select(*st.raw.columns).schema
+    schema_r = st.flagged.select(*st.raw.columns, Q.REASONS_COL).schema
+    v = FS.read_csv(spark, vp, schema_v).select(F.lit("valid").alias("part"), "unique_key",
+                                                F.lit(None).cast("string").alias(Q.REASONS_COL))
+    r = FS.read_csv(spark, rp, schema_r).select(F.lit("rejected").alias("part"), "unique_key",
+                                                Q.REASONS_COL)
+    u = v.unionByName(r)
+    return u.groupBy("part").agg(F.count(F.lit(1)).alias("rows"),
+                                 F.count_distinct("unique_key").alias("distinct_keys"),
+                                 F.count(Q.REASONS_COL).alias("rows_with_reasons"))
+
+
+def q_report_roundtrip(spark, sf):
+    st = _st(spark, sf)
+    path = scratch_path(spark, "ingestion_report_json")
+    FS.write_json_report(Q.report_json(st.flagged, TD.TESTDATA_SETTINGS.thresholds)
+                         .select(F.from_json("report", "total_rows long, valid_rows long, "
+                                             "rejected_rows long, pass_rate_pct double, "
+                                             "rejection_reason_counts map<string,long>, "
+                                             "threshold_checks map<string,struct<value:double,"
+                                             "threshold:double,within_threshold:boolean>>")
+                                 .alias("r")).select("r.*"), path)
+    back = spark.read.schema("total_rows long, valid_rows long, rejected_rows long, "
+                             "pass_rate_pct double, rejection_reason_counts map<string,long>").json(path)
+    return back.select("total_rows", "valid_rows", "rejected_rows", "pass_rate_pct",
+                       F.explode("rejection_reason_counts").alias("reason", "rows"))
+
+
+def q_handover_counts(spark, sf):
+    return flow.handover_counts(spark, _st(spark, sf))
+
+
+def _sql(spark, sf):
+    from ticketflow.plans.sql_marts import catalog_for
+    return catalog_for(spark, _st(spark, sf).curated)
+
+
+def q_sql_monthly_summary(spark, sf):
+    return _sql(spark, sf).monthly().select(*MONTHLY_COLS)
+
+
+def q_sql_daily_summary(spark, sf):
+    return _sql(spark, sf).daily().select(*DAILY_COLS)
+
+
+def q_sql_monthly_summary_head(spark, sf):
+    from ticketflow.plans.sql_marts import HEAD_SQL
+    return _sql(spark, sf).sql(HEAD_SQL, n=HEAD_N).select(*MONTHLY_COLS)
+
+
+def q_sql_top_category_per_borough_month(spark, sf):
+    from ticketflow.plans.sql_marts import RANK_SQL
+    return _sql(spark, sf).sql(RANK_SQL)
+
+
+def q_sql_reconcile_monthly(spark, sf):
+    from ticketflow.plans.sql_marts import RECONCILE_SQL
+    return _sql(spark, sf).sql(RECONCILE_SQL, mart="borough_category_monthly_summary", label="summary")
+
+
+def q_sql_reconcile_daily(spark, sf):
+    from ticketflow.plans.sql_marts import RECONCILE_SQL
+    return _sql(spark, sf).sql(RECONCILE_SQL, mart="borough_category_daily_summary", label="daily")
+
+
+def q_sql_monthly_volume(spark, sf):
+    from ticketflow.plans.sql_marts import VOLUME_SQL
+    return _sql(spark, sf).sql(VOLUME_SQL, year=VOLUME_YEAR)
+
+
+def q_sql_top_complaint_types(spark, sf):
+    from ticketflow.plans.sql_marts import TOP_TYPES_SQL
+    return _sql(spark, sf).sql(TOP_TYPES_SQL, n=TOP_N)
+
+
+def q_sql_category_totals_ytd(spark, sf):
+    return _sql(spark, sf).ytd_view()
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -112,3 +112,19 @@ def serving_load(spark: SparkSession, df: DataFrame, columns: Sequence[str], pat
     b = loaded.agg(F.count(F.lit(1)).alias("loaded_rows"))
     return (side_by_side([a, b]).select(F.lit(table).alias("table_name"), "source_rows", "loaded_rows")
             .withColumn("match", F.col("source_rows") == F.col("loaded_rows")))
+
+
+def write_split(flagged: DataFrame, valid_path: str, rejected_path: str,
+                reasons_col: str = "_rejection_reasons") -> None:
+    """Valid rows (reason column dropped) and rejected rows (reason kept) as
+    two CSV outputs with header, from one flagged frame (written once, so
+    both filters scan the same stored rows)."""
+    from ticketflow.settings import REJECTION_REASONS
+    base = flagged.drop(*[c for c in REJECTION_REASONS if c in flagged.columns])
+    write_csv(base.where(F.col(reasons_col) == "").drop(reasons_col), valid_path)
+    write_csv(base.where(F.col(reasons_col) != ""), rejected_path)
+
+
+def write_json_report(report: DataFrame, path: str) -> None:
+    """A one-row report as a single JSON file (the frame is one row)."""
+    report.coalesce(1).write.mode("overwrite").json(path)
