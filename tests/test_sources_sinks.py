@@ -82,7 +82,8 @@ def test_resume_cursor_and_incremental_landing(spark):
 def test_json_pages_and_alignment(spark):
     raw = _raw(spark, [dict(unique_key=str(i), agency="A", city=None if i % 2 else "X") for i in range(20)])
     path = scratch_path(spark, "t_pages")
-    PG.land_pages(raw, path, page_size=6, key=["unique_key"])
+    PG.land_pages(raw.repartition(3), path, page_size=6)
+    assert len([f for f in spark.read.text(path).inputFiles()]) >= 4
     back = PG.read_pages(spark, path, R.RAW_SCHEMA)
     assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, map(tuple, raw.collect())))
     a = spark.createDataFrame([("1", "x")], "unique_key string, zeta string")

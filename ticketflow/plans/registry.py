@@ -88,7 +88,7 @@ def q_csv_roundtrip(spark, sf):
 def q_json_pages_scan(spark, sf):
     raw = _st(spark, sf).raw.select(*RAW_TEXT)
     path = scratch_path(spark, "pages")
-    PG.land_pages(raw, path, page_size=5_000, key=["unique_key", "created_date"])
+    PG.land_pages(raw, path, page_size=5_000)
     return PG.read_pages(spark, path, R.RAW_SCHEMA)
 
 

@@ -106,7 +106,7 @@ class SqlCatalog:
         base = scratch_path(spark, "warehouse")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{base}/db'")
         data = f"{base}/service_requests"
-        FS.write_partitioned(curated.hint("rebalance", *partition_cols), data, partition_cols)
+        FS.write_partitioned(curated, data, partition_cols)
         FS.register_external_table(spark, self.db, "service_requests", data, partition_cols)
         self.build_marts()
 

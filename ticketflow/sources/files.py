@@ -34,7 +34,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
                       mode: str = "overwrite") -> None:
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Partitioned Parquet; rebalanced first so AQE sizes the files per value
+    (big values split over tasks, small ones merged) instead of every task
+    writing a small file for every value."""
+    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -76,6 +79,8 @@ def show_partitions(spark: SparkSession, name: str) -> DataFrame:
 def mirror(spark: SparkSession, src: DataFrame, dst_path: str,
            partition_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
     """Copy a dataset to another filesystem URI and read the copy back."""
+    if partition_by:
+        src = src.hint("rebalance", *partition_by)
     w = src.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -82,16 +82,18 @@ def resume_cursor(landed: DataFrame, order: Sequence[str]) -> DataFrame:
                       "rows_written")
 
 
-def land_pages(df: DataFrame, path: str, page_size: int, key: Sequence[str]) -> None:
+def land_pages(df: DataFrame, path: str, page_size: int) -> None:
     """Write rows as JSON page files: one top-level JSON array per file.
 
-    Pages are hash buckets of ``key`` holding about ``page_size`` rows each;
-    a page (bounded by the page size) is one ``collect_list``.
+    A page is ``page_size`` consecutive rows of one input partition (its
+    position from ``monotonically_increasing_id``, fixed for a given scan),
+    so every page — one ``collect_list`` — is bounded by the page size,
+    whatever the key distribution or the number of identical copies.
     """
-    n = df.count()
-    pages = max(1, -(-n // page_size))
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(pages))
-    (df.withColumn("page", bucket)
+    pid = F.spark_partition_id().cast("long")
+    pos = F.monotonically_increasing_id() - F.shiftleft(pid, 33)
+    page = F.concat_ws("-", pid, F.floor(pos / F.lit(page_size)))
+    (df.withColumn("page", page)
        .groupBy("page").agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns])))
                             .alias("value"))
        .repartition("page")

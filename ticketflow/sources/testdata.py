@@ -71,8 +71,9 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
     lines = o.join(li.hint("merge"), o.o_orderkey == li.l_orderkey, "inner")
-    lineless = o.join(li.select("l_orderkey").hint("merge"), o.o_orderkey == li.l_orderkey,
-                      "left_anti")
+    # distinct keys: a hot order key is collapsed map-side before the anti join
+    lineless = o.join(li.select("l_orderkey").distinct().hint("merge"),
+                      o.o_orderkey == F.col("l_orderkey"), "left_anti")
     j = (lines.unionByName(lineless, allowMissingColumns=True)
          .join(c, F.col("o_custkey") == c.c_custkey, "inner")
          .join(n, c.c_nationkey == n.n_nationkey, "inner")
