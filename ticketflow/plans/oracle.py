@@ -132,7 +132,7 @@ dim_agency AS (
   FROM (
     SELECT agency_code,
            first(agency_name ORDER BY record_count DESC, agency_name ASC) AS agency_name,
-           sum(record_count) AS record_count
+           CAST(sum(record_count) AS BIGINT) AS record_count
     FROM agency_names GROUP BY agency_code
   )
 ),
@@ -279,7 +279,7 @@ def _mart_rules(mart: str, dates: list[str], key: list[str]) -> str:
              for n, p in rules]
     k = ", ".join(key)
     parts.append(f"SELECT {_q(mart)} AS mart, {_q('unique_' + '_'.join(key))} AS rule, "
-                 f"coalesce(sum(c - 1), 0) AS violations FROM (SELECT {k}, count(*) AS c FROM {mart} "
+                 f"CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS violations FROM (SELECT {k}, count(*) AS c FROM {mart} "
                  f"GROUP BY ALL HAVING count(*) > 1)")
     return " UNION ALL ".join(parts)
 
@@ -407,16 +407,16 @@ BODIES: dict[str, str] = {
         complaint_category, total_requests, category_rank FROM (SELECT *, CAST(rank() OVER (
         PARTITION BY borough, created_month, created_year ORDER BY total_requests DESC) AS INTEGER)
         AS category_rank FROM monthly) WHERE category_rank = 1""",
-    "category_totals_ytd": f"""SELECT complaint_category, sum(total_requests) AS total_requests,
+    "category_totals_ytd": f"""SELECT complaint_category, CAST(sum(total_requests) AS BIGINT) AS total_requests,
         {_cents_avg("CAST(round(avg_resolution_hours * 100) AS BIGINT)")} AS avg_resolution_hours
         FROM monthly GROUP BY 1""",
-    "daily_trend": "SELECT request_date, sum(total_requests) AS total_requests FROM daily GROUP BY 1",
-    "daily_trend_for_borough": f"""SELECT request_date, sum(total_requests) AS total_requests FROM daily
+    "daily_trend": "SELECT request_date, CAST(sum(total_requests) AS BIGINT) AS total_requests FROM daily GROUP BY 1",
+    "daily_trend_for_borough": f"""SELECT request_date, CAST(sum(total_requests) AS BIGINT) AS total_requests FROM daily
         WHERE borough = {_q(REG.FILTER_BOROUGH)} GROUP BY 1""",
-    "borough_category_totals": """SELECT borough, complaint_category, sum(total_requests) AS total_requests
+    "borough_category_totals": """SELECT borough, complaint_category, CAST(sum(total_requests) AS BIGINT) AS total_requests
         FROM monthly GROUP BY 1, 2""",
     "borough_category_pivot": "SELECT borough, " + ", ".join(
-        f"sum(total_requests) FILTER (WHERE complaint_category = {_q(c)}) AS \"{c}\"" for c in CATEGORIES)
+        f"CAST(sum(total_requests) FILTER (WHERE complaint_category = {_q(c)}) AS BIGINT) AS \"{c}\"" for c in CATEGORIES)
     + " FROM monthly GROUP BY 1",
     "resolution_by_category": _resolution(),
     "resolution_by_category_for_borough": _resolution(f"borough = {_q(REG.FILTER_BOROUGH)}"),
@@ -435,8 +435,8 @@ BODIES: dict[str, str] = {
     "serving_load": """SELECT 'borough_category_monthly_summary' AS table_name, count(*) AS source_rows,
         count(*) AS loaded_rows, true AS match FROM monthly
         UNION ALL SELECT 'borough_category_daily_summary', count(*), count(*), true FROM daily""",
-    "mirror_reconcile": """SELECT count(*) AS source_rows, count(*) AS copy_rows, 0 AS missing_rows,
-        0 AS extra_rows, true AS match FROM curated""",
+    "mirror_reconcile": """SELECT count(*) AS source_rows, count(*) AS copy_rows, CAST(0 AS BIGINT) AS missing_rows,
+        CAST(0 AS BIGINT) AS extra_rows, true AS match FROM curated""",
     "mart_csv_export": f"SELECT {MONTHLY_COLS} FROM monthly",
     "split_sink": """SELECT 'valid' AS part, count(*) AS rows, count(DISTINCT unique_key) AS distinct_keys,
         0 AS rows_with_reasons FROM valid
