@@ -101,11 +101,19 @@ def test_hot_key_path_equals_window_path(spark):
     base += [dict(GOOD, unique_key="hot")] * 25 + [dict(GOOD, unique_key=None)] * 3
     raw = _raw(spark, base)
     order = ["created_date", "closed_date"]
-    cold = flag_repeats(raw, "unique_key", order, "dup")
-    hot = flag_repeats(raw, "unique_key", order, "dup", hot_over=2, max_hot_keys=10, chunk_rows=4)
+    cold = flag_repeats(raw, "unique_key", order, "dup", max_repeated_keys=0)
+    variants = [
+        flag_repeats(raw, "unique_key", order, "dup"),
+        flag_repeats(raw, "unique_key", order, "dup", max_repeated_share=1.0),  # repeated keys broadcast
+        flag_repeats(raw, "unique_key", order, "dup", hot_over=2, max_hot_keys=10, chunk_rows=4,
+                     max_repeated_share=1.0),
+        flag_repeats(raw, "unique_key", order, "dup", hot_over=2, max_hot_keys=10, chunk_rows=4,
+                     max_repeated_keys=0),                                   # full window + hot split
+        flag_repeats(raw, "unique_key", order, "dup", hot_over=2, max_hot_keys=1, chunk_rows=4),
+    ]
     a = sorted(repr(tuple(r)) for r in cold.collect())
-    b = sorted(repr(tuple(r)) for r in hot.collect())
-    assert a == b
+    for v in variants:
+        assert sorted(repr(tuple(r)) for r in v.collect()) == a
     assert len(a) == len(base)
     assert sum(1 for r in cold.collect() if r["dup"]) == len(base) - 3 - 4  # keys 0,1,2,hot keep one
 
@@ -156,3 +164,10 @@ def test_constraints_and_uniqueness(spark):
     assert v["total_requests_non_negative"] == 1
     assert v["unique_created_year_created_month_borough_complaint_category"] == 1
     assert v["closed_requests_non_negative"] == 0
+
+
+def test_unique_keys_need_no_shuffle(spark):
+    raw = _raw(spark, [dict(GOOD, unique_key=str(i)) for i in range(10)] + [dict(GOOD, unique_key=None)])
+    out = flag_repeats(raw, "unique_key", ["created_date"], "dup")
+    assert [r["dup"] for r in out.collect()] == [False] * 11
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()

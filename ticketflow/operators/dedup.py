@@ -17,7 +17,9 @@ therefore split off:
    exact copies of it are collapsed to one ``(row, copies)`` row and
    regenerated in chunks spread over tasks (one copy stays unflagged).
 
-With no hot key (the usual case) only the window runs. ``dedup_first``
+When few keys repeat at all (keys are meant to be unique), the repeated keys
+are broadcast and only their rows are shuffled; rows of single keys are
+settled where they are. With no hot key only the window runs. ``dedup_first``
 keeps one row per key through a ``min`` aggregate, which partial
 aggregation already makes skew-safe.
 
@@ -116,20 +118,45 @@ def _hot_flags(df: DataFrame, key: str, order: Sequence[str], flag: str,
 
 def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
                  hot_over: int = 1_000_000, max_hot_keys: int = 100_000,
-                 chunk_rows: int = 100_000) -> DataFrame:
+                 chunk_rows: int = 100_000, max_repeated_keys: int = 2_000_000,
+                 max_repeated_share: float = 0.25) -> DataFrame:
     """Add boolean ``flag``: the row's key already occurred earlier in ``order``.
 
     Every occurrence after the first is flagged; the first is not, whatever
     else is wrong with it. NULL keys are never flagged. Runs one census job
-    (a few scalars reach the driver) to choose the plan.
+    (a few scalars reach the driver) to choose the plan:
+
+    * no key occurs twice: nothing to shuffle, the flag is false;
+    * at most ``max_repeated_keys`` keys occur twice and their rows are at
+      most ``max_repeated_share`` of all rows (the usual case — keys are meant
+      to be unique): those keys are broadcast (size proven by the census);
+      rows of single keys are settled without a shuffle and only rows of
+      repeated keys go through the window / hot-key paths. This reads the
+      input twice, so it is chosen only when it spares most of the shuffle;
+    * otherwise every row goes through the window, hot keys split off.
     """
     census = key_census(df, key)
     st = census.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total"),
+                    F.count_if(F.col("__n") > 1).alias("repeated"),
+                    F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("rep_rows"),
                     F.count_if(F.col("__n") > hot_over).alias("hot")).first()
-    total, n_hot = int(st["total"]), int(st["hot"])
+    total, n_rep, n_hot = int(st["total"]), int(st["repeated"]), int(st["hot"])
+    if n_rep == 0:
+        return df.withColumn(flag, F.lit(False))
+    limit = hot_threshold(total, hot_over, max_hot_keys, n_hot)
+    if n_rep <= max_repeated_keys and int(st["rep_rows"]) <= max_repeated_share * total:
+        rep = F.broadcast(census.where(F.col("__n") > 1)  # <= max_repeated_keys rows
+                          .select("__hk", (F.col("__n") > limit).alias("__hot")))
+        singles = df.join(rep, _q(key) == F.col("__hk"), "left_anti").withColumn(flag, F.lit(False))
+        repeated = df.join(rep, _q(key) == F.col("__hk"), "inner")
+        cold = repeated.where(~F.col("__hot")).drop("__hk", "__hot")
+        out = singles.unionByName(_cold_flags(cold, key, order, flag))
+        if n_hot:
+            hot = repeated.where(F.col("__hot")).drop("__hk", "__hot")
+            out = out.unionByName(_hot_flags(hot, key, order, flag, chunk_rows))
+        return out
     if n_hot == 0:
         return _cold_flags(df, key, order, flag)
-    limit = hot_threshold(total, hot_over, max_hot_keys, n_hot)
     hot_keys = F.broadcast(census.where(F.col("__n") > limit).select("__hk"))  # <= max_hot_keys
     tagged = df.join(hot_keys, _q(key) == F.col("__hk"), "left")
     cold = tagged.where(F.col("__hk").isNull()).drop("__hk")

@@ -46,7 +46,9 @@ def row_flags() -> dict[str, Column]:
 def flag_duplicates(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
     return flag_repeats(raw, "unique_key", settings.order_columns, "duplicate_unique_key",
                         hot_over=settings.hot_key_rows, max_hot_keys=settings.max_hot_keys,
-                        chunk_rows=settings.copy_chunk_rows)
+                        chunk_rows=settings.copy_chunk_rows,
+                        max_repeated_keys=settings.max_repeated_keys,
+                        max_repeated_share=settings.max_repeated_share)
 
 
 def flag_unknown(df: DataFrame, refs: Mapping[str, DataFrame],

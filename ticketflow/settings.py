@@ -120,6 +120,10 @@ class PipelineSettings:
     # the most hot keys it will broadcast (the threshold rises to keep it).
     hot_key_rows: int = 1_000_000
     max_hot_keys: int = 100_000
+    # Most repeated keys broadcast so rows of single keys skip the shuffle,
+    # and the largest share of rows under repeated keys for which that pays.
+    max_repeated_keys: int = 2_000_000
+    max_repeated_share: float = 0.25
     # Copies of one identical row above which regeneration is split in chunks.
     copy_chunk_rows: int = 100_000
     # Largest dimension numbered in one task; bigger ones use range partitions.
