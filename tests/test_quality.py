@@ -1,6 +1,5 @@
 """Quality flags, reasons, split, report and thresholds."""
 
-from pyspark.sql import functions as F
 
 from ticketflow.operators import quality as Q
 from ticketflow.operators.dedup import flag_repeats

@@ -313,6 +313,7 @@ BODIES: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (ORDER BY {SLICE_ORDER}) AS rn FROM in_range)
         WHERE rn <= {REG.FIRST_LANDING_ROWS}""",
     "incremental_slice": f"SELECT {RAW_COLS} FROM in_range",
+    "stream_landing": f"SELECT {RAW_COLS} FROM raw",
     "slice_manifest": f"""SELECT {_q(REG.SLICE_START)} AS query_start_date,
         {_q(REG.SLICE_END)} AS query_end_date, CAST(NULL AS BIGINT) AS max_records_cap,
         count(*) AS total_records_downloaded,

@@ -25,7 +25,7 @@ from ticketflow.operators.onerow import side_by_side
 from ticketflow.plans import flow
 from ticketflow.plans import marts as M
 from ticketflow.session import scratch_path
-from ticketflow.settings import CATEGORY_RULES, REJECTION_REASONS, REQUIRED_COLUMNS
+from ticketflow.settings import CATEGORY_RULES, REQUIRED_COLUMNS
 from ticketflow.sources import files as FS
 from ticketflow.sources import pages as PG
 from ticketflow.sources import raw as R
@@ -45,7 +45,6 @@ TOP_N = 10
 HEAD_N = 10
 
 RAW_TEXT = list(R.RAW_COLUMNS)
-ORDER = list(TD.TESTDATA_SETTINGS.order_columns)
 MONTHLY_COLS = ["created_year", "created_month", "borough", "complaint_category", "total_requests",
                 "avg_resolution_hours", "closed_requests", "unresolved_requests"]
 DAILY_COLS = ["request_date", "borough", "complaint_category", "total_requests",
@@ -126,11 +125,24 @@ def q_incremental_slice(spark, sf):
 
 
 def q_slice_manifest(spark, sf):
-    landed, cursor = INC.incremental_slice(spark, _keyed(_st(spark, sf).raw), SLICE_START, SLICE_END,
+    landed, _ = INC.incremental_slice(spark, _keyed(_st(spark, sf).raw), SLICE_START, SLICE_END,
                                            _slice_order(), FIRST_LANDING_ROWS)
     return INC.manifest(landed, SLICE_START, SLICE_END, None)
 
 
+def q_stream_landing(spark, sf):
+    """Raw requests land as JSON files in two waves; two availableNow runs of
+    the file stream append each wave once (the checkpoint remembers files)."""
+    raw = _st(spark, sf).raw.select(*RAW_TEXT)
+    landing, sink, ckpt = (scratch_path(spark, n) for n in ("stream_in", "stream_out", "stream_ckpt"))
+    early = F.coalesce(F.col("created_date") < "1998", F.lit(False))
+    raw.where(early).write.json(f"{landing}/wave=1")
+    INC.stream_landed_files(spark, landing, R.RAW_SCHEMA, sink, ckpt, multiline=False)
+    raw.where(~early).write.json(f"{landing}/wave=2")
+    INC.stream_landed_files(spark, landing, R.RAW_SCHEMA, sink, ckpt, multiline=False)
+    return spark.read.parquet(sink).select(*RAW_TEXT)
+
+
 def q_align_union(spark, sf):
     raw = _st(spark, sf).raw.select(*RAW_TEXT)
     is_early = F.coalesce(F.col("created_date") < "1998", F.lit(False))
