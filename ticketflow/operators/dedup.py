@@ -165,13 +165,22 @@ def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
         _hot_flags(hot, key, order, flag, chunk_rows))
 
 
-def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def dedup_first(df: DataFrame, key: str, order: Sequence[str], check_unique: bool = True) -> DataFrame:
     """One row per key (NULL is a key too): the first in ``order``.
 
-    ``min`` of a struct ``(sort struct, row)`` per key is partially
-    aggregated map-side, so a hot key is reduced to one row per task
-    before the shuffle.
+    A key census runs first (keys only, combined map-side): when no key
+    occurs twice — e.g. after validation, which already rejected every
+    repeat — the rows are returned as they are and never shuffled.
+    Otherwise ``min`` of a struct ``(sort struct, row)`` per key is
+    partially aggregated map-side, so a hot key is reduced to one row per
+    task before the shuffle.
     """
+    if check_unique:
+        k = _q(key)
+        st = (df.groupBy(k.alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
+              .agg(F.count_if(F.col("__n") > 1).alias("repeated")).first())
+        if st is None or int(st["repeated"] or 0) == 0:
+            return df
     cols = df.columns
     payload = F.struct(*[_q(c).alias(f"_p{i}") for i, c in enumerate(cols)])
     best = (df.groupBy(_q(key).alias("__k"))

@@ -1,9 +1,13 @@
 """Reference dimensions built from the raw requests, and their build report.
 
-Each dimension is a value count (partial + final hash aggregate), then a
-surrogate id in key order (``ids.sequential_ids``). Agency names resolve to
-the most frequent spelling per code (ties: smallest name — a distributed
-frame has no file order), codes with several spellings are reported.
+All value counts come from one ``GROUPING SETS`` aggregate over the raw
+requests — (agency, agency_name), (complaint_type), (borough) — so the raw
+table is scanned and shuffled once for all three dimensions (partial +
+final hash aggregate; a hot value is combined map-side). Each dimension is
+then a small derivation of those counts with a surrogate id in key order
+(``ids.sequential_ids``). Agency names resolve to the most frequent spelling
+per code (ties: smallest name — a distributed frame has no file order);
+codes with several spellings are reported.
 """
 
 from __future__ import annotations
@@ -26,13 +30,33 @@ def dim_input(raw: DataFrame) -> DataFrame:
     return raw.select(*DIM_INPUT_COLUMNS).fillna(MISSING_FILL)
 
 
+def value_counts(raw: DataFrame) -> DataFrame:
+    """(set, agency, agency_name, complaint_type, borough, record_count) for the
+    three grouping sets; ``set`` names the grouping set of the row."""
+    d = dim_input(raw).select("agency", "agency_name", "complaint_type",
+                              F.upper(strip_ws("borough")).alias("borough"))
+    g = (d.groupingSets([["agency", "agency_name"], ["complaint_type"], ["borough"]],
+                        "agency", "agency_name", "complaint_type", "borough")
+         .agg(F.count(F.lit(1)).alias("record_count"), F.grouping_id().alias("gid")))
+    kind = (F.when(F.col("gid") == 3, F.lit("agency"))       # (agency, agency_name)
+             .when(F.col("gid") == 13, F.lit("complaint_type"))
+             .otherwise(F.lit("borough")))
+    return g.select(kind.alias("set"), "agency", "agency_name", "complaint_type", "borough",
+                    "record_count")
+
+
+def _counts(raw_or_counts: DataFrame) -> DataFrame:
+    return raw_or_counts if "set" in raw_or_counts.columns else value_counts(raw_or_counts)
+
+
 def agency_name_counts(raw: DataFrame) -> DataFrame:
-    return (dim_input(raw).groupBy(F.col("agency").alias("agency_code"), "agency_name")
-            .agg(F.count(F.lit(1)).alias("record_count")))
+    return (_counts(raw).where(F.col("set") == "agency")
+            .select(F.col("agency").alias("agency_code"), "agency_name", "record_count"))
 
 
 def dim_agency(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
-    """(agency_id, agency_code, agency_name, record_count)."""
+    """(agency_id, agency_code, agency_name, record_count); ``raw`` may be the
+    raw requests or their ``value_counts``."""
     names = agency_name_counts(raw)
     per_code = names.groupBy("agency_code").agg(
         # most frequent name, then smallest name
@@ -62,7 +86,8 @@ def agency_name_conflict_map(raw: DataFrame) -> DataFrame:
 
 def dim_complaint_type(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
     """(complaint_type_id, complaint_type, category, record_count)."""
-    counts = (dim_input(raw).groupBy("complaint_type").agg(F.count(F.lit(1)).alias("record_count"))
+    counts = (_counts(raw).where(F.col("set") == "complaint_type")
+              .select("complaint_type", "record_count")
               .withColumn("category", categorize("complaint_type", settings.category_rules)))
     return sequential_ids(counts, "complaint_type", "complaint_type_id",
                           settings.local_id_rows).select(
@@ -71,8 +96,7 @@ def dim_complaint_type(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETT
 
 def dim_borough(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
     """(borough_id, borough, record_count); borough stripped and upper-cased."""
-    counts = (dim_input(raw).select(F.upper(strip_ws("borough")).alias("borough"))
-              .groupBy("borough").agg(F.count(F.lit(1)).alias("record_count")))
+    counts = _counts(raw).where(F.col("set") == "borough").select("borough", "record_count")
     return sequential_ids(counts, "borough", "borough_id", settings.local_id_rows).select(
         "borough_id", "borough", "record_count")
 

@@ -81,9 +81,10 @@ def compose(raw: DataFrame, refs: dict, settings: PipelineSettings,
     flagged = keep(Q.flag_requests(raw, refs, settings), "flagged", ())
     valid = Q.valid_rows(flagged)
     rejected = Q.rejected_rows(flagged)
-    da = keep(D.dim_agency(raw, settings), "dim_agency", ())
-    dc = keep(D.dim_complaint_type(raw, settings), "dim_complaint_type", ())
-    db = keep(D.dim_borough(raw, settings), "dim_borough", ())
+    counts = keep(D.value_counts(raw), "dim_value_counts", ())  # one scan for all three
+    da = keep(D.dim_agency(counts, settings), "dim_agency", ())
+    dc = keep(D.dim_complaint_type(counts, settings), "dim_complaint_type", ())
+    db = keep(D.dim_borough(counts, settings), "dim_borough", ())
     curated = keep(T.curate(valid, da, dc, db, settings), "curated", T.PARTITION_COLUMNS)
     monthly = keep(M.monthly_summary(curated), "monthly", ())
     daily = keep(M.daily_summary(curated), "daily", ())
