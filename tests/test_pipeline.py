@@ -61,3 +61,39 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert set(E.queries()) == set(E.oracle_sql())
     assert os.path.exists(SF0001)
+
+
+def test_run_pipeline_over_raw_csv(spark):
+    """The batch pipeline over a raw CSV, validated against its own dimensions."""
+    from ticketflow.session import scratch_path
+    from ticketflow.sources import files as FS
+    from ticketflow.sources.testdata import raw_requests
+
+    src = raw_requests(spark, SF0001)
+    csv_dir = scratch_path(spark, "raw_csv_in")
+    FS.write_csv(src, csv_dir)
+    out = scratch_path(spark, "run_out")
+    db = "tf_run_" + out.rsplit("-", 1)[-1]
+    st = flow.run_pipeline(spark, csv_dir, out, database=db)
+    n = src.count()
+    assert st.counts["raw"] == st.counts["flagged"] == n
+    reasons = {r["reason"]: r["rows"] for r in Q.reason_counts(st.flagged).collect()}
+    # dimensions come from the same file: agencies and types are always known,
+    # boroughs only when the raw text is already upper-case without spaces
+    assert "unknown_agency" not in reasons and "unknown_complaint_type" not in reasons
+    lower = src.where(F.col("borough") != F.upper(F.trim("borough"))).count()
+    assert reasons["unknown_borough"] == lower
+    ref = flow.testdata_stages(spark, SF0001)
+    assert reasons["duplicate_unique_key"] == Q.reason_counts(ref.flagged).where(
+        "reason = 'duplicate_unique_key'").first()["rows"]
+    valid = spark.read.option("header", True).csv(f"{out}/processed/valid_requests").count()
+    rejected = spark.read.option("header", True).option("multiLine", True).csv(
+        f"{out}/processed/rejected_requests").count()
+    assert valid + rejected == n
+    rep = spark.read.json(f"{out}/processed/ingestion_report").first()
+    assert rep["total_rows"] == n and rep["valid_rows"] == valid
+    assert spark.read.json(f"{out}/reference/reference_build_report").first()["rows_processed"] == n
+    assert spark.table(f"{db}.service_requests").count() == st.curated.count()
+    total = spark.table(f"{db}.borough_category_monthly_summary").agg(F.sum("total_requests")).first()[0]
+    assert total == st.curated.count()
+    assert set(st.curated.columns) >= {"l_partkey", "resolution_hours", "complaint_category"}

@@ -158,15 +158,21 @@ def threshold_checks(flagged: DataFrame, thresholds: Mapping[str, float] | None
             .select("c.check_name", "c.value", "c.threshold", "c.within_threshold"))
 
 
-def report_json(flagged: DataFrame, thresholds: Mapping[str, float] | None = None) -> DataFrame:
-    """The whole ingestion report as one JSON text row (for a report sink)."""
+def report_frame(flagged: DataFrame, thresholds: Mapping[str, float] | None = None) -> DataFrame:
+    """The whole ingestion report as one row: totals, pass rate, reason-count
+    map and threshold-check map (written as one JSON object by a report sink)."""
     rep = ingestion_report(flagged)
     counts = reason_counts(flagged).agg(
         F.map_from_entries(F.collect_list(F.struct("reason", "rows"))).alias("rejection_reason_counts"))
     checks = threshold_checks(flagged, thresholds).agg(
         F.map_from_entries(F.collect_list(F.struct(
             "check_name", F.struct("value", "threshold", "within_threshold")))).alias("threshold_checks"))
-    one = side_by_side([rep, counts, checks])
+    return side_by_side([rep, counts, checks])
+
+
+def report_json(flagged: DataFrame, thresholds: Mapping[str, float] | None = None) -> DataFrame:
+    """The ingestion report as one JSON text row."""
+    one = report_frame(flagged, thresholds)
     return one.select(F.to_json(F.struct(*one.columns)).alias("report"))
 
 

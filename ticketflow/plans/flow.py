@@ -15,6 +15,7 @@ are unchanged.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass, fields
 from typing import Callable
 
@@ -26,7 +27,7 @@ from ticketflow.operators import quality as Q
 from ticketflow.operators import transform as T
 from ticketflow.plans import marts as M
 from ticketflow.session import scratch_path
-from ticketflow.settings import PipelineSettings
+from ticketflow.settings import DEFAULT_SETTINGS, PipelineSettings
 from ticketflow.sources import testdata as TD
 
 
@@ -49,7 +50,7 @@ class Stages:
 
 
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
-                counts: dict | None = None) -> DataFrame:
+                counts: dict | None = None, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint directory and read it back.
 
     A partitioned write is rebalanced first: AQE cuts the data into
@@ -57,8 +58,8 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
     small ones), so files are neither tiny nor one-per-month giants.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    obs = Observation(f"rows_{name}")
+    path = path or scratch_path(spark, name)
+    obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         df = df.hint("rebalance", *partition_by)
@@ -71,26 +72,74 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
     return spark.read.parquet(path)
 
 
-def compose(raw: DataFrame, refs: dict, settings: PipelineSettings,
+def compose(raw: DataFrame, refs: dict | None, settings: PipelineSettings,
             keep: Callable[[DataFrame, str, tuple], DataFrame] | None = None) -> Stages:
-    """Wire the stages; ``keep`` (optional) materialises a named stage."""
+    """Wire the stages; ``keep`` (optional) materialises a named stage.
+
+    ``refs`` are the known agencies / complaint types / boroughs the quality
+    rules check against; ``None`` means the dimensions built from this raw
+    input, as the batch pipeline validates against its own reference build.
+    """
     keep = keep or (lambda df, name, part=(): df)
     # Landed raw requests: every later stage (and the key census of the
     # duplicate flag, which reads only the key column) scans this table.
     raw = keep(raw, "raw", ())
-    flagged = keep(Q.flag_requests(raw, refs, settings), "flagged", ())
-    valid = Q.valid_rows(flagged)
-    rejected = Q.rejected_rows(flagged)
     counts = keep(D.value_counts(raw), "dim_value_counts", ())  # one scan for all three
     da = keep(D.dim_agency(counts, settings), "dim_agency", ())
     dc = keep(D.dim_complaint_type(counts, settings), "dim_complaint_type", ())
     db = keep(D.dim_borough(counts, settings), "dim_borough", ())
+    if refs is None:
+        refs = {"agency": da.select("agency_code"),
+                "complaint_type": dc.select("complaint_type"),
+                "borough": db.select("borough")}
+    flagged = keep(Q.flag_requests(raw, refs, settings), "flagged", ())
+    valid = Q.valid_rows(flagged)
+    rejected = Q.rejected_rows(flagged)
     curated = keep(T.curate(valid, da, dc, db, settings), "curated", T.PARTITION_COLUMNS)
     monthly = keep(M.monthly_summary(curated), "monthly", ())
     daily = keep(M.daily_summary(curated), "daily", ())
     return Stages(raw, refs, flagged, valid, rejected, da, dc, db, curated, monthly, daily, settings)
 
 
+def run_pipeline(spark: SparkSession, raw_path: str, out_dir: str,
+                 settings: PipelineSettings = DEFAULT_SETTINGS, refs: dict | None = None,
+                 database: str | None = None) -> Stages:
+    """The whole batch pipeline over raw request CSV(s), outputs under ``out_dir``.
+
+    Writes, like the step-by-step batch jobs: the stage tables (Parquet), the
+    three dimensions and the valid / rejected requests as CSV, the ingestion
+    and dimension reports as JSON, the curated table partitioned by
+    (year, month); with ``database`` also the catalog tables and marts.
+    """
+    from ticketflow.sources import files as FS
+    from ticketflow.sources.raw import read_raw_csv
+
+    base = out_dir.rstrip("/")
+    counts: dict = {}
+
+    def keep(df: DataFrame, name: str, part: tuple = ()) -> DataFrame:
+        return write_table(df, name, part, counts, path=f"{base}/tables/{name}")
+
+    raw = read_raw_csv(spark, raw_path, na_tokens=settings.na_tokens)
+    st = compose(raw, refs, settings, keep=keep)
+    st.counts = counts
+    for name, dim in (("dim_agency", st.dim_agency), ("dim_complaint_type", st.dim_complaint_type),
+                      ("dim_borough", st.dim_borough)):
+        FS.write_csv(dim, f"{base}/reference/{name}", single_file=True)
+    FS.write_split(st.flagged, f"{base}/processed/valid_requests", f"{base}/processed/rejected_requests")
+    FS.write_json_report(Q.report_frame(st.flagged, settings.thresholds),
+                         f"{base}/processed/ingestion_report")
+    FS.write_json_report(dimension_report(st), f"{base}/reference/reference_build_report")
+    if database:
+        FS.register_external_table(spark, database, "service_requests", f"{base}/tables/curated",
+                                   T.PARTITION_COLUMNS)
+        for name, df in (("borough_category_monthly_summary", st.monthly),
+                         ("borough_category_daily_summary", st.daily)):
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+            df.write.mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+    return st
+
+
 _CACHE: dict[tuple, Stages] = {}
 
 

@@ -446,13 +446,7 @@ def q_split_sink(spark, sf):
 def q_report_roundtrip(spark, sf):
     st = _st(spark, sf)
     path = scratch_path(spark, "ingestion_report_json")
-    FS.write_json_report(Q.report_json(st.flagged, TD.TESTDATA_SETTINGS.thresholds)
-                         .select(F.from_json("report", "total_rows long, valid_rows long, "
-                                             "rejected_rows long, pass_rate_pct double, "
-                                             "rejection_reason_counts map<string,long>, "
-                                             "threshold_checks map<string,struct<value:double,"
-                                             "threshold:double,within_threshold:boolean>>")
-                                 .alias("r")).select("r.*"), path)
+    FS.write_json_report(Q.report_frame(st.flagged, TD.TESTDATA_SETTINGS.thresholds), path)
     back = spark.read.schema("total_rows long, valid_rows long, rejected_rows long, "
                              "pass_rate_pct double, rejection_reason_counts map<string,long>").json(path)
     return back.select("total_rows", "valid_rows", "rejected_rows", "pass_rate_pct",

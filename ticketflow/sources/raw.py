@@ -62,19 +62,21 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return next(csv.reader(io.StringIO(first[0][0])))
 
 
-def read_raw_csv(spark: SparkSession, path: str, extra_columns: Sequence[str] = (),
+def read_raw_csv(spark: SparkSession, path: str, extra_columns: Sequence[str] | None = None,
                  na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """Scan raw request CSV(s) with header as strings; apply the NA tokens.
 
     The header is checked against the contract before any data job runs.
-    Columns other than the contract ones are kept as strings when listed in
-    ``extra_columns``.
+    Contract columns come first; the other header columns follow as strings
+    (all of them, or only ``extra_columns`` when given).
     """
     header = csv_header(spark, path)
     missing = missing_columns(header)
     if missing:
         raise ContractError(f"raw file is missing required columns: {missing}")
-    wanted = [c for c in RAW_COLUMNS if c in header] + [c for c in extra_columns if c in header]
+    extras = [c for c in header if c not in RAW_COLUMNS] if extra_columns is None else \
+        [c for c in extra_columns if c in header and c not in RAW_COLUMNS]
+    wanted = [c for c in RAW_COLUMNS if c in header] + extras
     schema = string_schema(header)
     df = (spark.read.schema(schema)
           .option("header", True)
