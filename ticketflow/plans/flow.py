@@ -1,15 +1,15 @@
-"""End-to-end stage composition: raw → flagged → valid → curated → marts.
-
-``build_stages`` returns every stage as a DataFrame. With
-``materialize=True`` the stage outputs that later stages read several times
-(the flagged requests, the three dimensions, the curated table, the two
-marts) are written as Parquet tables under the session's checkpoint
-directory and read back — the same hand-over the batch pipeline makes
-between its steps. That cuts lineage (a lost executor re-reads a written
-table instead of recomputing the whole chain) and gives the planner
-measured file sizes, so the dimension broadcasts are checked against real
-bytes. Written stages are reused within a session while the input files
-are unchanged.
+"""End-to-end stage composition: raw → dimensions → flagged → curated → marts.
+
+``compose`` wires every stage as a DataFrame. With a ``keep`` function (as
+``testdata_stages`` and ``run_pipeline`` pass) each stage is written as a
+Parquet table — under the session's checkpoint directory, or under the
+output directory of ``run_pipeline`` — and read back: the same hand-over
+the batch pipeline makes between its steps. That cuts lineage (a lost
+executor re-reads a written table instead of recomputing the whole chain),
+gives the planner measured file sizes, so the dimension broadcasts are
+checked against real bytes, and lets an ``Observation`` count each stage's
+rows during its write. ``testdata_stages`` reuses written stages within a
+session while the input files are unchanged.
 """
 
 from __future__ import annotations
@@ -51,7 +51,8 @@ class Stages:
 
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
                 counts: dict | None = None, path: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint directory and read it back.
+    """Write ``df`` as Parquet (under the checkpoint directory unless ``path``
+    is given) and read it back; the row count is observed during the write.
 
     A partitioned write is rebalanced first: AQE cuts the data into
     advisory-size tasks per partition value (splitting big months, merging
@@ -131,6 +132,8 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_dir: str,
                          f"{base}/processed/ingestion_report")
     FS.write_json_report(dimension_report(st), f"{base}/reference/reference_build_report")
     if database:
+        # managed tables live under the output folder, not a local warehouse
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base}/warehouse'")
         FS.register_external_table(spark, database, "service_requests", f"{base}/tables/curated",
                                    T.PARTITION_COLUMNS)
         for name, df in (("borough_category_monthly_summary", st.monthly),
