@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ticketflow.functions.numeric import nan_to_null
 from ticketflow.operators.onerow import side_by_side
+from ticketflow.session import scratch_path
 
 # CSV options that keep text exactly (outer spaces, embedded quotes/newlines).
 CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
@@ -63,7 +64,10 @@ def register_external_table(spark: SparkSession, database: str, table: str, path
     part_cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
                           if f.name in partition_cols)
     name = f"`{database}`.`{table}`"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    if not spark.catalog.databaseExists(database):
+        # a new database gets a shared location, never a machine-local warehouse
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` "
+                  f"LOCATION '{scratch_path(spark, 'db-' + database)}'")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
         f"CREATE TABLE {name} ({data_cols}, {part_cols}) USING PARQUET "
