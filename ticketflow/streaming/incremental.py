@@ -24,14 +24,31 @@ from ticketflow.sources import pages as PG
 
 
 def _cursor_values(landed: DataFrame, order: Sequence[Column]) -> tuple[list[Any] | None, int]:
-    """Last landed order tuple (NULLs last) and row count — one row to the driver."""
+    """Last landed order tuple (NULLs last) and row count — one row to the driver.
+
+    Values come back as typed literal columns (text cast to the order
+    column's own type), so a ``timestamp_ntz`` cursor stays wall-clock time
+    whatever the session time zone.
+    """
     fields = []
     for i, c in enumerate(order):
         fields += [c.isNull().alias(f"n{i}"), c.alias(f"v{i}")]
-    row = landed.agg(F.max(F.struct(*fields)).alias("m"), F.count(F.lit(1)).alias("n")).first()
+    agg = landed.agg(F.max(F.struct(*fields)).alias("m"), F.count(F.lit(1)).alias("n"))
+    types = {f.name: f.dataType for f in agg.schema["m"].dataType.fields}
+    row = agg.first()
     if row is None or row["n"] == 0 or row["m"] is None:
         return None, 0
-    return [row["m"][f"v{i}"] for i in range(len(order))], int(row["n"])
+    values: list[Any] = []
+    for i in range(len(order)):
+        v = row["m"][f"v{i}"]
+        t = types[f"v{i}"]
+        if v is None or isinstance(t, T.StringType):
+            values.append(v)
+        elif isinstance(t, (T.FloatType, T.DoubleType)):
+            values.append(F.lit(repr(float(v))).cast(t))
+        else:
+            values.append(F.lit(str(v)).cast(t))
+    return values, int(row["n"])
 
 
 def land(df: DataFrame, path: str, resume: bool) -> None:
