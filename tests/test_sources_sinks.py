@@ -118,3 +118,27 @@ def test_partitioned_table_mirror_and_serving(spark):
     s = FS.serving_load(spark, df, ["v", "x"], scratch_path(spark, "t_srv"), "t").first()
     assert (s["source_rows"], s["loaded_rows"], s["match"]) == (3, 3, True)
     assert FS.ddl_columns(df.schema, ["created_year"]).startswith("`created_month` int")
+
+
+def test_landing_and_derived_columns_ignore_session_time_zone(spark):
+    from ticketflow.operators.transform import add_derived, parse_dates
+    rows = [dict(unique_key=str(i), created_date=f"2023-03-12T0{i % 4}:30:00.000",
+                 closed_date="2023-03-12T05:00:00.000") for i in range(8)]
+    raw = _raw(spark, rows)
+    order = [PG.parse_ts(F.col("created_date")), F.col("unique_key")]
+    results = []
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York"):  # 2023-03-12 02:00 is a DST gap in New York
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            path = scratch_path(spark, "t_tz")
+            INC.first_landing(spark, raw, "2023-03-12", "2023-03-12", order, 3, path)
+            landed, _ = INC.resume_and_append(spark, raw, "2023-03-12", "2023-03-12", order, path)
+            derived = add_derived(parse_dates(raw)).select("unique_key", "resolution_hours",
+                                                           "created_hour", "created_day_of_week")
+            results.append((sorted(r["unique_key"] for r in landed.collect()),
+                            sorted(map(tuple, derived.collect()))))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert results[0] == results[1]
+    assert results[0][0] == sorted(str(i) for i in range(8))
