@@ -100,6 +100,7 @@ def q_schema_contract(spark, sf):
         F.struct(F.lit(c).alias("column_name"), F.col(c).alias("non_null_rows"),
                  F.col(f"blank_{c}").alias("blank_rows")) for c in REQUIRED_COLUMNS])).alias("x")
     ).select("x.*")
+    # ``long`` is one row per contract column (10 rows): a proven bound
     return rep.join(F.broadcast(long), "column_name", "left").select(
         "position", "column_name", "present", "non_null_rows", "blank_rows")
 

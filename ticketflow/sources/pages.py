@@ -96,7 +96,7 @@ def land_pages(df: DataFrame, path: str, page_size: int) -> None:
     (df.withColumn("page", page)
        .groupBy("page").agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns])))
                             .alias("value"))
-       .repartition("page")
+       .repartition("page")  # one task per page file; each page row is bounded
        .write.mode("overwrite").partitionBy("page").text(path))
 
 
