@@ -142,3 +142,13 @@ def test_landing_and_derived_columns_ignore_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert results[0] == results[1]
     assert results[0][0] == sorted(str(i) for i in range(8))
+
+
+def test_reconcile_copy_finds_content_differences(spark):
+    src = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    same = spark.createDataFrame([(2, "b"), (1, "a"), (1, "a")], "k int, v string")
+    changed = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "k int, v string")
+    r = FS.reconcile_copy(src, same).first()
+    assert (r["missing_rows"], r["extra_rows"], r["match"]) == (0, 0, True)
+    r = FS.reconcile_copy(src, changed).first()
+    assert (r["source_rows"], r["copy_rows"], r["missing_rows"], r["extra_rows"], r["match"]) == (3, 3, 1, 1, False)
