@@ -63,12 +63,14 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_raw_csv(spark: SparkSession, path: str, extra_columns: Sequence[str] | None = None,
-                 na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+                 na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = True) -> DataFrame:
     """Scan raw request CSV(s) with header as strings; apply the NA tokens.
 
     The header is checked against the contract before any data job runs.
     Contract columns come first; the other header columns follow as strings
-    (all of them, or only ``extra_columns`` when given).
+    (all of them, or only ``extra_columns`` when given). ``multiline`` keeps
+    quoted fields with line breaks intact but makes each file one task; for
+    large files without such fields pass ``False`` so files split by size.
     """
     header = csv_header(spark, path)
     missing = missing_columns(header)
@@ -80,7 +82,7 @@ def read_raw_csv(spark: SparkSession, path: str, extra_columns: Sequence[str] |
     schema = string_schema(header)
     df = (spark.read.schema(schema)
           .option("header", True)
-          .option("multiLine", True)
+          .option("multiLine", multiline)
           .option("escape", '"')
           .option("mode", "PERMISSIVE")
           .csv(path)
