@@ -66,8 +66,17 @@ def _keyed(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("unique_key").isNotNull())
 
 
+def _source(spark, sf) -> DataFrame:
+    """The raw landing with its parsed creation time: date ranges on it are
+    pushed into the Parquet scan."""
+    return _keyed(_st(spark, sf).landed)
+
+
+TS = flow.LANDING_TS
+
+
 def _slice_order() -> list:
-    return [parse_ts(F.col("created_date")), F.col("unique_key"), F.col("closed_date"),
+    return [F.col(TS), F.col("unique_key"), F.col("closed_date"),
             F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")]
 
 
@@ -106,28 +115,27 @@ def q_schema_contract(spark, sf):
 
 
 def q_keyset_page(spark, sf):
-    raw = _keyed(_st(spark, sf).raw)
     limit = PG.page_limit(PAGE_SIZE, None, 0)
-    return PG.keyset_page(raw, _slice_order(),
+    return PG.keyset_page(_source(spark, sf), _slice_order(),
                           (F.lit(PAGE_CURSOR[0]).try_cast("timestamp_ntz"), PAGE_CURSOR[1]),
-                          limit, where=PG.in_date_range("created_date", SLICE_START, SLICE_END)
+                          limit, where=PG.in_date_range(TS, SLICE_START, SLICE_END)
                           ).select(*RAW_TEXT)
 
 
 def q_resume_cursor(spark, sf):
-    landed = INC.first_landing(spark, _keyed(_st(spark, sf).raw), SLICE_START, SLICE_END,
-                               _slice_order(), FIRST_LANDING_ROWS)
+    landed = INC.first_landing(spark, _source(spark, sf), SLICE_START, SLICE_END,
+                               _slice_order(), FIRST_LANDING_ROWS, ts_col=TS)
     return PG.resume_cursor(landed, ["created_date", "unique_key"])
 
 
 def q_incremental_slice(spark, sf):
-    return INC.incremental_slice(spark, _keyed(_st(spark, sf).raw), SLICE_START, SLICE_END,
-                                 _slice_order(), FIRST_LANDING_ROWS)[0].select(*RAW_TEXT)
+    return INC.incremental_slice(spark, _source(spark, sf), SLICE_START, SLICE_END,
+                                 _slice_order(), FIRST_LANDING_ROWS, ts_col=TS)[0].select(*RAW_TEXT)
 
 
 def q_slice_manifest(spark, sf):
-    landed, _ = INC.incremental_slice(spark, _keyed(_st(spark, sf).raw), SLICE_START, SLICE_END,
-                                           _slice_order(), FIRST_LANDING_ROWS)
+    landed, _ = INC.incremental_slice(spark, _source(spark, sf), SLICE_START, SLICE_END,
+                                      _slice_order(), FIRST_LANDING_ROWS, ts_col=TS)
     return INC.manifest(landed, SLICE_START, SLICE_END, None)
 
 

@@ -56,21 +56,25 @@ def land(df: DataFrame, path: str, resume: bool) -> None:
 
 
 def first_landing(spark: SparkSession, source: DataFrame, start: str, end: str,
-                  order: Sequence[Column], rows: int, path: str | None = None) -> DataFrame:
-    """A fresh landing of the first ``rows`` rows of the range (a capped pull)."""
+                  order: Sequence[Column], rows: int, path: str | None = None,
+                  ts_col: str = "created_date") -> DataFrame:
+    """A fresh landing of the first ``rows`` rows of the range (a capped pull).
+
+    ``ts_col`` is the column the date range applies to (text is parsed; a
+    stored timestamp column makes the range a pushed-down scan filter)."""
     path = path or scratch_path(spark, "landing")
-    page = PG.keyset_page(source, order, None, rows, where=PG.in_date_range("created_date", start, end))
+    page = PG.keyset_page(source, order, None, rows, where=PG.in_date_range(ts_col, start, end))
     land(page, path, resume=False)
     return spark.read.parquet(path)
 
 
 def resume_and_append(spark: SparkSession, source: DataFrame, start: str, end: str,
-                      order: Sequence[Column], path: str,
-                      max_records: int | None = None) -> tuple[DataFrame, list[Any] | None]:
+                      order: Sequence[Column], path: str, max_records: int | None = None,
+                      ts_col: str = "created_date") -> tuple[DataFrame, list[Any] | None]:
     """Append everything after the landing's cursor (up to the remaining quota)."""
     landed = spark.read.parquet(path)
     cursor, written = _cursor_values(landed, order)
-    rest = source.where(PG.in_date_range("created_date", start, end))
+    rest = source.where(PG.in_date_range(ts_col, start, end))
     if cursor is not None:
         rest = rest.where(PG.after_cursor(order, cursor))
     if max_records is not None:
@@ -81,11 +85,12 @@ def resume_and_append(spark: SparkSession, source: DataFrame, start: str, end: s
 
 
 def incremental_slice(spark: SparkSession, source: DataFrame, start: str, end: str,
-                      order: Sequence[Column], first_rows: int) -> tuple[DataFrame, list[Any] | None]:
+                      order: Sequence[Column], first_rows: int,
+                      ts_col: str = "created_date") -> tuple[DataFrame, list[Any] | None]:
     """Fresh landing of ``first_rows`` rows, then a resumed append of the rest."""
     path = scratch_path(spark, "landing")
-    first_landing(spark, source, start, end, order, first_rows, path)
-    return resume_and_append(spark, source, start, end, order, path)
+    first_landing(spark, source, start, end, order, first_rows, path, ts_col=ts_col)
+    return resume_and_append(spark, source, start, end, order, path, ts_col=ts_col)
 
 
 def manifest(landed: DataFrame, start: str, end: str, max_records: int | None,
