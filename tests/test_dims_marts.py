@@ -100,3 +100,17 @@ def test_rank_keeps_ties_and_ytd_is_unweighted(spark):
            for r in M.category_totals_ytd(mart).collect()}
     assert ytd["Noise"] == (6, 5.5)     # mean of 10.0 and 1.0, not volume-weighted
     assert ytd["Other"] == (1, None)
+
+
+def test_all_dimensions_matches_separate_builds(spark):
+    from ticketflow.settings import PipelineSettings
+    rows = ([dict(agency="DOT", agency_name="Transport", complaint_type="Street Condition", borough=" queens")] * 2
+            + [dict(agency="NYPD", agency_name="Police", complaint_type="Noise", borough="BRONX")] * 3
+            + [dict(agency=None, agency_name=None, complaint_type=None, borough=None)])
+    raw = _raw(spark, rows)
+    for local in (1_000_000, 0):   # one-task windows, then the range-partitioned path
+        s = PipelineSettings(local_id_rows=local)
+        a, t, b = D.split_dimensions(D.all_dimensions(raw, s))
+        for got, want in ((a, D.dim_agency(raw)), (t, D.dim_complaint_type(raw)), (b, D.dim_borough(raw))):
+            assert got.columns == want.columns
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -12,7 +12,7 @@ codes with several spellings are reported.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketflow.functions.categories import categorize
@@ -122,3 +122,55 @@ def build_report(raw: DataFrame, agency: DataFrame, complaint: DataFrame,
     return one.select("rows_processed", "agency_count", "agency_conflict_count",
                       "complaint_type_count", other_pct.alias("complaint_type_other_category_pct"),
                       "borough_count", "borough_values")
+
+
+def all_dimensions(raw_or_counts: DataFrame,
+                   settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
+    """The three dimensions in one table: (dim, dim_id, dim_key, name, category,
+    record_count), ids 1.. in key order within each dimension.
+
+    One count job proves every dimension small enough (``local_id_rows``)
+    for a per-dimension ``row_number`` window; otherwise each dimension is
+    numbered by the range-partitioned path of ``ids.sequential_ids``.
+    """
+    c = _counts(raw_or_counts)
+    names = agency_name_counts(c)
+    agency = names.groupBy("agency_code").agg(
+        F.min(F.struct((-F.col("record_count")).alias("neg"), F.col("agency_name").alias("name")))
+        .alias("best"),
+        F.sum("record_count").alias("record_count"),
+    ).select(F.lit("agency").alias("dim"), F.col("agency_code").alias("dim_key"),
+             F.col("best.name").alias("name"), F.lit(None).cast("string").alias("category"),
+             "record_count")
+    types = (c.where(F.col("set") == "complaint_type")
+             .select(F.lit("complaint_type").alias("dim"), F.col("complaint_type").alias("dim_key"),
+                     F.lit(None).cast("string").alias("name"),
+                     categorize("complaint_type", settings.category_rules).alias("category"),
+                     "record_count"))
+    boroughs = (c.where(F.col("set") == "borough")
+                .select(F.lit("borough").alias("dim"), F.col("borough").alias("dim_key"),
+                        F.lit(None).cast("string").alias("name"),
+                        F.lit(None).cast("string").alias("category"), "record_count"))
+    u = agency.unionByName(types).unionByName(boroughs)
+    largest = u.groupBy("dim").count().agg(F.max("count")).first()[0] or 0
+    cols = ["dim", "dim_id", "dim_key", "name", "category", "record_count"]
+    if largest <= settings.local_id_rows:
+        w = Window.partitionBy("dim").orderBy(F.col("dim_key").asc_nulls_first())
+        return u.withColumn("dim_id", F.row_number().over(w).cast("long")).select(*cols)
+    parts = [sequential_ids(u.where(F.col("dim") == d), "dim_key", "dim_id", 0)
+             for d in ("agency", "complaint_type", "borough")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(*cols)
+
+
+def split_dimensions(dims: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(dim_agency, dim_complaint_type, dim_borough) from ``all_dimensions``."""
+    d = F.col("dim")
+    agency = dims.where(d == "agency").select(
+        F.col("dim_id").alias("agency_id"), F.col("dim_key").alias("agency_code"),
+        F.col("name").alias("agency_name"), "record_count")
+    types = dims.where(d == "complaint_type").select(
+        F.col("dim_id").alias("complaint_type_id"), F.col("dim_key").alias("complaint_type"),
+        "category", "record_count")
+    boroughs = dims.where(d == "borough").select(
+        F.col("dim_id").alias("borough_id"), F.col("dim_key").alias("borough"), "record_count")
+    return agency, types, boroughs

@@ -95,9 +95,8 @@ def compose(raw: DataFrame, refs: dict | None, settings: PipelineSettings,
     landed = keep(raw.withColumn(LANDING_TS, parse_ts(F.col("created_date"))), "raw", ())
     raw = landed.drop(LANDING_TS)
     counts = keep(D.value_counts(raw), "dim_value_counts", ())  # one scan for all three
-    da = keep(D.dim_agency(counts, settings), "dim_agency", ())
-    dc = keep(D.dim_complaint_type(counts, settings), "dim_complaint_type", ())
-    db = keep(D.dim_borough(counts, settings), "dim_borough", ())
+    dims = keep(D.all_dimensions(counts, settings), "dimensions", ())  # one small table
+    da, dc, db = D.split_dimensions(dims)
     if refs is None:
         refs = {"agency": da.select("agency_code"),
                 "complaint_type": dc.select("complaint_type"),

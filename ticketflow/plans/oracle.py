@@ -448,13 +448,12 @@ BODIES: dict[str, str] = {
     "handover_counts": """SELECT 1 AS step, 'raw' AS stage, (SELECT count(*) FROM raw) AS rows
         UNION ALL SELECT 2, 'dim_value_counts', (SELECT count(*) FROM agency_names)
           + (SELECT count(*) FROM dim_complaint_type) + (SELECT count(*) FROM dim_borough)
-        UNION ALL SELECT 3, 'dim_agency', (SELECT count(*) FROM dim_agency)
-        UNION ALL SELECT 4, 'dim_complaint_type', (SELECT count(*) FROM dim_complaint_type)
-        UNION ALL SELECT 5, 'dim_borough', (SELECT count(*) FROM dim_borough)
-        UNION ALL SELECT 6, 'flagged', (SELECT count(*) FROM flagged)
-        UNION ALL SELECT 7, 'curated', (SELECT count(*) FROM curated)
-        UNION ALL SELECT 8, 'monthly', (SELECT count(*) FROM monthly)
-        UNION ALL SELECT 9, 'daily', (SELECT count(*) FROM daily)""",
+        UNION ALL SELECT 3, 'dimensions', (SELECT count(*) FROM dim_agency)
+          + (SELECT count(*) FROM dim_complaint_type) + (SELECT count(*) FROM dim_borough)
+        UNION ALL SELECT 4, 'flagged', (SELECT count(*) FROM flagged)
+        UNION ALL SELECT 5, 'curated', (SELECT count(*) FROM curated)
+        UNION ALL SELECT 6, 'monthly', (SELECT count(*) FROM monthly)
+        UNION ALL SELECT 7, 'daily', (SELECT count(*) FROM daily)""",
 }
 
 for _k in ("monthly_summary", "daily_summary", "monthly_summary_head", "top_category_per_borough_month",
