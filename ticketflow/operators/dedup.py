@@ -118,7 +118,7 @@ def _hot_flags(df: DataFrame, key: str, order: Sequence[str], flag: str,
 
 def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
                  hot_over: int = 1_000_000, max_hot_keys: int = 100_000,
-                 chunk_rows: int = 100_000, max_repeated_keys: int = 2_000_000,
+                 chunk_rows: int = 100_000, max_repeated_keys: int = 1_000_000,
                  max_repeated_share: float = 0.25) -> DataFrame:
     """Add boolean ``flag``: the row's key already occurred earlier in ``order``.
 

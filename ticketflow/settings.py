@@ -122,7 +122,7 @@ class PipelineSettings:
     max_hot_keys: int = 100_000
     # Most repeated keys broadcast so rows of single keys skip the shuffle,
     # and the largest share of rows under repeated keys for which that pays.
-    max_repeated_keys: int = 2_000_000
+    max_repeated_keys: int = 1_000_000
     max_repeated_share: float = 0.25
     # Copies of one identical row above which regeneration is split in chunks.
     copy_chunk_rows: int = 100_000
