@@ -156,15 +156,22 @@ _CACHE: dict[tuple, Stages] = {}
 
 
 def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    h = hashlib.sha1()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        for st in fs.listStatus(hp) if fs.getFileStatus(hp).isDirectory() else [fs.getFileStatus(hp)]:
-            h.update(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()};".encode())
-    return h.hexdigest()
+    """Names, sizes and modification times of the input files (cache key).
+
+    Without a JVM gateway (e.g. Spark Connect) a fresh value is returned,
+    so stages are simply rebuilt instead of reused."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        h = hashlib.sha1()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            fs = hp.getFileSystem(conf)
+            for st in fs.listStatus(hp) if fs.getFileStatus(hp).isDirectory() else [fs.getFileStatus(hp)]:
+                h.update(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()};".encode())
+        return h.hexdigest()
+    except Exception:  # noqa: BLE001 - no gateway: never reuse
+        return uuid.uuid4().hex
 
 
 INPUT_TABLES = ("orders", "lineitem", "customer", "nation", "region", "part")
@@ -176,7 +183,7 @@ def testdata_stages(spark: SparkSession, sf_dir: str, materialize: bool = True,
     if not materialize:
         return compose(TD.raw_requests(spark, sf_dir), TD.reference_sets(spark, sf_dir), settings)
     fp = _fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in INPUT_TABLES])
-    key = (id(spark.sparkContext._jsc), spark.sparkContext.applicationId, fp,
+    key = (id(spark), spark.conf.get("spark.app.id", ""), fp,
            tuple(getattr(settings, f.name) if f.name != "thresholds" else
                  tuple(sorted(settings.thresholds.items())) for f in fields(settings)))
     hit = _CACHE.get(key)
