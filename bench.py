@@ -50,7 +50,7 @@ def main() -> None:
     warmup = round(time.time() - tw, 3)
 
     t0 = time.time()
-    flow.testdata_stages(spark, sf)
+    stages = flow.testdata_stages(spark, sf)
     build = time.time() - t0
 
     times: dict[str, float] = {"stage_build": round(build, 3)}
@@ -61,7 +61,7 @@ def main() -> None:
     total = round(time.time() - t0, 3)
     print(json.dumps({"metric": "pipeline_and_queries_wall", "value": total, "unit": "sec",
                       "queries": times, "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
-                      "cpus": cpus, "warmup_sec": warmup,
+                      "cpus": cpus, "stage_rows": stages.counts, "warmup_sec": warmup,
                       "warmup_sf": os.path.basename(warm_dir.rstrip("/")).replace("sf", "")}))
     spark.stop()
 
