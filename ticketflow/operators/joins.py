@@ -19,8 +19,8 @@ DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer estimate of the frame's size in bytes, or None if unknown."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(str(size.toString()))
     except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Spark Connect)
         return None
 
