@@ -9,14 +9,15 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
+from ticketflow.plans.oracle import oracle_sql
+from ticketflow.plans.registry import QUERIES
 from check_oracle import TABLES, digest
 
 from conftest import SF0001
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF0001), reason="driver tables not present")
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -31,14 +32,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF0001)
+    df = QUERIES[name](spark, SF0001)
     rows = [tuple(r) for r in df.collect()]
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(oracle_sql()[name])
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(rows) == len(orows)
