@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +61,16 @@ def bounded_broadcast(df: DataFrame, row_bytes: int,
     return df, False
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it
+    (elsewhere they need it installed or sent with ``--py-files``)."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(x for x in [root, *paths] if x)
+
+
 def map_arrow(df: DataFrame, fn, schema: StructType | str) -> DataFrame:
     """``mapInArrow`` for a function from an iterator of batches to one of
     column dictionaries; columns are cast to the declared schema."""
@@ -66,6 +78,7 @@ def map_arrow(df: DataFrame, fn, schema: StructType | str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(spark_schema)
+    ship_package(df.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols in fn(batches):

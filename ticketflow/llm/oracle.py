@@ -30,6 +30,37 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP5 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+g AS (
+  SELECT payload_digest, payload_bytes, max(page_id) AS last_id FROM p WHERE payload_bytes >= 1000
+  GROUP BY 1, 2 HAVING count(*) > 1)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN last_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN last_id <> page_id THEN last_id END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
+"""
+
+_ESC = r"replace(replace(replace({0}, '\', '\\'), '<', '\l'), '#', '\h')"
+OP7 = rf"""
+WITH c AS (
+  SELECT conv_id, turn, role AS r, coalesce(role, '') AS role, text AS t, coalesce(text, '') AS text
+  FROM (SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, t NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<turn role=>' || chr(10) || {_ESC.format('text')} || chr(10) || '</turn>' || chr(10))
+    + length(replace(replace({_ESC.format('role')}, '>', '\g'), chr(10), '\n'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
+    "op5_warc": OP5,
+    "op7_chat": OP7,
 }

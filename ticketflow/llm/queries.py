@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ticketflow.llm import chat as CH
 from ticketflow.llm import decontaminate as DC
+from ticketflow.llm import token_counts as TC
+from ticketflow.llm import warc as WA
 from ticketflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +19,26 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DC.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return WA.archive_and_read(table(spark, sf_dir, "pages"))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like the template."""
+    odd = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return CH.read_back(CH.render(CH.fold(CH.events_of(rows))))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TC.context_report(TC.length_histogram(TC.encoded_lengths(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op5_warc": op5_warc,
+    "op7_chat": op7_chat,
+    "op9_token_counts": op9_token_counts,
 }
