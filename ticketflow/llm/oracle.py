@@ -30,6 +30,56 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP2 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TOKEN}') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, sh FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) = 1 THEN ws
+      ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS sh FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b USING (sh) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT reach.doc_id, e.y FROM reach JOIN e ON e.x = reach.r)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles,
+  coalesce(min(r), d.doc_id) AS component_id, d.doc_id = coalesce(min(r), d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+# The bisected exponent of a repetition limit has a closed form.
+OP3 = f"""
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(text, '')) AS h,
+    coalesce(len(regexp_extract_all(text, '{TOKEN}')), 0) AS n_tokens FROM documents),
+src AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM d GROUP BY 1),
+st AS (SELECT CAST(sum(tokens) AS DOUBLE) AS total, CAST(max(tokens) AS DOUBLE) AS most, min(tokens) AS least FROM src WHERE tokens > 0),
+ex AS (SELECT total, CASE WHEN most = least THEN 1.0 ELSE greatest(0.0, 1 - ln(4.0) / ln(most / least)) END AS a FROM st),
+raw AS (SELECT source, tokens, CASE WHEN tokens > 0 THEN power(tokens / total, a) END AS raw FROM src, ex),
+budget AS (
+  SELECT source, tokens, CAST(floor(round(coalesce(raw, 0) * max(tokens / raw) OVER (), 6)) AS BIGINT) AS budget FROM raw),
+plan AS (
+  SELECT source, CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS whole,
+    CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest FROM budget),
+whole_passes AS (
+  SELECT doc_id, d.source, n_tokens, h, unnest(range(0, whole)) AS epoch
+  FROM d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
+drawn AS (
+  SELECT doc_id, source, n_tokens, epoch, md5(concat_ws('|', '17', epoch, coalesce(CAST(doc_id AS VARCHAR), ''), h)) AS place
+  FROM whole_passes),
+last_pass AS (
+  SELECT doc_id, d.source, n_tokens, whole AS epoch, rest,
+    md5(concat_ws('|', '17', whole, coalesce(CAST(doc_id AS VARCHAR), ''), h)) AS place
+  FROM d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source WHERE rest > 0),
+filled AS (
+  SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source ORDER BY place, doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled FROM last_pass)
+SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(epoch AS BIGINT) AS epoch, place FROM drawn
+UNION ALL SELECT doc_id, source, CAST(n_tokens AS BIGINT), CAST(epoch AS BIGINT), place FROM filled WHERE filled < rest
+"""
+
 OP5 = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
@@ -43,6 +93,21 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
 """
 
+# Sums run from left to right, as in the operator.
+OP6 = """
+WITH v AS (
+  SELECT vec_id, e, list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b) AS sq
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+  WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]), lambda a, b: a + b) / (sqrt(q.sq) * sqrt(c.sq)) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
+"""
+
 _ESC = r"replace(replace(replace({0}, '\', '\\'), '<', '\l'), '#', '\h')"
 OP7 = rf"""
 WITH c AS (
@@ -61,6 +126,9 @@ FROM c GROUP BY conv_id
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
+    "op2_near_duplicates": OP2,
+    "op3_mixing": OP3,
     "op5_warc": OP5,
+    "op6_nearest": OP6,
     "op7_chat": OP7,
 }
