@@ -17,7 +17,7 @@ from ticketflow.llm import toxicity as TX
 from ticketflow.llm import url_filter as UF
 from ticketflow.llm import vantage as VP
 from ticketflow.llm import warc as WA
-from ticketflow.llm.common import table
+from ticketflow.llm.common import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,7 +68,9 @@ def op8_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TC.context_report(TC.length_histogram(TC.encoded_lengths(table(spark, sf_dir, "documents"))))
+    lengths = TC.encoded_lengths(table(spark, sf_dir, "documents"))
+    # read twice by the report: encode once
+    return TC.context_report(materialize(TC.length_histogram(lengths), "length-histogram"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
