@@ -2,7 +2,6 @@
 
 import math
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from ticketflow.functions.categories import categorize
@@ -53,19 +52,43 @@ def test_na_tokens_become_null(spark):
     assert got == [None, None, None, None, "n/a ", "value"]
 
 
-def test_nan_to_null_only_touches_nan(spark):
-    df = spark.createDataFrame(
-        [(2023, 2, "UNSPECIFIED", float("nan"), 5), (2023, 1, "BRONX", 357.19, 24060),
-         (0, 0, "", 0.0, 0), (None, None, None, None, None)],
-        "y int, m int, b string, h double, n int")
-    rows = [tuple(r) for r in nan_to_null(df).collect()]
-    assert rows[0] == (2023, 2, "UNSPECIFIED", None, 5)
-    assert rows[1] == (2023, 1, "BRONX", 357.19, 24060)
-    assert rows[2] == (0, 0, "", 0.0, 0)
-    assert rows[3] == (None, None, None, None, None)
-
-
-def test_nan_to_null_numpy_nan_and_average(spark):
-    df = spark.createDataFrame([(float(np.float64("nan")),), (2.0,), (None,)], "h double")
-    assert math.isnan(df.agg(F.avg("h")).first()[0])
-    assert nan_to_null(df).agg(F.avg("h")).first()[0] == 2.0
+def test_nan_is_replaced_in_every_floating_column_and_nowhere_else(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("NaN", 1, nan, 2.5), (None, None, -0.0, nan), ("x", 3, inf, -inf), ("", 0, None, 1e-320)]
+    df = spark.createDataFrame(rows, "label string, n long, a double, b float")
+    back = nan_to_null(df)
+    assert back.dtypes == df.dtypes
+    got = [tuple(r) for r in back.collect()]
+    assert got[0] == ("NaN", 1, None, 2.5) and got[1] == (None, None, 0.0, None)
+    assert got[2] == ("x", 3, inf, -inf) and got[3] == ("", 0, None, 0.0)
+    assert math.copysign(1, got[1][2]) == -1
+
+
+def test_nan_no_longer_spoils_an_aggregate(spark):
+    df = spark.createDataFrame([("g", float("nan")), ("g", 4.0), ("h", float("nan"))], "k string, v double")
+    got = {r.k: (r.s, r.n) for r in nan_to_null(df).groupBy("k").agg(F.sum("v").alias("s"), F.count("v").alias("n")).collect()}
+    assert got == {"g": (4.0, 1), "h": (None, 0)}
+
+
+def test_integer_division_is_exact_far_beyond_doubles(spark):
+    from ticketflow.functions.timecols import half_up_avg_cents, int_div
+    from ticketflow.operators.quality import pct_half_up
+    pairs = [(2**53 + 1, 1), (10**17 + 7, 3), (9 * 10**18, 7), (5, 10**18), (0, 1)]
+    pairs += [(10**11 - i * 7919, 10**11) for i in range(50)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    assert [r[0] for r in df.select(int_div(F.col("a"), F.col("b"))).collect()] == [a // b for a, b in pairs]
+    rates = [r[0] for r in df.where("b = 100000000000").select(pct_half_up(F.col("a"), F.col("b"), 4)).collect()]
+    assert rates == [((2 * 10**6 * a + b) // (2 * b)) / 10**4 for a, b in pairs if b == 10**11]
+    sums = [(4 * 10**17 + 1, 10**11), (10**11 + 5, 10), (7, 2)]
+    df = spark.createDataFrame(sums, "s long, n long")
+    got = [r[0] for r in df.select(half_up_avg_cents(F.col("s"), F.col("n"))).collect()]
+    assert got == [((2 * s + n) // (2 * n)) / 100.0 for s, n in sums]
+
+
+def test_declared_date_formats(spark):
+    from ticketflow.functions.timecols import parse_ts
+    texts = ["01/15/2023 10:00:00 AM", "15.01.2023", "2023-01-15T10:00:00", "01/15/2023 10:00", None]
+    formats = ("MM/dd/yyyy hh:mm:ss a", "dd.MM.yyyy")
+    got = _one(spark, lambda c: parse_ts(c, formats).cast("string"), texts)
+    assert got == ["2023-01-15 10:00:00", "2023-01-15 00:00:00", "2023-01-15 10:00:00", None, None]
+    assert _one(spark, lambda c: parse_ts(c).cast("string"), texts[:1]) == [None]

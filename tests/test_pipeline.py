@@ -42,7 +42,7 @@ def test_curated_quality_rules(stages):
     assert s["min_resolution_hours"] >= 0
     assert s["null_categories"] == 0
     assert s["null_boroughs"] == 0
-    assert flow.unmatched_dimension_keys(stages).first().asDict() == {
+    assert flow.unmatched_keys(stages.curated).first().asDict() == {
         "unmatched_agency": 0, "unmatched_complaint_type": 0, "unmatched_borough": 0}
 
 
@@ -59,7 +59,7 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:4] == ["created_year", "created_month", "borough", "complaint_category"]
     assert df.count() > 0
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
     assert os.path.exists(SF0001)
 
 

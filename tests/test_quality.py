@@ -170,3 +170,34 @@ def test_unique_keys_need_no_shuffle(spark):
     out = flag_repeats(raw, "unique_key", ["created_date"], "dup")
     assert [r["dup"] for r in out.collect()] == [False] * 11
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_of_any_column_type(spark):
+    rows = [("a", [1, i % 2], {"x": i % 2}) for i in range(8)] + [("b", None, None), (None, [1], {})]
+    df = spark.createDataFrame(rows, "k string, v array<int>, m map<string,int>")
+    plain = flag_repeats(df, "k", [], "dup", max_repeated_keys=0)
+    hot = flag_repeats(df, "k", [], "dup", hot_over=2, max_repeated_keys=0, chunk_rows=3)
+    want = sorted(repr(tuple(r)) for r in plain.collect())
+    assert sorted(repr(tuple(r)) for r in hot.collect()) == want and sum("True" in w for w in want) == 7
+
+
+def test_a_type_without_an_order_is_refused_at_any_size(spark):
+    import pytest
+    df = spark.createDataFrame([("a", [{"x": 1}])], "k string, v array<map<string,int>>")
+    for limit in (1, 1_000_000):
+        with pytest.raises(TypeError):
+            flag_repeats(df, "k", [], "dup", hot_over=limit)
+
+
+def test_census_is_written_once_and_broadcasts_are_bounded(spark):
+    raw = _raw(spark, [dict(GOOD, unique_key=str(i // 2)) for i in range(20)] + [dict(GOOD, unique_key=f"s{i}") for i in range(99)])
+    kept = []
+
+    def keep(df, name):
+        kept.append(name)
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    small = flag_repeats(raw, "unique_key", ["created_date"], "dup", keep=keep)
+    large = flag_repeats(raw, "unique_key", ["created_date"], "dup", broadcast_max_bytes=10)
+    assert kept == ["key_census"]
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))

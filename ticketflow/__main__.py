@@ -18,6 +18,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("raw", help="raw request CSV file or directory")
     ap.add_argument("out", help="output directory (shared filesystem on a cluster)")
     ap.add_argument("--database", default=None, help="register catalog tables in this database")
+    ap.add_argument("--multiline", action="store_true",
+                    help="quoted fields hold line breaks (each file is then read by one task)")
     ap.add_argument("--local", default=None, help="run on local[N] instead of the configured master")
     args = ap.parse_args(argv)
 
@@ -26,7 +28,8 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = local_session(args.local) if args.local else SparkSession.builder.getOrCreate()
     ensure_checkpoint_dir(spark)
-    st = flow.run_pipeline(spark, args.raw, args.out, database=args.database)
+    st = flow.run_pipeline(spark, args.raw, args.out, database=args.database,
+                           multiline=args.multiline)
     print(json.dumps({"rows_per_stage": st.counts}))
 
 

@@ -6,19 +6,26 @@ Request times are wall-clock local times, so they are parsed to
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ticketflow.functions.text import col_of
 
 
-def parse_ts(c: str | Column) -> Column:
+def parse_ts(c: str | Column, formats: Sequence[str] = ()) -> Column:
     """Lenient parse of text to ``timestamp_ntz``; anything unparseable is NULL.
 
-    Accepts the ISO forms ``yyyy-MM-dd[ HH:mm[:ss[.SSS]]]`` with ``T`` or space.
+    Accepts the ISO forms ``yyyy-MM-dd[ HH:mm[:ss[.SSS]]]`` with ``T`` or space,
+    then each of the declared ``formats`` (Spark date patterns) in turn.
     Timestamp inputs pass through (as NTZ).
     """
-    return col_of(c).try_cast("timestamp_ntz")
+    iso = col_of(c).try_cast("timestamp_ntz")
+    if not formats:
+        return iso
+    text = col_of(c).cast("string")
+    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
 def epoch_seconds(c: str | Column) -> Column:
@@ -49,8 +56,10 @@ def hours_to_cents(c: str | Column) -> Column:
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Floor division of non-negative longs, exact (no floating-point step)."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    """Floor division of non-negative integers, exact: an integer division of
+    decimals, so neither a floating-point step nor an overflow of the scaled
+    numerator (38 digits) can change it."""
+    return F.call_function("div", a.cast("decimal(38,0)"), b.cast("decimal(38,0)"))
 
 
 def half_up_avg_cents(sum_cents: Column, n: Column) -> Column:
@@ -60,6 +69,6 @@ def half_up_avg_cents(sum_cents: Column, n: Column) -> Column:
     not depend on the order in which partial sums were combined.
     NULL when ``n`` is 0 (no closed request in the group).
     """
-    s = sum_cents.cast("long")
-    n = n.cast("long")
+    s = sum_cents.cast("decimal(38,0)")
+    n = n.cast("decimal(38,0)")
     return F.when(n > 0, int_div(s * 2 + n, n * 2) / F.lit(100.0))

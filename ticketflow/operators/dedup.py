@@ -7,63 +7,89 @@ holding a third of the data would sit in a single task. The hot groups are
 therefore split off:
 
 1. a key census — one aggregate, partially combined map-side, shuffling
-   keys only — counts keys above a hot threshold. The threshold is raised,
-   if needed, so that at most ``max_hot_keys`` keys are hot: the hot-key
-   list then has a proven size bound and may be broadcast;
+   keys only — counts keys above a hot threshold. The caller may have it
+   written (``keep``), since several parts of the plan read it;
 2. cold keys (at most ``threshold`` rows each) use the window;
 3. rows of hot keys never shuffle by key: the first row of each hot key is
-   a partially-aggregated ``min`` of a sort struct (one row per hot key,
-   broadcast back); rows that differ from it are repeats outright, and the
-   exact copies of it are collapsed to one ``(row, copies)`` row and
-   regenerated in chunks spread over tasks (one copy stays unflagged).
-
-When few keys repeat at all (keys are meant to be unique), the repeated keys
-are broadcast and only their rows are shuffled; rows of single keys are
-settled where they are. With no hot key only the window runs. ``dedup_first``
-keeps one row per key through a ``min`` aggregate, which partial
-aggregation already makes skew-safe.
+   a partially-aggregated ``min`` of a sort struct; rows that differ from it are
+   repeats outright, and the exact copies of it are collapsed to one
+   ``(row, copies)`` row and regenerated in chunks spread over tasks (one copy
+   stays unflagged). First rows meet their key's rows in an inner join, which
+   Spark broadcasts below its byte threshold and else splits where it is skewed.
+
+When few keys repeat at all (keys are meant to be unique) and the measured
+bytes of the repeated keys are within a bound, these are broadcast and only
+their rows are shuffled; rows of single keys are settled where they are. With no
+hot key only the window runs. ``dedup_first`` keeps one row per key through a
+``min`` aggregate, which partial aggregation already makes skew-safe.
 
 The sort struct compares like ``ORDER BY o1 NULLS LAST, …`` and then every
-other column, so results do not depend on partitioning or arrival order.
+other column, so results do not depend on partitioning or arrival order. Maps
+take part as their sorted entries; a map inside another type has no order and
+is refused whatever the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_ORDERABLE = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
-              T.TimestampNTZType, T.BinaryType)
+# Bytes reckoned for a broadcast key besides its text.
+KEY_OVERHEAD_BYTES = 48
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _sort_fields(df: DataFrame, order: Sequence[str]) -> tuple[list[Column], list[str]]:
-    """Struct fields ordering like ``ORDER BY o1 NULLS LAST, …, rest…`` and
-    the payload column names (every orderable column, order columns first)."""
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return True
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    return isinstance(t, T.StructType) and any(_has_map(f.dataType) for f in t.fields)
+
+
+def check_orderable(df: DataFrame) -> None:
+    """Every column must have an order: maps only at the top, of orderable parts."""
+    for f in df.schema.fields:
+        parts = [f.dataType.keyType, f.dataType.valueType] if isinstance(f.dataType, T.MapType) else [f.dataType]
+        if any(_has_map(p) for p in parts):
+            raise TypeError(f"column {f.name!r} holds a map inside another type, which has no order")
+
+
+def _comparable(f: T.StructField) -> Column:
+    return F.array_sort(F.map_entries(_q(f.name))) if isinstance(f.dataType, T.MapType) else _q(f.name)
+
+
+def _original(f: T.StructField, c: Column) -> Column:
+    return F.map_from_entries(c) if isinstance(f.dataType, T.MapType) else c
+
+
+def sort_struct(df: DataFrame, order: Sequence[str]) -> Column:
+    """Struct that orders like ``ORDER BY o1 NULLS LAST, …, rest…`` over every column."""
+    by_name = {f.name: f for f in df.schema.fields}
     fields: list[Column] = []
     for i, c in enumerate(order):
-        fields.append(_q(c).isNull().alias(f"_n{i}"))
-        fields.append(_q(c).alias(f"_o{i}"))
-    rest = [f.name for f in df.schema.fields
-            if f.name not in order and isinstance(f.dataType, _ORDERABLE)]
-    for j, c in enumerate(rest):
-        fields.append(_q(c).alias(f"_r{j}"))
-    return fields, list(order) + rest
+        fields += [_q(c).isNull().alias(f"_n{i}"), _comparable(by_name[c]).alias(f"_o{i}")]
+    rest = [f for f in df.schema.fields if f.name not in order]
+    return F.struct(*fields, *[_comparable(f).alias(f"_r{j}") for j, f in enumerate(rest)])
 
 
-def sort_struct(df: DataFrame, order: Sequence[str]) -> Column:
-    return F.struct(*_sort_fields(df, order)[0])
+def from_sort_struct(df: DataFrame, order: Sequence[str], struct: str) -> list[Column]:
+    """The columns of ``df`` rebuilt from its sort struct."""
+    rest = [f.name for f in df.schema.fields if f.name not in order]
+    at = {**{c: f"_o{i}" for i, c in enumerate(order)}, **{c: f"_r{j}" for j, c in enumerate(rest)}}
+    return [_original(f, F.col(f"{struct}.{at[f.name]}")).alias(f.name) for f in df.schema.fields]
 
 
 def _window_order(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    _, names = _sort_fields(df, order)
-    return [_q(c).asc_nulls_last() for c in names]
+    by_name = {f.name: f for f in df.schema.fields}
+    names = [*order, *[f.name for f in df.schema.fields if f.name not in order]]
+    return [_comparable(by_name[c]).asc_nulls_last() for c in names]
 
 
 def hot_threshold(total: int, hot_over: int, max_hot_keys: int, n_hot: int) -> int:
@@ -83,24 +109,17 @@ def _cold_flags(df: DataFrame, key: str, order: Sequence[str], flag: str) -> Dat
     """Window flag. NULL keys are never repeats; they are spread over tasks by
     a content hash instead of forming one NULL group."""
     k = _q(key)
-    spread = F.when(k.isNull(), F.xxhash64(*[_q(c) for c in df.columns]))
+    spread = F.when(k.isNull(), F.xxhash64(*[_comparable(f) for f in df.schema.fields]))
     w = Window.partitionBy(k.isNull(), spread, k).orderBy(*_window_order(df, order))
     return df.withColumn(flag, k.isNotNull() & (F.row_number().over(w) > 1))
 
 
 def _hot_flags(df: DataFrame, key: str, order: Sequence[str], flag: str,
                chunk_rows: int) -> DataFrame:
-    cols = df.columns
-    fields, names = _sort_fields(df, order)
-    if sorted(names) != sorted(cols):
-        raise TypeError("hot-key path needs atomic column types")
-    field_of = {c: (f"_o{list(order).index(c)}" if c in order
-                    else f"_r{names.index(c) - len(order)}") for c in cols}
-    s = df.withColumn("__s", F.struct(*fields))
+    s = df.withColumn("__s", sort_struct(df, order))
     firsts = s.groupBy(_q(key).alias("__fk")).agg(F.min("__s").alias("__f"))
-    # one row per hot key; the census bounded their number
-    m = s.join(F.broadcast(firsts), _q(key) == F.col("__fk"), "inner")
-    repeats = m.where(F.col("__s") != F.col("__f")).select(*[_q(c) for c in cols],
+    m = s.join(firsts, _q(key) == F.col("__fk"), "inner")
+    repeats = m.where(F.col("__s") != F.col("__f")).select(*[_q(c) for c in df.columns],
                                                            F.lit(True).alias(flag))
     copies = (m.where(F.col("__s") == F.col("__f"))
               .groupBy("__fk", "__s").agg(F.count(F.lit(1)).alias("__copies")))
@@ -111,15 +130,16 @@ def _hot_flags(df: DataFrame, key: str, order: Sequence[str], flag: str,
     lo = F.col("__chunk") * chunk_rows + 1
     hi = F.least(n, (F.col("__chunk") + 1) * chunk_rows)
     regen = (chunks.withColumn("__copy", F.explode(F.sequence(lo, hi)))
-             .select(*[F.col(f"__s.{field_of[c]}").alias(c) for c in cols],
-                     (F.col("__copy") > 1).alias(flag)))
+             .select(*from_sort_struct(df, order, "__s"), (F.col("__copy") > 1).alias(flag)))
     return repeats.unionByName(regen)
 
 
 def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
                  hot_over: int = 1_000_000, max_hot_keys: int = 100_000,
                  chunk_rows: int = 100_000, max_repeated_keys: int = 1_000_000,
-                 max_repeated_share: float = 0.25) -> DataFrame:
+                 max_repeated_share: float = 0.25,
+                 broadcast_max_bytes: int = 64 * 1024 * 1024,
+                 keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Add boolean ``flag``: the row's key already occurred earlier in ``order``.
 
     Every occurrence after the first is flagged; the first is not, whatever
@@ -127,25 +147,32 @@ def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
     (a few scalars reach the driver) to choose the plan:
 
     * no key occurs twice: nothing to shuffle, the flag is false;
-    * at most ``max_repeated_keys`` keys occur twice and their rows are at
-      most ``max_repeated_share`` of all rows (the usual case — keys are meant
-      to be unique): those keys are broadcast (size proven by the census);
+    * at most ``max_repeated_keys`` keys, of at most ``broadcast_max_bytes`` in
+      all, occur twice and their rows are at most ``max_repeated_share`` of all
+      rows (the usual case — keys are meant to be unique): those keys are
+      broadcast (rows and bytes counted by the census);
       rows of single keys are settled without a shuffle and only rows of
       repeated keys go through the window / hot-key paths. This reads the
       input twice, so it is chosen only when it spares most of the shuffle;
     * otherwise every row goes through the window, hot keys split off.
     """
+    check_orderable(df)
     census = key_census(df, key)
+    if keep is not None:
+        census = keep(census, "key_census")
+    key_bytes = F.octet_length(F.col("__hk").cast("string")) + F.lit(KEY_OVERHEAD_BYTES)
     st = census.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total"),
                     F.count_if(F.col("__n") > 1).alias("repeated"),
                     F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("rep_rows"),
+                    F.coalesce(F.sum(F.when(F.col("__n") > 1, key_bytes)), F.lit(0)).alias("rep_bytes"),
                     F.count_if(F.col("__n") > hot_over).alias("hot")).first()
     total, n_rep, n_hot = int(st["total"]), int(st["repeated"]), int(st["hot"])
     if n_rep == 0:
         return df.withColumn(flag, F.lit(False))
     limit = hot_threshold(total, hot_over, max_hot_keys, n_hot)
-    if n_rep <= max_repeated_keys and int(st["rep_rows"]) <= max_repeated_share * total:
-        rep = F.broadcast(census.where(F.col("__n") > 1)  # <= max_repeated_keys rows
+    if (n_rep <= max_repeated_keys and int(st["rep_bytes"]) <= broadcast_max_bytes
+            and int(st["rep_rows"]) <= max_repeated_share * total):
+        rep = F.broadcast(census.where(F.col("__n") > 1)  # rows and bytes counted above
                           .select("__hk", (F.col("__n") > limit).alias("__hot")))
         singles = df.join(rep, _q(key) == F.col("__hk"), "left_anti").withColumn(flag, F.lit(False))
         repeated = df.join(rep, _q(key) == F.col("__hk"), "inner")
@@ -157,7 +184,9 @@ def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
         return out
     if n_hot == 0:
         return _cold_flags(df, key, order, flag)
-    hot_keys = F.broadcast(census.where(F.col("__n") > limit).select("__hk"))  # <= max_hot_keys
+    hot_keys = census.where(F.col("__n") > limit).select("__hk")
+    if int(st["rep_bytes"]) <= broadcast_max_bytes:  # the hot keys are among the repeated ones
+        hot_keys = F.broadcast(hot_keys)
     tagged = df.join(hot_keys, _q(key) == F.col("__hk"), "left")
     cold = tagged.where(F.col("__hk").isNull()).drop("__hk")
     hot = tagged.where(F.col("__hk").isNotNull()).drop("__hk")
@@ -171,18 +200,16 @@ def dedup_first(df: DataFrame, key: str, order: Sequence[str], check_unique: boo
     A key census runs first (keys only, combined map-side): when no key
     occurs twice — e.g. after validation, which already rejected every
     repeat — the rows are returned as they are and never shuffled.
-    Otherwise ``min`` of a struct ``(sort struct, row)`` per key is
-    partially aggregated map-side, so a hot key is reduced to one row per
-    task before the shuffle.
+    Otherwise ``min`` of the sort struct per key, from which the row is
+    rebuilt, is partially aggregated map-side, so a hot key is reduced to one
+    row per task before the shuffle.
     """
+    check_orderable(df)
     if check_unique:
         k = _q(key)
         st = (df.groupBy(k.alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
               .agg(F.count_if(F.col("__n") > 1).alias("repeated")).first())
         if st is None or int(st["repeated"] or 0) == 0:
             return df
-    cols = df.columns
-    payload = F.struct(*[_q(c).alias(f"_p{i}") for i, c in enumerate(cols)])
-    best = (df.groupBy(_q(key).alias("__k"))
-            .agg(F.min(F.struct(sort_struct(df, order).alias("s"), payload.alias("p"))).alias("__b")))
-    return best.select(*[F.col(f"__b.p._p{i}").alias(c) for i, c in enumerate(cols)])
+    best = df.groupBy(_q(key).alias("__k")).agg(F.min(sort_struct(df, order)).alias("__s"))
+    return best.select(*from_sort_struct(df, order, "__s"))

@@ -56,16 +56,8 @@ def agency_name_counts(raw: DataFrame) -> DataFrame:
 
 def dim_agency(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
     """(agency_id, agency_code, agency_name, record_count); ``raw`` may be the
-    raw requests or their ``value_counts``."""
-    names = agency_name_counts(raw)
-    per_code = names.groupBy("agency_code").agg(
-        # most frequent name, then smallest name
-        F.min(F.struct((-F.col("record_count")).alias("neg"), F.col("agency_name").alias("name")))
-        .alias("best"),
-        F.sum("record_count").alias("record_count"),
-    ).select("agency_code", F.col("best.name").alias("agency_name"), "record_count")
-    return sequential_ids(per_code, "agency_code", "agency_id", settings.local_id_rows).select(
-        "agency_id", "agency_code", "agency_name", "record_count")
+    raw requests or their ``value_counts``, as for the other two."""
+    return split_dimensions(all_dimensions(raw, settings))[0]
 
 
 def agency_name_conflicts(raw: DataFrame) -> DataFrame:
@@ -76,52 +68,38 @@ def agency_name_conflicts(raw: DataFrame) -> DataFrame:
     return names.join(multi, "agency_code", "left_semi")
 
 
-def agency_name_conflict_map(raw: DataFrame) -> DataFrame:
-    """(agency_code, names map<name, count>) — the report form."""
-    names = agency_name_conflicts(raw)
-    return names.groupBy("agency_code").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("agency_name", "record_count"))))
-        .alias("names"))
-
-
 def dim_complaint_type(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
     """(complaint_type_id, complaint_type, category, record_count)."""
-    counts = (_counts(raw).where(F.col("set") == "complaint_type")
-              .select("complaint_type", "record_count")
-              .withColumn("category", categorize("complaint_type", settings.category_rules)))
-    return sequential_ids(counts, "complaint_type", "complaint_type_id",
-                          settings.local_id_rows).select(
-        "complaint_type_id", "complaint_type", "category", "record_count")
+    return split_dimensions(all_dimensions(raw, settings))[1]
 
 
 def dim_borough(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
     """(borough_id, borough, record_count); borough stripped and upper-cased."""
-    counts = _counts(raw).where(F.col("set") == "borough").select("borough", "record_count")
-    return sequential_ids(counts, "borough", "borough_id", settings.local_id_rows).select(
-        "borough_id", "borough", "record_count")
+    return split_dimensions(all_dimensions(raw, settings))[2]
 
 
 def build_report(raw: DataFrame, agency: DataFrame, complaint: DataFrame,
                  borough: DataFrame) -> DataFrame:
-    """One row: rows read, dimension sizes, conflicts, share of ``Other`` (%, 2 dp)."""
-    rows = raw.agg(F.count(F.lit(1)).alias("rows_processed"))
+    """One row: rows read, dimension sizes, conflicts, share of ``Other`` (%, 2 dp).
+
+    ``raw`` may be the raw requests or their ``value_counts``; the borough
+    values themselves are the rows of ``dim_borough``."""
+    rows = _counts(raw).where(F.col("set") == "borough").agg(
+        F.coalesce(F.sum("record_count"), F.lit(0)).alias("rows_processed"))
     a = agency.agg(F.count(F.lit(1)).alias("agency_count"))
     c = complaint.agg(
         F.count(F.lit(1)).alias("complaint_type_count"),
         F.coalesce(F.sum(F.when(F.col("category") == DEFAULT_CATEGORY, F.col("record_count"))),
                    F.lit(0)).alias("other_rows"))
-    b = borough.agg(
-        F.count(F.lit(1)).alias("borough_count"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("borough", "record_count"))))
-        .alias("borough_values"))
-    conflicts = agency_name_conflict_map(raw).agg(F.count(F.lit(1)).alias("agency_conflict_count"))
+    b = borough.agg(F.count(F.lit(1)).alias("borough_count"))
+    conflicts = agency_name_conflicts(raw).agg(F.count_distinct("agency_code").alias("agency_conflict_count"))
     one = side_by_side([rows, a, c, b, conflicts])
     n = F.col("rows_processed")
     other_pct = F.when(n > 0, int_div(F.col("other_rows") * 20000 + n, n * 2) / F.lit(100.0)) \
         .otherwise(F.lit(0.0))
     return one.select("rows_processed", "agency_count", "agency_conflict_count",
                       "complaint_type_count", other_pct.alias("complaint_type_other_category_pct"),
-                      "borough_count", "borough_values")
+                      "borough_count")
 
 
 def all_dimensions(raw_or_counts: DataFrame,

@@ -1,7 +1,7 @@
 """Row-level data-quality rules, the valid / rejected split and its report.
 
-One lazy plan: duplicate flag (skew-safe, see ``dedup``), three membership
-flags against reference keys (size-checked broadcast joins), six per-row
+A census job for the duplicate flag (skew-safe, see ``dedup``), then one plan:
+three membership flags against reference keys (size-checked broadcast joins), six per-row
 predicates, and the reason text. Everything downstream — valid rows,
 rejected rows, counts, thresholds — is a filter or one aggregate over that
 flagged frame, so a single materialisation of it serves them all.
@@ -9,7 +9,7 @@ flagged frame, so a single materialisation of it serves them all.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,12 +43,14 @@ def row_flags() -> dict[str, Column]:
     }
 
 
-def flag_duplicates(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
+def flag_duplicates(raw: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS,
+                    keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     return flag_repeats(raw, "unique_key", settings.order_columns, "duplicate_unique_key",
                         hot_over=settings.hot_key_rows, max_hot_keys=settings.max_hot_keys,
                         chunk_rows=settings.copy_chunk_rows,
                         max_repeated_keys=settings.max_repeated_keys,
-                        max_repeated_share=settings.max_repeated_share)
+                        max_repeated_share=settings.max_repeated_share,
+                        broadcast_max_bytes=settings.broadcast_max_bytes, keep=keep)
 
 
 def flag_unknown(df: DataFrame, refs: Mapping[str, DataFrame],
@@ -70,9 +72,12 @@ def reasons_text(reasons: Sequence[str] = REJECTION_REASONS) -> Column:
 
 
 def flag_requests(raw: DataFrame, refs: Mapping[str, DataFrame],
-                  settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
-    """Raw rows + one boolean per rejection reason + ``_rejection_reasons``."""
-    df = flag_duplicates(raw, settings)
+                  settings: PipelineSettings = DEFAULT_SETTINGS,
+                  keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """Raw rows + one boolean per rejection reason + ``_rejection_reasons``.
+
+    ``keep`` (optional) writes the key census, which several parts of the plan read."""
+    df = flag_duplicates(raw, settings, keep)
     df = flag_unknown(df, refs, settings)
     df = df.withColumns(row_flags())
     return df.withColumn(REASONS_COL, reasons_text())
@@ -121,7 +126,8 @@ def _totals(flagged: DataFrame) -> DataFrame:
 def pct_half_up(num: Column, den: Column, dp: int, scale: int = 100) -> Column:
     """round(scale * num / den, dp) HALF_UP on the exact ratio; 0 when den is 0."""
     k = scale * 10 ** dp
-    return F.when(den > 0, int_div(num.cast("long") * (2 * k) + den, den.cast("long") * 2)
+    num, den = num.cast("decimal(20,0)"), den.cast("decimal(20,0)")
+    return F.when(den > 0, int_div(num * F.lit(2 * k).cast("decimal(12,0)") + den, den * 2)
                   / F.lit(float(10 ** dp))).otherwise(F.lit(0.0))
 
 

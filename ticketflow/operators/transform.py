@@ -89,9 +89,14 @@ def enrich_requests(df: DataFrame, dim_agency: DataFrame, dim_complaint_type: Da
 
 
 def curate(valid: DataFrame, dim_agency: DataFrame, dim_complaint_type: DataFrame,
-           dim_borough: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
-    """valid → dedup → standardise → fill → parse + derive → enrich."""
-    df = dedup_requests(valid, settings)
+           dim_borough: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS,
+           known_unique: bool = False) -> DataFrame:
+    """valid → dedup → standardise → fill → parse + derive → enrich.
+
+    ``known_unique``: every key has one row already, as the duplicate flag
+    leaves it, so nothing is looked for.
+    """
+    df = valid if known_unique else dedup_requests(valid, settings)
     df = standardize_fields(df)
     df = fill_missing(df)
     df = add_derived(parse_dates(df))

@@ -50,12 +50,17 @@ class Stages:
     counts: dict | None = None
     # the raw landing with its parsed creation time (for pushed-down ranges)
     landed: DataFrame | None = None
+    # counts of the dimension values, and where each written stage lies
+    value_counts: DataFrame | None = None
+    paths: dict | None = None
+
 
 LANDING_TS = "_created_ts"
 
 
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
-                counts: dict | None = None, path: str | None = None) -> DataFrame:
+                counts: dict | None = None, path: str | None = None,
+                paths: dict | None = None) -> DataFrame:
     """Write ``df`` as Parquet (under the checkpoint directory unless ``path``
     is given) and read it back; the row count is observed during the write.
 
@@ -75,6 +80,8 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
     w.parquet(path)
     if counts is not None:
         counts[name] = int(obs.get["rows"])
+    if paths is not None:
+        paths[name] = path
     return spark.read.parquet(path)
 
 
@@ -101,21 +108,25 @@ def compose(raw: DataFrame, refs: dict | None, settings: PipelineSettings,
         refs = {"agency": da.select("agency_code"),
                 "complaint_type": dc.select("complaint_type"),
                 "borough": db.select("borough")}
-    flagged = keep(Q.flag_requests(raw, refs, settings), "flagged", ())
+    flagged = keep(Q.flag_requests(raw, refs, settings, keep), "flagged", ())
     valid = Q.valid_rows(flagged)
     rejected = Q.rejected_rows(flagged)
-    curated = keep(T.curate(valid, da, dc, db, settings), "curated", T.PARTITION_COLUMNS)
+    # the duplicate flag left one valid row of each key
+    curated = keep(T.curate(valid, da, dc, db, settings, known_unique=True), "curated", T.PARTITION_COLUMNS)
     monthly = keep(M.monthly_summary(curated), "monthly", ())
     daily = keep(M.daily_summary(curated), "daily", ())
     return Stages(raw, refs, flagged, valid, rejected, da, dc, db, curated, monthly, daily, settings,
-                  landed=landed)
+                  landed=landed, value_counts=counts)
 
 
 def run_pipeline(spark: SparkSession, raw_path: str, out_dir: str,
                  settings: PipelineSettings = DEFAULT_SETTINGS, refs: dict | None = None,
-                 database: str | None = None) -> Stages:
+                 database: str | None = None, multiline: bool = False) -> Stages:
     """The whole batch pipeline over raw request CSV(s), outputs under ``out_dir``.
 
+    Input files split by size; ``multiline`` is for files whose quoted fields
+    hold line breaks, each of which is then read by one task.
+
     Writes, like the step-by-step batch jobs: the stage tables (Parquet), the
     three dimensions and the valid / rejected requests as CSV, the ingestion
     and dimension reports as JSON, the curated table partitioned by
@@ -126,13 +137,14 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_dir: str,
 
     base = out_dir.rstrip("/")
     counts: dict = {}
+    paths: dict = {}
 
     def keep(df: DataFrame, name: str, part: tuple = ()) -> DataFrame:
-        return write_table(df, name, part, counts, path=f"{base}/tables/{name}")
+        return write_table(df, name, part, counts, path=f"{base}/tables/{name}", paths=paths)
 
-    raw = read_raw_csv(spark, raw_path, na_tokens=settings.na_tokens)
+    raw = read_raw_csv(spark, raw_path, na_tokens=settings.na_tokens, multiline=multiline)
     st = compose(raw, refs, settings, keep=keep)
-    st.counts = counts
+    st.counts, st.paths = counts, paths
     for name, dim in (("dim_agency", st.dim_agency), ("dim_complaint_type", st.dim_complaint_type),
                       ("dim_borough", st.dim_borough)):
         FS.write_csv(dim, f"{base}/reference/{name}", single_file=True)
@@ -156,7 +168,7 @@ _CACHE: dict[tuple, Stages] = {}
 
 
 def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """Names, sizes and modification times of the input files (cache key).
+    """Sizes, file counts and modification times of the inputs (cache key).
 
     Without a JVM gateway (e.g. Spark Connect) a fresh value is returned,
     so stages are simply rebuilt instead of reused."""
@@ -167,8 +179,9 @@ def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
         for p in paths:
             hp = jvm.org.apache.hadoop.fs.Path(p)
             fs = hp.getFileSystem(conf)
-            for st in fs.listStatus(hp) if fs.getFileStatus(hp).isDirectory() else [fs.getFileStatus(hp)]:
-                h.update(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()};".encode())
+            # all levels at once, in a number of calls that doesn't depend on the files
+            size, st = fs.getContentSummary(hp), fs.getFileStatus(hp)
+            h.update(f"{p}|{size.getLength()}|{size.getFileCount()}|{st.getModificationTime()};".encode())
         return h.hexdigest()
     except Exception:  # noqa: BLE001 - no gateway: never reuse
         return uuid.uuid4().hex
@@ -190,9 +203,10 @@ def testdata_stages(spark: SparkSession, sf_dir: str, materialize: bool = True,
     if hit is not None:
         return hit
     counts: dict = {}
+    paths: dict = {}
     st = compose(TD.raw_requests(spark, sf_dir), TD.reference_sets(spark, sf_dir), settings,
-                 keep=lambda df, name, part=(): write_table(df, name, part, counts))
-    st.counts = counts
+                 keep=lambda df, name, part=(): write_table(df, name, part, counts, paths=paths))
+    st.counts, st.paths = counts, paths
     _CACHE[key] = st
     return st
 
@@ -208,18 +222,26 @@ def categories_of(settings: PipelineSettings) -> list[str]:
 
 
 def dimension_report(st: Stages) -> DataFrame:
-    return D.build_report(st.raw, st.dim_agency, st.dim_complaint_type, st.dim_borough)
+    return D.build_report(st.value_counts, st.dim_agency, st.dim_complaint_type, st.dim_borough)
 
 
-def unmatched_dimension_keys(st: Stages) -> DataFrame:
-    """Curated rows whose keys found no dimension row (NULL ids), per dimension."""
-    c = st.curated
-    return c.agg(F.count_if(F.col("agency_id").isNull()).alias("unmatched_agency"),
+def unmatched_keys(enriched: DataFrame) -> DataFrame:
+    """Rows whose keys found no dimension row (NULL ids), per dimension."""
+    return enriched.agg(F.count_if(F.col("agency_id").isNull()).alias("unmatched_agency"),
                  F.count_if(F.col("complaint_type_id").isNull()).alias("unmatched_complaint_type"),
                  F.count_if(F.col("borough_id").isNull()).alias("unmatched_borough"))
 
 
-def handover_counts(spark: SparkSession, st: Stages) -> DataFrame:
-    """(stage, rows) as counted while each stage table was written."""
-    rows = [(i + 1, k, v) for i, (k, v) in enumerate((st.counts or {}).items())]
-    return spark.createDataFrame(rows, "step int, stage string, rows long")
+# Tables that the steps hand over, in run order.
+HANDOVERS = ("raw", "dim_value_counts", "dimensions", "flagged", "curated", "monthly", "daily")
+
+
+def handover_counts(st: Stages) -> DataFrame:
+    """(step, stage, rows) counted in the written stage tables."""
+    spark = st.curated.sparkSession
+    out = None
+    for i, name in enumerate(HANDOVERS):
+        one = spark.read.parquet(st.paths[name]).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(i + 1).alias("step"), F.lit(name).alias("stage"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out

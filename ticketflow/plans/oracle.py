@@ -50,6 +50,8 @@ def _ts(c: str) -> str:
 ORDER_SQL = ("created_date ASC NULLS LAST, closed_date ASC NULLS LAST, l_partkey ASC NULLS LAST, "
              "l_suppkey ASC NULLS LAST, l_extendedprice ASC NULLS LAST")
 
+_REST_ORDER = ", ".join(f"{c} ASC NULLS LAST" for c in RAW_TEXT if c not in ("created_date", "closed_date"))
+
 _REASONS = ", ".join(f"CASE WHEN {r} THEN {_q(r)} END" for r in REJECTION_REASONS)
 
 
@@ -66,7 +68,7 @@ WITH src AS (
          ELSE strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') END AS created_date,
     CASE WHEN l.l_linestatus = 'F' THEN strftime(l.l_shipdate, '%Y-%m-%dT%H:%M:%S.%g') END AS closed_date,
     n.n_name AS agency,
-    'Agency of ' || n.n_name AS agency_name,
+    CASE WHEN o.o_orderkey % 3 = 0 THEN n.n_name || ' Agency' ELSE 'Agency of ' || n.n_name END AS agency_name,
     p.p_name AS complaint_type,
     CASE WHEN l.l_returnflag <> 'N' THEN ' ' || l.l_returnflag || ' ' END AS descriptor,
     CASE WHEN n.n_nationkey % 2 = 0 THEN r.r_name ELSE lower(r.r_name) || ' ' END AS borough,
@@ -204,17 +206,23 @@ daily AS (
          count(*) FILTER (WHERE resolution_hours IS NULL) AS unresolved_requests
   FROM curated_c GROUP BY 1, 2, 3
 ),
-keyed AS (SELECT * FROM raw WHERE unique_key IS NOT NULL),
+damage AS (
+  SELECT unique_key, agency, descriptor, closed_date, resolution_hours, CAST(unique_key AS BIGINT) % 50 AS n FROM curated
+),
+damaged AS (
+  SELECT unique_key, CASE WHEN n = 3 THEN descriptor ELSE agency END AS agency,
+         CASE WHEN n = 3 THEN agency ELSE descriptor END AS descriptor, closed_date, resolution_hours
+  FROM (SELECT * FROM damage WHERE n <> 1 UNION ALL SELECT * FROM damage WHERE n = 2)
+),
 in_range AS (
-  SELECT * FROM keyed
+  SELECT * FROM raw
   WHERE {_ts("created_date")} BETWEEN TIMESTAMP '{REG.SLICE_START} 00:00:00'
                                   AND TIMESTAMP '{REG.SLICE_END} 23:59:59'
 )
 """
 
-SLICE_ORDER = ("TRY_CAST(created_date AS TIMESTAMP) ASC NULLS LAST, unique_key ASC NULLS LAST, "
-               "closed_date ASC NULLS LAST, l_partkey ASC NULLS LAST, l_suppkey ASC NULLS LAST, "
-               "l_extendedprice ASC NULLS LAST")
+SLICE_ORDER = ", ".join(f"{c} ASC NULLS LAST" for c in [
+    "TRY_CAST(created_date AS TIMESTAMP)", "unique_key", *EXTRA, *[c for c in RAW_TEXT if c != "unique_key"]])
 RAW_COLS = ", ".join(RAW_TEXT)
 MONTHLY_COLS = ", ".join(REG.MONTHLY_COLS)
 DAILY_COLS = ", ".join(REG.DAILY_COLS)
@@ -306,20 +314,21 @@ BODIES: dict[str, str] = {
     "keyset_page": f"""SELECT {RAW_COLS} FROM in_range
         WHERE TRY_CAST(created_date AS TIMESTAMP) > TIMESTAMP '{REG.PAGE_CURSOR[0].replace("T", " ")}'
            OR (TRY_CAST(created_date AS TIMESTAMP) = TIMESTAMP '{REG.PAGE_CURSOR[0].replace("T", " ")}'
-               AND unique_key > {_q(REG.PAGE_CURSOR[1])})
+               AND (unique_key > {_q(REG.PAGE_CURSOR[1])} OR unique_key IS NULL))
         ORDER BY {SLICE_ORDER} LIMIT {REG.PAGE_SIZE}""",
     "resume_cursor": f"""SELECT last(created_date ORDER BY rn) AS last_created_date,
         last(unique_key ORDER BY rn) AS last_unique_key, count(*) AS rows_written
-        FROM (SELECT *, row_number() OVER (ORDER BY {SLICE_ORDER}) AS rn FROM in_range)
-        WHERE rn <= {REG.FIRST_LANDING_ROWS}""",
+        FROM (SELECT *, row_number() OVER (ORDER BY {SLICE_ORDER}) AS rn FROM in_range)""",
     "incremental_slice": f"SELECT {RAW_COLS} FROM in_range",
+    "capped_slice": f"SELECT {RAW_COLS} FROM in_range ORDER BY {SLICE_ORDER} LIMIT {REG.MAX_RECORDS}",
+    "csv_two_headers": f"SELECT {', '.join(RAW_TEXT[:-1])}, CASE WHEN coalesce(created_date < '1998', false) THEN city END AS city FROM raw",
     "stream_landing": f"SELECT {RAW_COLS} FROM raw",
-    "slice_manifest": f"""SELECT {_q(REG.SLICE_START)} AS query_start_date,
+    "slice_manifest": f"""SELECT 'landing' AS output_location, '2024-01-01 00:00:00' AS started_at,
+        '2024-01-01 00:00:01' AS finished_at, {_q(REG.SLICE_START)} AS query_start_date,
         {_q(REG.SLICE_END)} AS query_end_date, CAST(NULL AS BIGINT) AS max_records_cap,
         count(*) AS total_records_downloaded,
-        max(created_date) AS last_cursor_created_date,
-        max(unique_key) FILTER (WHERE created_date = (SELECT max(created_date) FROM in_range))
-          AS last_cursor_unique_key,
+        last(created_date ORDER BY {SLICE_ORDER}) AS last_cursor_created_date,
+        last(unique_key ORDER BY {SLICE_ORDER}) AS last_cursor_unique_key,
         true AS completed FROM in_range""",
     "align_union": f"""SELECT unique_key, created_date, closed_date, agency, agency_name, complaint_type,
         CASE WHEN coalesce(created_date < '1998', false) THEN descriptor END AS descriptor, borough, incident_zip,
@@ -377,6 +386,22 @@ BODIES: dict[str, str] = {
         (SELECT count(*) FROM dim_borough) AS borough_count""",
     "borough_values": "SELECT borough, record_count FROM dim_borough",
     "dedup_requests": f"SELECT {RAW_COLS} FROM dedup",
+    "dedup_raw_requests": f"""SELECT {RAW_COLS} FROM (
+        SELECT *, row_number() OVER (PARTITION BY unique_key ORDER BY {ORDER_SQL}, {_REST_ORDER}) AS rn FROM raw)
+        WHERE rn = 1""",
+    "unmatched_dimension_keys": f"""SELECT
+        count(*) FILTER (WHERE a IS NULL OR a NOT IN (SELECT agency_code FROM dim_agency
+          WHERE agency_code <> {_q(UNKNOWN_AGENCY)})) AS unmatched_agency,
+        count(*) FILTER (WHERE t IS NULL OR t NOT IN (SELECT complaint_type FROM dim_complaint_type
+          WHERE complaint_type <> {_q(UNKNOWN_COMPLAINT_TYPE)})) AS unmatched_complaint_type,
+        count(*) FILTER (WHERE b IS NULL OR b NOT IN (SELECT borough FROM dim_borough
+          WHERE borough <> {_q(REG.FILTER_BOROUGH)})) AS unmatched_borough
+        FROM (SELECT upper(trim(agency)) AS a, trim(complaint_type) AS t, upper(trim(borough)) AS b FROM raw)""",
+    "rejection_reason_text_counts": """SELECT reason, count(*) AS rows
+        FROM (SELECT unnest(string_split(_rejection_reasons, ';')) AS reason FROM rejected) GROUP BY 1""",
+    "sql_tables": """SELECT 'service_requests' AS table_name, (SELECT count(*) FROM curated) AS rows
+        UNION ALL SELECT 'borough_category_monthly_summary', (SELECT count(*) FROM monthly)
+        UNION ALL SELECT 'borough_category_daily_summary', (SELECT count(*) FROM daily)""",
     "standardize_fields": f"""SELECT unique_key, created_date, closed_date, upper(trim(agency)) AS agency,
         agency_name, trim(complaint_type) AS complaint_type, trim(descriptor) AS descriptor,
         upper(trim(borough)) AS borough, incident_zip, upper(trim(status)) AS status, city FROM valid""",
@@ -386,11 +411,13 @@ BODIES: dict[str, str] = {
         created_year, created_month, created_hour, created_day_of_week FROM derived""",
     "enrich_requests": """SELECT unique_key, agency, complaint_type, borough, agency_id, dim_agency_name,
         complaint_type_id, complaint_category, borough_id FROM curated""",
-    "stage_counts": """SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM valid) AS valid_rows,
+    "stage_counts": """SELECT (SELECT count(*) FROM raw) AS raw_rows,
+        (SELECT count(unique_key) - count(DISTINCT unique_key) FROM raw) AS raw_repeats, (SELECT count(*) FROM valid) AS valid_rows,
         (SELECT count(DISTINCT unique_key) FROM valid) AS distinct_valid_keys,
         (SELECT count(*) FROM curated) AS curated_rows,
         (SELECT count(*) FROM valid) - (SELECT count(DISTINCT unique_key) FROM valid) AS duplicates_removed""",
-    "nan_to_null": f"SELECT {MONTHLY_COLS} FROM monthly",
+    "nan_to_null": """SELECT * REPLACE (CASE WHEN total_requests % 3 <> 0 THEN avg_resolution_hours END
+        AS avg_resolution_hours) FROM monthly""",
     "monthly_summary": f"SELECT {MONTHLY_COLS} FROM monthly",
     "monthly_summary_head": f"""SELECT {MONTHLY_COLS} FROM monthly ORDER BY created_month ASC,
         total_requests DESC, created_year ASC, borough ASC NULLS LAST, complaint_category ASC NULLS LAST
@@ -438,6 +465,10 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'borough_category_daily_summary', count(*), count(*), true FROM daily""",
     "mirror_reconcile": """SELECT count(*) AS source_rows, count(*) AS copy_rows, CAST(0 AS BIGINT) AS missing_rows,
         CAST(0 AS BIGINT) AS extra_rows, true AS match FROM curated""",
+    "mirror_reconcile_damaged": """SELECT *, source_rows = copy_rows AND missing_rows = 0 AND extra_rows = 0 AS match
+        FROM (SELECT (SELECT count(*) FROM damage) AS source_rows, (SELECT count(*) FROM damaged) AS copy_rows,
+          (SELECT count(*) FROM (SELECT * EXCLUDE n FROM damage EXCEPT ALL SELECT * FROM damaged)) AS missing_rows,
+          (SELECT count(*) FROM (SELECT * FROM damaged EXCEPT ALL SELECT * EXCLUDE n FROM damage)) AS extra_rows)""",
     "mart_csv_export": f"SELECT {MONTHLY_COLS} FROM monthly",
     "split_sink": """SELECT 'valid' AS part, count(*) AS rows, count(DISTINCT unique_key) AS distinct_keys,
         0 AS rows_with_reasons FROM valid

@@ -38,7 +38,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SLICE_START, SLICE_END = "1996-01-01", "1996-12-31"
 PAGE_CURSOR = ("1996-06-30T00:00:00.000", "3")
 PAGE_SIZE = 500
-FIRST_LANDING_ROWS = 2_000
+FIRST_LANDING_ROWS = 2_000  # rows of the first, interrupted pull of a landing
+MAX_RECORDS = 5_000  # record cap of the capped landing
 VOLUME_YEAR = 1997
 FILTER_BOROUGH = "AMERICA"
 TOP_N = 10
@@ -60,24 +61,23 @@ def _raw_with(spark, sf, flags: list[str]) -> DataFrame:
     return st.flagged.select(*RAW_TEXT, *flags)
 
 
-def _keyed(raw: DataFrame) -> DataFrame:
-    """Source records of the slice queries: rows that carry a key (the source
-    API serves keyed records, so the keyset order is total)."""
-    return raw.where(F.col("unique_key").isNotNull())
-
-
 def _source(spark, sf) -> DataFrame:
     """The raw landing with its parsed creation time: date ranges on it are
     pushed into the Parquet scan."""
-    return _keyed(_st(spark, sf).landed)
+    return _st(spark, sf).landed
 
 
 TS = flow.LANDING_TS
 
 
-def _slice_order() -> list:
-    return [F.col(TS), F.col("unique_key"), F.col("closed_date"),
-            F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")]
+def _cursor_order() -> list:
+    """The documented keyset order; rows may tie in it or lack a key."""
+    return [F.col(TS), F.col("unique_key")]
+
+
+def _total_order() -> list:
+    """The keyset order completed by every other column, for results cut at a row count."""
+    return [*_cursor_order(), *[F.col(c) for c in (*TD.SOURCE_ORDER_COLUMNS, *RAW_TEXT) if c != "unique_key"]]
 
 
 # ---------------------------------------------------------------- sources
@@ -93,6 +93,16 @@ def q_csv_roundtrip(spark, sf):
     return R.read_raw_csv(spark, path)
 
 
+def q_csv_two_headers(spark, sf):
+    """Two inputs with differing headers, aligned by name."""
+    raw = _st(spark, sf).raw.select(*RAW_TEXT)
+    early = F.coalesce(F.col("created_date") < "1998", F.lit(False))
+    paths = [scratch_path(spark, "raw_csv_a"), scratch_path(spark, "raw_csv_b")]
+    FS.write_csv(raw.where(early), paths[0])
+    FS.write_csv(raw.where(~early).select(*reversed(REQUIRED_COLUMNS)), paths[1])
+    return R.read_raw_csv(spark, paths)
+
+
 def q_json_pages_scan(spark, sf):
     raw = _st(spark, sf).raw.select(*RAW_TEXT)
     path = scratch_path(spark, "pages")
@@ -116,27 +126,40 @@ def q_schema_contract(spark, sf):
 
 def q_keyset_page(spark, sf):
     limit = PG.page_limit(PAGE_SIZE, None, 0)
-    return PG.keyset_page(_source(spark, sf), _slice_order(),
+    return PG.keyset_page(_source(spark, sf), _total_order(),
                           (F.lit(PAGE_CURSOR[0]).try_cast("timestamp_ntz"), PAGE_CURSOR[1]),
                           limit, where=PG.in_date_range(TS, SLICE_START, SLICE_END)
                           ).select(*RAW_TEXT)
 
 
 def q_resume_cursor(spark, sf):
-    landed = INC.first_landing(spark, _source(spark, sf), SLICE_START, SLICE_END,
-                               _slice_order(), FIRST_LANDING_ROWS, ts_col=TS)
-    return PG.resume_cursor(landed, ["created_date", "unique_key"])
+    """Cursor of a whole landing."""
+    return PG.resume_cursor(_slice(spark, sf), _cursor_order(), ["created_date", "unique_key"])
 
 
-def q_incremental_slice(spark, sf):
+def _slice(spark, sf) -> DataFrame:
     return INC.incremental_slice(spark, _source(spark, sf), SLICE_START, SLICE_END,
-                                 _slice_order(), FIRST_LANDING_ROWS, ts_col=TS)[0].select(*RAW_TEXT)
+                                 _cursor_order(), FIRST_LANDING_ROWS, ts_col=TS)
+
+
+def q_incremental_slice(spark, sf):
+    """An interrupted pull and its completion hold every row of the range."""
+    return _slice(spark, sf).select(*RAW_TEXT)
+
+
+def q_capped_slice(spark, sf):
+    """The same with a record cap over both pulls."""
+    return INC.incremental_slice(spark, _source(spark, sf), SLICE_START, SLICE_END, _total_order(),
+                                 FIRST_LANDING_ROWS, ts_col=TS, max_records=MAX_RECORDS).select(*RAW_TEXT)
 
 
 def q_slice_manifest(spark, sf):
-    landed, _ = INC.incremental_slice(spark, _source(spark, sf), SLICE_START, SLICE_END,
-                                      _slice_order(), FIRST_LANDING_ROWS, ts_col=TS)
-    return INC.manifest(landed, SLICE_START, SLICE_END, None)
+    """The manifest of a landing, written as a JSON report and read back."""
+    landed, path = _slice(spark, sf), scratch_path(spark, "manifest")
+    report = INC.manifest(landed, _cursor_order(), SLICE_START, SLICE_END, None, output="landing",
+                          started="2024-01-01 00:00:00", finished="2024-01-01 00:00:01")
+    FS.write_json_report(report, path)
+    return spark.read.schema(report.schema).json(path)
 
 
 def q_stream_landing(spark, sf):
@@ -169,13 +192,10 @@ def q_partitioned_roundtrip(spark, sf):
 
 
 def q_external_table_scan(spark, sf):
-    cur = _st(spark, sf).curated
-    path = scratch_path(spark, "service_requests")
-    FS.write_partitioned(cur, path, T.PARTITION_COLUMNS)
-    db = "ticketflow_" + path.rsplit("-", 1)[-1]
-    name = FS.register_external_table(spark, db, "service_requests", path, T.PARTITION_COLUMNS)
-    parts = FS.show_partitions(spark, name).count()
-    return (spark.table(name).groupBy("created_year", "created_month")
+    """The curated stage table, registered where it lies."""
+    cat = _sql(spark, sf)
+    parts = FS.show_partitions(spark, cat.name("service_requests")).count()
+    return (cat.requests().groupBy("created_year", "created_month")
             .agg(F.count(F.lit(1)).alias("total_rows"))
             .withColumn("registered_partitions", F.lit(parts).cast("long")))
 
@@ -231,6 +251,11 @@ def q_rejection_reason_counts(spark, sf):
     return Q.reason_counts(_st(spark, sf).flagged)
 
 
+def q_rejection_reason_text_counts(spark, sf):
+    """Counts from the written reason text of the rejected rows."""
+    return Q.reason_counts_from_text(_st(spark, sf).rejected)
+
+
 def q_ingestion_report(spark, sf):
     return Q.ingestion_report(_st(spark, sf).flagged)
 
@@ -287,16 +312,25 @@ def q_dim_borough(spark, sf):
 
 
 def q_agency_name_conflicts(spark, sf):
-    return D.agency_name_conflicts(_st(spark, sf).raw)
+    return D.agency_name_conflicts(_st(spark, sf).value_counts)
 
 
 def q_dim_build_report(spark, sf):
-    return flow.dimension_report(_st(spark, sf)).drop("borough_values")
+    return flow.dimension_report(_st(spark, sf))
 
 
 def q_borough_values(spark, sf):
+    return _st(spark, sf).dim_borough.select("borough", "record_count")
+
+
+def q_unmatched_dimension_keys(spark, sf):
+    """All raw requests against dimensions that lack a key each."""
     st = _st(spark, sf)
-    return flow.dimension_report(st).select(F.explode("borough_values").alias("borough", "record_count"))
+    raw = T.standardize_fields(st.raw.select(*RAW_TEXT))
+    return flow.unmatched_keys(T.enrich_requests(
+        raw, st.dim_agency.where(F.col("agency_code") != TD.UNKNOWN_AGENCY),
+        st.dim_complaint_type.where(F.col("complaint_type") != TD.UNKNOWN_COMPLAINT_TYPE),
+        st.dim_borough.where(F.col("borough") != FILTER_BOROUGH), st.settings))
 
 
 # ---------------------------------------------------------------- transform
@@ -305,6 +339,11 @@ def q_dedup_requests(spark, sf):
     return T.dedup_requests(_st(spark, sf).valid, TD.TESTDATA_SETTINGS).select(*RAW_TEXT)
 
 
+def q_dedup_raw_requests(spark, sf):
+    """All raw requests, of which many repeat a key; rows without one are one group."""
+    return T.dedup_requests(_st(spark, sf).raw, TD.TESTDATA_SETTINGS).select(*RAW_TEXT)
+
+
 def q_standardize_fields(spark, sf):
     return T.standardize_fields(_st(spark, sf).valid.select(*RAW_TEXT))
 
@@ -326,7 +365,8 @@ def q_enrich_requests(spark, sf):
 
 def q_stage_counts(spark, sf):
     st = _st(spark, sf)
-    raw = st.raw.agg(F.count(F.lit(1)).alias("raw_rows"))
+    raw = st.raw.agg(F.count(F.lit(1)).alias("raw_rows"),
+                     (F.count("unique_key") - F.count_distinct("unique_key")).alias("raw_repeats"))
     valid = st.valid.agg(F.count(F.lit(1)).alias("valid_rows"),
                          F.count_distinct("unique_key").alias("distinct_valid_keys"))
     cur = st.curated.agg(F.count(F.lit(1)).alias("curated_rows"))
@@ -335,7 +375,9 @@ def q_stage_counts(spark, sf):
 
 
 def q_nan_to_null(spark, sf):
-    return nan_to_null(_st(spark, sf).monthly.select(*MONTHLY_COLS))
+    """The monthly mart with every third average lost to NaN."""
+    lost = F.when(F.col("total_requests") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("avg_resolution_hours"))
+    return nan_to_null(_st(spark, sf).monthly.select(*MONTHLY_COLS).withColumn("avg_resolution_hours", lost))
 
 
 # ---------------------------------------------------------------- marts
@@ -428,6 +470,18 @@ def q_mirror_reconcile(spark, sf):
     return FS.reconcile_copy(st.curated, copy)
 
 
+def q_mirror_reconcile_damaged(spark, sf):
+    """A copy with lost, doubled and altered rows (a value moved to another column)."""
+    st = _st(spark, sf)
+    n = F.col("unique_key").cast("bigint") % 50
+    src = st.curated.select("unique_key", "agency", "descriptor", "closed_date", "resolution_hours")
+    moved = src.where(n == 3).select(
+        "unique_key", F.col("descriptor").alias("agency"), F.col("agency").alias("descriptor"), "closed_date",
+        "resolution_hours")
+    copy = src.where((n != 1) & (n != 3)).unionByName(src.where(n == 2)).unionByName(moved)
+    return FS.reconcile_copy(src, FS.mirror(spark, copy, scratch_path(spark, "damaged")))
+
+
 def q_mart_csv_export(spark, sf):
     st = _st(spark, sf)
     path = scratch_path(spark, "monthly_csv")
@@ -463,12 +517,19 @@ def q_report_roundtrip(spark, sf):
 
 
 def q_handover_counts(spark, sf):
-    return flow.handover_counts(spark, _st(spark, sf))
+    return flow.handover_counts(_st(spark, sf))
 
 
+# ---------------------------------------------------------------- catalog
+
 def _sql(spark, sf):
     from ticketflow.plans.sql_marts import catalog_for
-    return catalog_for(spark, _st(spark, sf).curated)
+    return catalog_for(spark, _st(spark, sf))
+
+
+def q_sql_tables(spark, sf):
+    """The tables that the catalog lists, with their rows."""
+    return _sql(spark, sf).table_rows()
 
 
 def q_sql_monthly_summary(spark, sf):
@@ -480,33 +541,29 @@ def q_sql_daily_summary(spark, sf):
 
 
 def q_sql_monthly_summary_head(spark, sf):
-    from ticketflow.plans.sql_marts import HEAD_SQL
-    return _sql(spark, sf).sql(HEAD_SQL, n=HEAD_N).select(*MONTHLY_COLS)
+    return M.monthly_summary_head(_sql(spark, sf).monthly().select(*MONTHLY_COLS), HEAD_N)
 
 
 def q_sql_top_category_per_borough_month(spark, sf):
-    from ticketflow.plans.sql_marts import RANK_SQL
-    return _sql(spark, sf).sql(RANK_SQL)
+    return M.top_category_per_borough_month(_sql(spark, sf).monthly())
 
 
 def q_sql_reconcile_monthly(spark, sf):
-    from ticketflow.plans.sql_marts import RECONCILE_SQL
-    return _sql(spark, sf).sql(RECONCILE_SQL, mart="borough_category_monthly_summary", label="summary")
+    cat = _sql(spark, sf)
+    return M.reconcile(cat.requests(), cat.monthly(), "summary")
 
 
 def q_sql_reconcile_daily(spark, sf):
-    from ticketflow.plans.sql_marts import RECONCILE_SQL
-    return _sql(spark, sf).sql(RECONCILE_SQL, mart="borough_category_daily_summary", label="daily")
+    cat = _sql(spark, sf)
+    return M.reconcile(cat.requests(), cat.daily(), "daily")
 
 
 def q_sql_monthly_volume(spark, sf):
-    from ticketflow.plans.sql_marts import VOLUME_SQL
-    return _sql(spark, sf).sql(VOLUME_SQL, year=VOLUME_YEAR)
+    return M.monthly_volume(_sql(spark, sf).requests(), VOLUME_YEAR)
 
 
 def q_sql_top_complaint_types(spark, sf):
-    from ticketflow.plans.sql_marts import TOP_TYPES_SQL
-    return _sql(spark, sf).sql(TOP_TYPES_SQL, n=TOP_N)
+    return M.top_complaint_types(_sql(spark, sf).requests(), TOP_N)
 
 
 def q_sql_category_totals_ytd(spark, sf):

@@ -1,11 +1,10 @@
-"""The marts through the SQL path: catalog tables, CTAS, views, scalar subqueries.
-
-The curated Parquet is registered as an external partitioned table in its
-own database; the two marts are (re)built with ``DROP TABLE`` + ``CREATE
-TABLE … AS SELECT`` into managed tables whose database lives under the
-checkpoint directory (shared storage on a cluster, never a machine-local
-warehouse folder). The analytical queries then run as SQL text — the same
-Catalyst plans as the DataFrame forms in ``marts``.
+"""The marts in the catalog: external table in place, managed marts, a view.
+
+The curated stage table is registered as an external partitioned table where
+it lies (no copy). Both marts are dropped and created again as managed tables
+from their one definition in ``marts``; the database lives under the
+checkpoint folder, never in a machine-local warehouse. Queries over the catalog
+use the functions of ``marts`` on ``spark.table``.
 """
 
 from __future__ import annotations
@@ -13,136 +12,74 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketflow.session import scratch_path
+from ticketflow.operators.transform import PARTITION_COLUMNS
+from ticketflow.plans import marts as M
+from ticketflow.plans.flow import Stages
+from ticketflow.session import on_exit, scratch_path
 from ticketflow.sources import files as FS
 
-# Exact HALF_UP mean of hundredths, as in ``marts`` (integer DIV, double result).
-_AVG = ("CASE WHEN COUNT(resolution_hours) > 0 THEN "
-        "((2 * SUM(CAST(ROUND(resolution_hours * 100) AS BIGINT)) + COUNT(resolution_hours)) "
-        "DIV (2 * COUNT(resolution_hours))) / 100D END")
-
-_MEASURES = f"""
-    COUNT(*) AS total_requests,
-    {_AVG} AS avg_resolution_hours,
-    SUM(CASE WHEN status = 'CLOSED' THEN 1 ELSE 0 END) AS closed_requests,
-    SUM(CASE WHEN resolution_hours IS NULL THEN 1 ELSE 0 END) AS unresolved_requests"""
-
-MONTHLY_CTAS = """
-CREATE TABLE {db}.borough_category_monthly_summary USING PARQUET AS
-SELECT created_year, created_month, borough, complaint_category,{measures}
-FROM {db}.service_requests
-GROUP BY created_year, created_month, borough, complaint_category
-"""
-
-DAILY_CTAS = """
-CREATE TABLE {db}.borough_category_daily_summary USING PARQUET AS
-SELECT TO_DATE(created_date) AS request_date, borough, complaint_category,{measures}
-FROM {db}.service_requests
-GROUP BY TO_DATE(created_date), borough, complaint_category
-"""
-
-HEAD_SQL = """
-SELECT * FROM {db}.borough_category_monthly_summary
-ORDER BY created_month, total_requests DESC, created_year, borough, complaint_category
-LIMIT {n}
-"""
-
-RANK_SQL = """
-SELECT created_month, borough, complaint_category, total_requests, category_rank
-FROM (
-    SELECT created_month, borough, complaint_category, total_requests,
-           RANK() OVER (PARTITION BY borough, created_month ORDER BY total_requests DESC)
-             AS category_rank
-    FROM {db}.borough_category_monthly_summary
-) ranked
-WHERE category_rank = 1
-ORDER BY created_month, borough, complaint_category
-"""
-
-RECONCILE_SQL = """
-SELECT (SELECT COUNT(*) FROM {db}.service_requests) AS raw_total,
-       (SELECT CAST(COALESCE(SUM(total_requests), 0) AS BIGINT) FROM {db}.{mart}) AS {label}_total,
-       (SELECT COUNT(*) FROM {db}.service_requests)
-         = (SELECT COALESCE(SUM(total_requests), 0) FROM {db}.{mart}) AS match
-"""
-
-VOLUME_SQL = """
-SELECT created_year, created_month, COUNT(*) AS total_requests
-FROM {db}.service_requests
-WHERE created_year = {year}
-GROUP BY created_year, created_month
-ORDER BY created_month
-"""
-
-TOP_TYPES_SQL = """
-SELECT complaint_type, complaint_category, COUNT(*) AS total
-FROM {db}.service_requests
-GROUP BY complaint_type, complaint_category
-ORDER BY total DESC, complaint_type, complaint_category
-LIMIT {n}
-"""
-
-YTD_VIEW_SQL = """
-CREATE OR REPLACE TEMPORARY VIEW {view} AS
-SELECT complaint_category,
-       SUM(total_requests) AS total_requests,
-       CASE WHEN COUNT(avg_resolution_hours) > 0 THEN
-         ((2 * SUM(CAST(ROUND(avg_resolution_hours * 100) AS BIGINT)) + COUNT(avg_resolution_hours))
-          DIV (2 * COUNT(avg_resolution_hours))) / 100D END AS avg_resolution_hours
-FROM {db}.borough_category_monthly_summary
-GROUP BY complaint_category
-ORDER BY total_requests DESC
-"""
+REQUESTS, MONTHLY, DAILY = ("service_requests", "borough_category_monthly_summary",
+                            "borough_category_daily_summary")
 
 
 class SqlCatalog:
-    """One database holding the curated table and the SQL-built marts."""
+    """One database with the curated table registered at ``path`` and both marts."""
 
-    def __init__(self, spark: SparkSession, curated: DataFrame, partition_cols=("created_year",
-                                                                              "created_month")):
+    def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.db = "ticketflow_" + uuid.uuid4().hex[:12]
-        base = scratch_path(spark, "warehouse")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{base}/db'")
-        data = f"{base}/service_requests"
-        FS.write_partitioned(curated, data, partition_cols)
-        FS.register_external_table(spark, self.db, "service_requests", data, partition_cols)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{scratch_path(spark, 'db')}'")
+        on_exit(spark, lambda: spark.sql(f"DROP DATABASE IF EXISTS {self.db} CASCADE"))
+        FS.register_external_table(spark, self.db, REQUESTS, path, PARTITION_COLUMNS)
         self.build_marts()
 
+    def name(self, table: str) -> str:
+        return f"`{self.db}`.`{table}`"
+
     def build_marts(self) -> None:
-        """Drop-and-recreate both mart tables (idempotent reruns)."""
-        for table, ctas in (("borough_category_monthly_summary", MONTHLY_CTAS),
-                            ("borough_category_daily_summary", DAILY_CTAS)):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.db}.{table}")
-            self.spark.sql(ctas.format(db=self.db, measures=_MEASURES))
+        """Drop and create both marts (idempotent reruns)."""
+        for table, mart in ((MONTHLY, M.monthly_summary), (DAILY, M.daily_summary)):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+            mart(self.requests()).write.saveAsTable(self.name(table))
 
-    def sql(self, text: str, **kw) -> DataFrame:
-        return self.spark.sql(text.format(db=self.db, **kw))
+    def requests(self) -> DataFrame:
+        return self.spark.table(self.name(REQUESTS))
 
     def monthly(self) -> DataFrame:
-        return self.spark.table(f"{self.db}.borough_category_monthly_summary")
+        return self.spark.table(self.name(MONTHLY))
 
     def daily(self) -> DataFrame:
-        return self.spark.table(f"{self.db}.borough_category_daily_summary")
+        return self.spark.table(self.name(DAILY))
 
     def ytd_view(self) -> DataFrame:
         view = f"category_totals_ytd_{self.db}"
-        self.sql(YTD_VIEW_SQL, view=view)
+        M.category_totals_ytd(self.monthly()).createOrReplaceTempView(view)
         return self.spark.table(view)
 
     def tables(self) -> DataFrame:
-        return self.spark.sql(f"SHOW TABLES IN {self.db}")
-
-
-_CATALOGS: dict[int, SqlCatalog] = {}
-
-
-def catalog_for(spark: SparkSession, curated: DataFrame) -> SqlCatalog:
-    """The SQL catalog over a curated table, built once per curated frame."""
-    key = id(curated)
-    cat = _CATALOGS.get(key)
-    if cat is None:
-        cat = SqlCatalog(spark, curated)
-        _CATALOGS[key] = cat
-    return cat
+        """The table listing of the database (temporary views left out)."""
+        return (self.spark.sql(f"SHOW TABLES IN {self.db}").where("not isTemporary")
+                .select(F.col("tableName").alias("table_name")))
+
+    def table_rows(self) -> DataFrame:
+        """(table_name, rows) of every listed table."""
+        out = None
+        for r in self.tables().collect():  # the three tables of this catalog
+            one = self.spark.table(self.name(r.table_name)).agg(F.count(F.lit(1)).alias("rows"))
+            one = one.select(F.lit(r.table_name).alias("table_name"), "rows")
+            out = one if out is None else out.unionByName(one)
+        return out
+
+
+_CATALOGS: dict[tuple, SqlCatalog] = {}
+
+
+def catalog_for(spark: SparkSession, stages: Stages) -> SqlCatalog:
+    """The catalog over the stages' curated table, built once per written table."""
+    path = stages.paths["curated"]
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _CATALOGS:
+        _CATALOGS[key] = SqlCatalog(spark, path)
+    return _CATALOGS[key]

@@ -8,10 +8,14 @@ a private directory created, as tests need.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 
+from collections.abc import Callable
+
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
@@ -53,7 +57,8 @@ def local_session(cores: int | str = "*", app: str = "ticketflow",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM: ``local`` or ``local[…]``, not ``local-cluster[…]``."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -74,10 +79,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_ON_EXIT: list = []
+
+
+def _leave() -> None:
+    for action in reversed(_ON_EXIT):
+        try:
+            action()
+        except Exception:  # noqa: BLE001 - the session may be gone already
+            pass
+
+
+def on_exit(spark: SparkSession, action: Callable[[], object]) -> None:
+    """Run ``action`` when the driver ends, if its session still runs."""
+    if not _ON_EXIT:
+        atexit.register(_leave)  # after Spark's own, so that it runs before
+    _ON_EXIT.append(action)
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_SCRATCH: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique directory path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/ticketflow/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique directory path under the shared checkpoint folder.
+
+    The scratch folder of an application is deleted when its driver ends.
+    """
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ticketflow"
+    if base not in _SCRATCH:
+        _SCRATCH.add(base)
+        on_exit(spark, lambda: _drop_folder(spark, base))
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -21,10 +21,16 @@ CSV_READ = {"header": "true", "ignoreLeadingWhiteSpace": "false",
             "ignoreTrailingWhiteSpace": "false", "escape": '"', "multiLine": "true"}
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+# Rows up to which an export may go through one task into one file.
+SINGLE_FILE_ROWS = 1_000_000
+
+
+def write_csv(df: DataFrame, path: str, single_file: bool = False,
+              single_file_rows: int = SINGLE_FILE_ROWS) -> None:
     """CSV with header, overwrite. ``single_file`` (for small marts handed to
-    a BI tool) coalesces to one task."""
-    out = df.coalesce(1) if single_file else df
+    a BI tool) writes one file if the counted rows are within the bound;
+    larger frames stay several files."""
+    out = df.coalesce(1) if single_file and df.count() <= single_file_rows else df
     out.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
@@ -94,33 +100,35 @@ def mirror(spark: SparkSession, src: DataFrame, dst_path: str,
 
 def fingerprint(df: DataFrame) -> DataFrame:
     """Order-insensitive multiset fingerprint of a frame in one aggregate pass
-    (no row shuffle): row count and the decimal sums of two independent
-    64- and 32-bit row hashes."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
+    (no row shuffle): row count, NULLs of each column and the decimal sums of
+    two 64-bit row hashes. The hash functions skip NULLs, so every column is
+    hashed with its NULL flag and a value can't move between columns unseen."""
+    cols = [x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(df.columns)]
     return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("h1"),
-                  F.sum(F.hash(*cols).cast("decimal(38,0)")).alias("h2"))
+                  F.sum(F.xxhash64(F.lit(1), *cols).cast("decimal(38,0)")).alias("h1"),
+                  F.sum(F.xxhash64(F.lit(2), *reversed(cols)).cast("decimal(38,0)")).alias("h2"), *nulls)
 
 
-def reconcile_copy(src: DataFrame, copy: DataFrame) -> DataFrame:
+def reconcile_copy(src: DataFrame, copy: DataFrame, compare_rows: bool = False) -> DataFrame:
     """Counts and row-content differences (bag semantics) of a copy, one row.
 
     Both sides are fingerprinted first (two aggregate scans, a few scalars
     to the driver). Only when the fingerprints differ are the rows compared
-    with ``exceptAll`` both ways, which shuffles both copies.
+    with ``exceptAll`` both ways, which shuffles both copies. Equal
+    fingerprints of different rows are possible but have a chance of about
+    2**-128; ``compare_rows`` compares the rows whatever the fingerprints say.
     """
     cols = src.columns
     copy = copy.select(*cols)
-    a, b = fingerprint(src).first(), fingerprint(copy).first()
-    spark = src.sparkSession
-    if tuple(a) == tuple(b):
-        return spark.createDataFrame(
-            [(int(a["rows"]), int(b["rows"]), 0, 0, True)],
-            "source_rows long, copy_rows long, missing_rows long, extra_rows long, match boolean")
-    missing = src.exceptAll(copy).agg(F.count(F.lit(1)).alias("missing_rows"))
-    extra = copy.exceptAll(src).agg(F.count(F.lit(1)).alias("extra_rows"))
-    counts = spark.createDataFrame([(int(a["rows"]), int(b["rows"]))], "source_rows long, copy_rows long")
-    one = side_by_side([counts, missing, extra])
+    same = not compare_rows and tuple(fingerprint(src).first()) == tuple(fingerprint(copy).first())
+    counts = [src.agg(F.count(F.lit(1)).alias("source_rows")), copy.agg(F.count(F.lit(1)).alias("copy_rows"))]
+    if same:
+        one = side_by_side(counts).withColumns({"missing_rows": F.lit(0).cast("long"),
+                                                "extra_rows": F.lit(0).cast("long")})
+    else:
+        one = side_by_side([*counts, src.exceptAll(copy).agg(F.count(F.lit(1)).alias("missing_rows")),
+                            copy.exceptAll(src).agg(F.count(F.lit(1)).alias("extra_rows"))])
     return one.withColumn("match", (F.col("source_rows") == F.col("copy_rows"))
                           & (F.col("missing_rows") == 0) & (F.col("extra_rows") == 0))
 

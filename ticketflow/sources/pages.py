@@ -68,27 +68,46 @@ def page_limit(page_size: int, max_records: int | None, written: int) -> int:
     return max(0, min(page_size, max_records - written))
 
 
-def resume_cursor(landed: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One row: the last landed row's order values (``last_*``) and the row count.
+def same_as_cursor(cols: Sequence[Column], values: Sequence[Any]) -> Column:
+    """``(cols) = (values)``, NULLs equal."""
+    pred = F.lit(True)
+    for c, v in zip(cols, values):
+        pred = pred & (c.isNull() if v is None else c.isNotNull() & (c == F.lit(v)))
+    return pred
 
-    Rows are landed in cursor order, so the last row is the maximum of the
-    order tuple (NULLs last). An empty landing gives NULLs and 0.
+
+def last_landed(landed: DataFrame, order: Sequence[Column], report: Sequence[str] = ()) -> DataFrame:
+    """One row: the maximum ``m`` of the order tuple (NULLs last) and ``rows_written``.
+
+    ``m.v0 …`` are the order values (parsed ones, so mixed text formats of one
+    column don't matter), ``m.r0 …`` the ``report`` columns of that row.
     """
     fields = []
     for i, c in enumerate(order):
-        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
-    agg = landed.agg(F.max(F.struct(*fields)).alias("m"), F.count(F.lit(1)).alias("rows_written"))
-    return agg.select(*[F.col(f"m.v{i}").alias(f"last_{c}") for i, c in enumerate(order)],
-                      "rows_written")
+        fields += [c.isNull().alias(f"n{i}"), c.alias(f"v{i}")]
+    fields += [F.col(c).alias(f"r{i}") for i, c in enumerate(report)]
+    return landed.agg(F.max(F.struct(*fields)).alias("m"), F.count(F.lit(1)).alias("rows_written"))
+
+
+def resume_cursor(landed: DataFrame, order: Sequence[Column], report: Sequence[str]) -> DataFrame:
+    """One row: the ``report`` columns of the last landed row (``last_*``) and the row count.
+
+    Rows are landed in cursor order, so the last row is the maximum of the
+    order tuple. An empty landing gives NULLs and 0.
+    """
+    return last_landed(landed, order, report).select(
+        *[F.col(f"m.r{i}").alias(f"last_{c}") for i, c in enumerate(report)], "rows_written")
 
 
 def land_pages(df: DataFrame, path: str, page_size: int) -> None:
-    """Write rows as JSON page files: one top-level JSON array per file.
+    """Write rows as JSON pages: one JSON array of up to ``page_size`` rows per line.
 
     A page is ``page_size`` consecutive rows of one input partition (its
     position from ``monotonically_increasing_id``, fixed for a given scan),
     so every page — one ``collect_list`` — is bounded by the page size,
-    whatever the key distribution or the number of identical copies.
+    whatever the key distribution or the number of identical copies. A task
+    writes all its pages to one file, so the number of files is that of tasks
+    and the files split at line ends when read.
     """
     pid = F.spark_partition_id().cast("long")
     pos = F.monotonically_increasing_id() - F.shiftleft(pid, 33)
@@ -96,11 +115,12 @@ def land_pages(df: DataFrame, path: str, page_size: int) -> None:
     (df.withColumn("page", page)
        .groupBy("page").agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns])))
                             .alias("value"))
-       .repartition("page")  # one task per page file; each page row is bounded
-       .write.mode("overwrite").partitionBy("page").text(path))
+       .select("value").write.mode("overwrite").text(path))
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Scan landed JSON page files (array per file) with a declared schema."""
-    return (spark.read.schema(schema).option("multiLine", True).json(path)
+def read_pages(spark: SparkSession, path: str, schema: T.StructType,
+               multiline: bool = False) -> DataFrame:
+    """Scan JSON pages with a declared schema: an array on each line, or with
+    ``multiline`` one array per file, over any number of lines."""
+    return (spark.read.schema(schema).option("multiLine", multiline).json(path)
             .select(*[f.name for f in schema.fields]))

@@ -62,16 +62,24 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return next(csv.reader(io.StringIO(first[0][0])))
 
 
-def read_raw_csv(spark: SparkSession, path: str, extra_columns: Sequence[str] | None = None,
-                 na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = True) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str | Sequence[str],
+                 extra_columns: Sequence[str] | None = None,
+                 na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = False) -> DataFrame:
     """Scan raw request CSV(s) with header as strings; apply the NA tokens.
 
     The header is checked against the contract before any data job runs.
     Contract columns come first; the other header columns follow as strings
-    (all of them, or only ``extra_columns`` when given). ``multiline`` keeps
-    quoted fields with line breaks intact but makes each file one task; for
-    large files without such fields pass ``False`` so files split by size.
+    (all of them, or only ``extra_columns`` when given). Files of one path
+    share a header: a file whose header differs from the first one's is
+    rejected when it is read. Paths given as a list may have headers of their
+    own; their columns are aligned by name. Files split by size;
+    ``multiline`` keeps quoted fields with line breaks intact but makes each
+    file one task.
     """
+    if not isinstance(path, str):
+        frames = [read_raw_csv(spark, p, extra_columns, na_tokens, multiline) for p in path]
+        extras = sorted({c for f in frames for c in f.columns if c not in RAW_COLUMNS})
+        return align_union(frames, [*RAW_COLUMNS, *extras])
     header = csv_header(spark, path)
     missing = missing_columns(header)
     if missing:
@@ -82,6 +90,7 @@ def read_raw_csv(spark: SparkSession, path: str, extra_columns: Sequence[str] |
     schema = string_schema(header)
     df = (spark.read.schema(schema)
           .option("header", True)
+          .option("enforceSchema", False)  # checks each file's header by name
           .option("multiLine", multiline)
           .option("escape", '"')
           .option("mode", "PERMISSIVE")

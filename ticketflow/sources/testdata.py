@@ -88,7 +88,9 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(iso_text(F.col("o_orderdate"))).alias("created_date"),
         F.when(F.col("l_linestatus") == "F", iso_text(F.col("l_shipdate"))).alias("closed_date"),
         F.col("n_name").alias("agency"),
-        F.concat(F.lit("Agency of "), F.col("n_name")).alias("agency_name"),
+        # two spellings of every name, one of them more frequent
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.col("n_name"), F.lit(" Agency")))
+         .otherwise(F.concat(F.lit("Agency of "), F.col("n_name"))).alias("agency_name"),
         F.col("p_name").alias("complaint_type"),
         F.when(F.col("l_returnflag") != "N",
                F.concat(F.lit(" "), F.col("l_returnflag"), F.lit(" "))).alias("descriptor"),

@@ -1,9 +1,11 @@
 """Incremental landing: fresh slice, resume from the landed cursor, append.
 
 The source is pulled in cursor order. A landing that already holds rows is
-resumed from its last row — the maximum of the order tuple, one aggregate —
-and only rows after that cursor are appended; a fresh landing overwrites.
-Spark needs no page loop: everything after the cursor is one batch.
+resumed from its last row — the maximum of the order tuple, one aggregate. Rows
+after that cursor are appended, and so are rows that tie with it and are not
+landed yet (a difference of multisets over the tied rows only), so a pull that
+was cut inside a group of ties is completed. A fresh landing overwrites.
+Spark needs no page loop: all of that is one batch.
 
 ``stream_landed_files`` is the Structured Streaming form of the same idea
 for landed page files: the file source's checkpoint remembers which files
@@ -12,6 +14,7 @@ were processed, so each ``availableNow`` run appends exactly the new ones.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from typing import Any
 
@@ -30,13 +33,10 @@ def _cursor_values(landed: DataFrame, order: Sequence[Column]) -> tuple[list[Any
     column's own type), so a ``timestamp_ntz`` cursor stays wall-clock time
     whatever the session time zone.
     """
-    fields = []
-    for i, c in enumerate(order):
-        fields += [c.isNull().alias(f"n{i}"), c.alias(f"v{i}")]
-    agg = landed.agg(F.max(F.struct(*fields)).alias("m"), F.count(F.lit(1)).alias("n"))
+    agg = PG.last_landed(landed, order)
     types = {f.name: f.dataType for f in agg.schema["m"].dataType.fields}
     row = agg.first()
-    if row is None or row["n"] == 0 or row["m"] is None:
+    if row is None or row["rows_written"] == 0 or row["m"] is None:
         return None, 0
     values: list[Any] = []
     for i in range(len(order)):
@@ -48,7 +48,7 @@ def _cursor_values(landed: DataFrame, order: Sequence[Column]) -> tuple[list[Any
             values.append(F.lit(repr(float(v))).cast(t))
         else:
             values.append(F.lit(str(v)).cast(t))
-    return values, int(row["n"])
+    return values, int(row["rows_written"])
 
 
 def land(df: DataFrame, path: str, resume: bool) -> None:
@@ -70,34 +70,50 @@ def first_landing(spark: SparkSession, source: DataFrame, start: str, end: str,
 
 def resume_and_append(spark: SparkSession, source: DataFrame, start: str, end: str,
                       order: Sequence[Column], path: str, max_records: int | None = None,
-                      ts_col: str = "created_date") -> tuple[DataFrame, list[Any] | None]:
-    """Append everything after the landing's cursor (up to the remaining quota)."""
+                      ts_col: str = "created_date") -> DataFrame:
+    """Append what the landing lacks (up to the remaining quota); returns the landing.
+
+    ``max_records`` caps the landing as a whole, with the rows landed before.
+    """
     landed = spark.read.parquet(path)
     cursor, written = _cursor_values(landed, order)
-    rest = source.where(PG.in_date_range(ts_col, start, end))
+    in_range = source.where(PG.in_date_range(ts_col, start, end))
+    rest = in_range
     if cursor is not None:
-        rest = rest.where(PG.after_cursor(order, cursor))
+        tied = PG.same_as_cursor(order, cursor)
+        missed = in_range.where(tied).exceptAll(landed.select(*source.columns).where(tied))
+        rest = in_range.where(PG.after_cursor(order, cursor)).unionByName(missed)
     if max_records is not None:
         rest = rest.orderBy(*PG.order_columns(order)).limit(max(0, max_records - written))
+    if cursor is not None:
+        # the plan reads the landing that it appends to
+        staged = f"{path.rstrip('/')}-batch-{uuid.uuid4().hex[:8]}"
+        land(rest, staged, resume=False)
+        rest = spark.read.schema(rest.schema).parquet(staged)
     land(rest, path, resume=cursor is not None)
-    out = spark.read.parquet(path)
-    return out, _cursor_values(out, order)[0]
+    return spark.read.parquet(path)
 
 
 def incremental_slice(spark: SparkSession, source: DataFrame, start: str, end: str,
                       order: Sequence[Column], first_rows: int,
-                      ts_col: str = "created_date") -> tuple[DataFrame, list[Any] | None]:
-    """Fresh landing of ``first_rows`` rows, then a resumed append of the rest."""
+                      ts_col: str = "created_date", max_records: int | None = None) -> DataFrame:
+    """Fresh landing of ``first_rows`` rows, then a resumed append of the rest
+    (up to ``max_records`` in all)."""
     path = scratch_path(spark, "landing")
-    first_landing(spark, source, start, end, order, first_rows, path, ts_col=ts_col)
-    return resume_and_append(spark, source, start, end, order, path, ts_col=ts_col)
+    first = first_rows if max_records is None else min(first_rows, max_records)
+    first_landing(spark, source, start, end, order, first, path, ts_col=ts_col)
+    return resume_and_append(spark, source, start, end, order, path, max_records, ts_col=ts_col)
 
 
-def manifest(landed: DataFrame, start: str, end: str, max_records: int | None,
-             completed: bool = True) -> DataFrame:
-    """One row describing a landing: range, cap, rows, last cursor, completion."""
-    cur = PG.resume_cursor(landed, ["created_date", "unique_key"])
+def manifest(landed: DataFrame, order: Sequence[Column], start: str, end: str,
+             max_records: int | None, output: str | None = None, started: str | None = None,
+             finished: str | None = None, completed: bool = True) -> DataFrame:
+    """One row describing a landing: range, cap, output, times, rows, last cursor, completion."""
+    cur = PG.resume_cursor(landed, order, ["created_date", "unique_key"])
     return cur.select(
+        F.lit(output).cast("string").alias("output_location"),
+        F.lit(started).cast("string").alias("started_at"),
+        F.lit(finished).cast("string").alias("finished_at"),
         F.lit(start).alias("query_start_date"),
         F.lit(end).alias("query_end_date"),
         F.lit(max_records).cast("long").alias("max_records_cap"),
