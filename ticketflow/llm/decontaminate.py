@@ -83,19 +83,18 @@ def benchmark_windows(bench: DataFrame, window: int = WINDOW, k: int = KGRAM) ->
             .agg(F.array_sort(F.collect_set("item_id")).alias("items")))
 
 
+def _short_runs(ws: Column, n: int) -> Column:
+    """Every n-gram as a run of its own, as short items match whole n-grams."""
+    runs = F.transform(F.sequence(F.lit(0), F.size(ws) - n), lambda i: F.struct(
+        F.xxhash64(F.lit("short"), F.array_join(F.slice(ws, i + 1, n), " ")).alias("fp"),
+        i.alias("s0"), i.alias("s1"), F.lit(n).alias("len")))
+    return F.when(F.size(ws) >= n, runs).otherwise(F.array().cast("array<struct<fp:bigint,s0:int,s1:int,len:int>>"))
+
+
 def _document_runs(docs: DataFrame, short_lengths: list[int], window: int, k: int) -> DataFrame:
     """``(doc_id, h, words, runs)``; ``h`` tells rows that repeat a doc_id apart."""
     def runs(ws: Column) -> Column:
-        # short items match whole n-grams of their length
-        parts = [_runs(ws, window, k)]
-        for n in short_lengths:
-            parts.append(F.when(F.size(ws) >= n, F.transform(
-                F.sequence(F.lit(0), F.size(ws) - n),
-                lambda i, n=n: F.struct(
-                    F.xxhash64(F.lit("short"), F.array_join(F.slice(ws, i + 1, n), " ")).alias("fp"),
-                    i.alias("s0"), i.alias("s1"), F.lit(n).alias("len")))
-            ).otherwise(F.array().cast("array<struct<fp:bigint,s0:int,s1:int,len:int>>")))
-        return F.concat(*parts)
+        return F.concat(_runs(ws, window, k), *[_short_runs(ws, n) for n in short_lengths])
 
     one = let(words(F.col("text")), lambda ws: F.struct(ws.alias("words"), runs(ws).alias("runs")))
     return (docs.select("doc_id", F.xxhash64("text").alias("h"), one.alias("one"))
