@@ -27,6 +27,11 @@ HEADLINE = [
     "dim_build_report", "quality_profile", "reconcile_monthly", "valid_requests",
     "rejected_requests", "flag_duplicate_keys", "keyset_page", "incremental_slice",
     "csv_roundtrip", "partitioned_roundtrip", "external_table_scan", "fractional_hours_summary",
+    # write-heavy round trips, landings and the catalog path
+    "csv_two_headers", "json_pages_scan", "stream_landing", "capped_slice", "slice_manifest",
+    "mirror_reconcile", "mirror_reconcile_damaged", "split_sink", "serving_load", "dedup_raw_requests",
+    "sql_tables", "sql_monthly_summary", "sql_daily_summary", "sql_top_category_per_borough_month",
+    "sql_reconcile_monthly", "sql_monthly_volume", "sql_top_complaint_types", "sql_category_totals_ytd",
 ]
 
 

@@ -228,19 +228,18 @@ def mart_constraints(mart: DataFrame, key: Sequence[str], date_cols: Sequence[st
     return viol.unionByName(dup)
 
 
-def quality_profile(curated: DataFrame) -> DataFrame:
-    """Eleven data-quality metrics of the curated table in one aggregate."""
-    c = F.col
-    return curated.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct("unique_key").alias("distinct_keys"),
-        F.count_if(c("unique_key").isNull()).alias("null_keys"),
-        F.min("created_month").alias("min_month"),
-        F.max("created_month").alias("max_month"),
-        F.count_distinct("created_month").alias("distinct_months"),
-        F.min("created_year").alias("min_year"),
-        F.max("created_year").alias("max_year"),
-        F.min("resolution_hours").alias("min_resolution_hours"),
-        F.count_if(c("complaint_category").isNull()).alias("null_categories"),
-        F.count_if(c("borough").isNull()).alias("null_boroughs"),
-    )
+# What the curated table is profiled for: (result column, metric, profiled column).
+CURATED_PROFILE: tuple[tuple[str, str, str], ...] = (
+    ("total_rows", "rows", ""), ("distinct_keys", "distinct", "unique_key"), ("null_keys", "nulls", "unique_key"),
+    ("min_month", "min", "created_month"), ("max_month", "max", "created_month"),
+    ("distinct_months", "distinct", "created_month"), ("min_year", "min", "created_year"),
+    ("max_year", "max", "created_year"), ("min_resolution_hours", "min", "resolution_hours"),
+    ("null_categories", "nulls", "complaint_category"), ("null_boroughs", "nulls", "borough"))
+
+_METRICS = {"rows": lambda _: F.count(F.lit(1)), "distinct": F.count_distinct, "min": F.min, "max": F.max,
+            "nulls": lambda c: F.count_if(F.col(c).isNull())}
+
+
+def quality_profile(df: DataFrame, profile: Sequence[tuple[str, str, str]] = CURATED_PROFILE) -> DataFrame:
+    """The listed data-quality metrics of a table in one aggregate."""
+    return df.agg(*[_METRICS[metric](column).alias(name) for name, metric, column in profile])

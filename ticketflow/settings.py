@@ -21,14 +21,14 @@ REQUIRED_COLUMNS: tuple[str, ...] = (
 # Also read by the cleaning stage.
 OPTIONAL_COLUMNS: tuple[str, ...] = ("city",)
 
-# Text tokens a CSV reader of the source system treats as missing.
+# FIXED VALUES. Text tokens a CSV reader of the source system treats as missing.
 NA_TOKENS: tuple[str, ...] = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 )
 
-# Rejection reasons, in the order they are joined into `_rejection_reasons`.
+# FIXED VALUES. Rejection reasons, in the order they are joined into `_rejection_reasons`.
 REJECTION_REASONS: tuple[str, ...] = (
     "missing_unique_key",
     "missing_agency",
@@ -47,7 +47,7 @@ MISSING_FILL = "UNKNOWN"
 CLOSED_STATUS = "CLOSED"
 DEFAULT_CATEGORY = "Other"
 
-# Keyword categorisation of complaint types: ordered rules, first match wins,
+# FIXED VALUES. Keyword categorisation of complaint types: ordered rules, first match wins,
 # lower-cased substring containment, default "Other".
 CATEGORY_RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Noise", ("noise",)),
@@ -78,21 +78,21 @@ CATEGORY_RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Traffic & Safety", ("traffic", "illegal parking", "blocked crosswalk")),
 )
 
-# Data-quality thresholds (rate = reason count / total rows).
+# FIXED VALUES. Data-quality thresholds (rate = reason count / total rows).
 DEFAULT_THRESHOLDS: dict[str, float] = {
     "max_missing_id_rate": 0.02,
     "max_invalid_date_rate": 0.02,
     "max_duplicate_rate": 0.05,
 }
 
-# (check name, reason counted, threshold key), in report order.
+# FIXED VALUES. (check name, reason counted, threshold key), in report order.
 THRESHOLD_CHECKS: tuple[tuple[str, str, str], ...] = (
     ("missing_id_rate", "missing_unique_key", "max_missing_id_rate"),
     ("invalid_date_rate", "invalid_created_date", "max_invalid_date_rate"),
     ("duplicate_rate", "duplicate_unique_key", "max_duplicate_rate"),
 )
 
-# Serving-table constraints of the marts (VARCHAR lengths).
+# FIXED VALUES. Serving-table constraints of the marts (VARCHAR lengths).
 BOROUGH_MAX_LEN = 20
 CATEGORY_MAX_LEN = 50
 
