@@ -41,6 +41,9 @@ BLOCK_SHINGLES = 2_000_000
 REGION_ROW_BYTES = 24
 MEMBER_ROW_BYTES = 40
 
+# Words whose hashes a task remembers at once.
+KNOWN_WORDS = 250_000
+
 _MULTIPLIERS = np.random.default_rng(20240601).integers(1, 2**63, HASHES, dtype=np.uint64) | np.uint64(1)
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _S = np.uint64(29)
@@ -50,7 +53,7 @@ class _WordHashes(dict):
     """Hashes of words met so far, up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
