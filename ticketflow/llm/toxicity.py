@@ -26,6 +26,8 @@ from ticketflow.llm.common import ASCII_LOWER, ASCII_UPPER, map_arrow, materiali
 
 FIT_ROWS = 100_000
 LEXICON_WORDS = 5_000
+# Distinct words that a task counts before it passes them on.
+COUNTED_WORDS = 300_000
 MIN_DOCS = 4
 MIN_LOG_ODDS = 2.5
 NEAR = 3
@@ -99,11 +101,19 @@ def learn_lexicon(rows: DataFrame, max_words: int = LEXICON_WORDS, min_docs: int
     """
     def count(batches):
         pos, neg = Counter(), Counter()
+
+        def counted():
+            keys = list(pos.keys() | neg.keys())
+            return {"word": keys, "pos": [pos[k] for k in keys], "neg": [neg[k] for k in keys]}
+
         for b in batches:
             for text, toxic in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist()):
                 (pos if toxic else neg).update(set(words(text or b"")))
-        keys = list(pos.keys() | neg.keys())
-        yield {"word": keys, "pos": [pos[k] for k in keys], "neg": [neg[k] for k in keys]}
+                if len(pos) + len(neg) >= COUNTED_WORDS:
+                    yield counted()
+                    pos.clear()
+                    neg.clear()
+        yield counted()
 
     n_pos, n_neg = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
     if not n_pos or not n_neg:
