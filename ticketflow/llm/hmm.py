@@ -102,18 +102,36 @@ class Lexicon:
         return 1 + self.symbols + SHAPES
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """Up to ``most`` of the most frequent words and their counts, most frequent first.
+
+    Words are taken in whole steps of the count (a sixteenth of a doubling), as
+    many steps as fit, so only step sizes and the chosen words reach the driver.
+    """
+    step = F.floor(F.log2("c") * 16).cast("int")
+    least, room = None, most
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r.step):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.step
+    if least is None:
+        return []
+    t = counts.where(step >= least).select("word", "c").toArrow()
+    return sorted(zip(t.column("word").to_pylist(), t.column("c").to_pylist()), key=lambda x: (-x[1], x[0]))
+
+
 def fit_lexicon(counts: DataFrame, n_docs: int, symbol_words: int = SYMBOL_WORDS,
                 head_words: int = HEAD_WORDS) -> Lexicon:
-    top = counts.orderBy(F.col("c").desc(), "word").limit(head_words).collect()
-    head = {bytes(r.word): r.c for r in top}
+    head = dict(frequent_words(counts, head_words))
     symbols = min(symbol_words, len(head))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     by_shape = counts.groupBy(shape_expr(F.col("word")).alias("s")).agg((F.sum("c") + F.count(F.lit(1))).alias("t")).collect()
     total = [1] * SHAPES
     for r in by_shape:
         total[r.s] += r.t
-    for r in top[:symbols]:
-        total[shape(bytes(r.word))] -= r.c + 1
+    for w, c in list(head.items())[:symbols]:
+        total[shape(w)] -= c + 1
     return Lexicon(head, symbols, tuple(total), n + n_docs, v + (n_docs > 0))
 
 
