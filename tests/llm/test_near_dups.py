@@ -97,3 +97,32 @@ def test_signature_estimates_similarity(prose):
     s, t = (ND.shingle_set(" ".join(x).encode(), 2, hashes) for x in (a, b))
     true = len(np.intersect1d(s, t)) / len(np.union1d(s, t))
     assert abs((ND.signature(s) == ND.signature(t)).mean() - true) < 0.2
+
+
+def test_dense_regions_lose_no_candidate(spark, make_docs, docs):
+    """Candidates connect the same documents however few rows a task takes of a region."""
+    reps = (ND.signatures(make_docs(docs), 2).where("digest is not null and doc_id is not null")
+            .selectExpr("doc_id as node", "n_shingles", "sig")).cache()
+
+    def clusters(region_rows):
+        return sorted(tuple(r) for r in components(ND.forest_edges(reps, region_rows)).collect())
+
+    whole = clusters(10**6)
+    assert len(whole) > 100
+    assert clusters(4) == whole and clusters(2) == whole
+
+
+def test_one_dense_region_of_many_groups(spark):
+    """Boilerplate gives all rows one first prefix; pairs that only meet there are still candidates."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for g in range(60):
+        base = rng.integers(0, 2**32, ND.HASHES, dtype=np.uint32)
+        base[:3] = 7
+        for c in range(2):
+            sig = base.copy()
+            sig[3 + c::6] = rng.integers(0, 2**32, len(sig[3 + c::6]), dtype=np.uint32)  # no other shared triple
+            rows.append((10 * g + c, 100, sig.tobytes()))
+    reps = spark.createDataFrame(rows, "node bigint, n_shingles bigint, sig binary")
+    got = {r.node: r.component for r in components(ND.forest_edges(reps, 8)).collect()}
+    assert got == {10 * g + c: 10 * g for g in range(60) for c in range(2)}

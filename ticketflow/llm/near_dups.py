@@ -3,10 +3,12 @@
 1. Documents with equal shingle sets are one class; its smallest doc_id stands
    for it. Every class has a MinHash signature.
 2. The forest reads the signature in several orders. Classes that share the
-   first values of an order are a region; a region with too many rows is split
-   by a longer prefix, so depth follows density. Within a region, pairs whose
+   first values of an order are a region. Within a region, pairs whose
    signatures agree often enough are candidates, and a spanning forest of them
-   is kept: what matters is which classes may be connected.
+   is kept: what matters is which classes may be connected. A region with too
+   many rows for a task is dealt into chunks; then its members outside the
+   largest part found so far are compared with all its chunks, so that density
+   loses no pair.
 3. Classes connected by candidates are a cluster. Clusters are confirmed on the
    full sets in blocks of bounded size: a block finds all its links by an
    inverted index of shingles. A cluster of several blocks shares its first
@@ -32,7 +34,7 @@ WIDTH = 5
 SIMILARITY_PERCENT = 80
 HASHES = 64
 ORDERS = 21
-DEPTHS = (3, 4, 5, 6, 8, 12, 20)
+DEPTH = 3
 REGION_ROWS = 4096
 # Agreeing values of 64 below which a pair at the threshold falls once in 10^7.
 LEAST_AGREEING = 34
@@ -106,65 +108,75 @@ def _sketch(sig: bytes) -> np.ndarray:
 
 
 def forest_edges(reps: DataFrame, region_rows: int = REGION_ROWS) -> DataFrame:
-    """Candidate edges ``(a, b)`` between representatives ``(node, n_shingles, sig)``."""
-    twice = F.concat("sig", "sig")
-    orders = reps.select("node", "n_shingles", "sig", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("o"))
+    """Candidate edges ``(a, b)`` between representatives ``(node, n_shingles, sig)``.
 
-    def prefix(depth: int):
-        return F.xxhash64(F.lit(depth), "o", F.substr(twice, F.col("o") * 12 + 1, F.lit(4 * depth)))
-
-    edges, rows = None, orders
-    for i, depth in enumerate(DEPTHS):
-        keyed = rows.withColumn("key", prefix(depth))
-        sizes = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("first"))
-                            .where(F.col("rows") > 1), "forest-regions")
-        regions, _ = bounded_broadcast(sizes, REGION_ROW_BYTES)
-        members = keyed.join(regions, "key")
-        found = _region_edges(members.where(F.col("rows") <= region_rows))
-        deepest = i == len(DEPTHS) - 1
-        dense = sizes.where(F.col("rows") > region_rows)
-        more = not dense.isEmpty()
-        if more and deepest:
-            # as good as equal signatures: one cluster, confirmed in blocks
-            found = found.union(members.where(F.col("rows") > region_rows).select(F.col("first").alias("a"), F.col("node").alias("b")))
-        found = materialize(found.distinct(), "forest-edges")
-        edges = found if edges is None else edges.union(found)
-        if not more:
-            break
-        rows = members.where(F.col("rows") > region_rows).select("node", "n_shingles", "sig", "o")
-    return edges.distinct()
+    They connect the same nodes whatever ``region_rows`` is: every pair that
+    shares a region and agrees often enough ends up in one component.
+    """
+    orders = reps.select("node", "n_shingles", "sig", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("o"))
+    prefix = F.substr("sig", F.col("o") * (4 * DEPTH) + 1, F.lit(4 * DEPTH))
+    keyed = orders.select("node", "n_shingles", "sig", F.xxhash64("o", prefix).alias("key"))
+    sizes = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("first"))
+                        .where("rows > 1").select("key", "first", F.ceil(F.col("rows") / region_rows).alias("chunks")),
+                        "forest-regions")
+    regions, _ = bounded_broadcast(sizes, REGION_ROW_BYTES)
+    # other chunks in every order, so that orders connect what one of them deals apart
+    members = keyed.join(regions, "key").withColumn("chunk", F.pmod(F.xxhash64("node", "key"), F.col("chunks")))
+    dealt = members.withColumn("part", F.col("node"))
+    if sizes.where("chunks > 1").isEmpty():
+        return materialize(_region_edges(dealt.withColumn("group", F.col("key"))).distinct(), "forest-edges")
+    every_chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
+    first = dealt.where("chunks > 1 and node = first").withColumn("chunk", every_chunk)
+    group = F.xxhash64("key", "chunk")
+    edges = materialize(_region_edges(dealt.unionByName(first).withColumn("group", group)).distinct(), "forest-edges")
+    # members of a dense region outside its largest part, against all its chunks
+    wide = members.where("chunks > 1").join(components(edges), "node", "left")
+    wide = materialize(wide.withColumn("part", F.coalesce("component", "node"))
+                       .select("key", "chunks", "chunk", "node", "n_shingles", "sig", "part"), "forest-dense")
+    counted = wide.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    rest = materialize(counted.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("largest"),
+                                                  (F.sum("n") - F.max("n")).alias("outside")).where("outside > 0")
+                       .select("key", "largest", F.ceil(F.col("outside") / region_rows).alias("batches")), "forest-rest")
+    rest, _ = bounded_broadcast(rest, REGION_ROW_BYTES)
+    wide = wide.join(rest, "key")
+    every_batch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("batches") - 1))
+    outside = (wide.where("part <> largest").withColumn("batch", F.pmod(F.xxhash64("node", "key", F.lit(1)), F.col("batches")))
+               .withColumn("chunk", every_chunk))
+    again = outside.unionByName(wide.withColumn("batch", every_batch)).withColumn("group", F.xxhash64("key", "chunk", "batch"))
+    return edges.union(materialize(_region_edges(again).distinct(), "forest-edges"))
 
 
 def _region_edges(members: DataFrame) -> DataFrame:
-    """A spanning forest of the pairs in each region that agree often enough."""
-    in_regions = (members.select("key", "node", "n_shingles", "sig").repartition("key")
-                  .sortWithinPartitions("key", "n_shingles", "node"))
+    """A spanning forest of the pairs in each ``group`` that agree often enough and differ in ``part``."""
+    in_groups = (members.select("group", "node", "n_shingles", "sig", "part").repartition("group")
+                 .sortWithinPartitions("group", "n_shingles", "node"))
 
     def run(batches):
-        key, nodes, sizes, sketches = None, [], [], []
+        group, nodes, sizes, sketches, parts = None, [], [], [], []
         for b in batches:
             found_a, found_b = [], []
-            for k, node, n, sig in zip(*(b.column(c).to_pylist() for c in ("key", "node", "n_shingles", "sig"))):
-                if k != key:
-                    _spanning(nodes, sizes, sketches, found_a, found_b)
-                    key, nodes, sizes, sketches = k, [], [], []
+            for g, node, n, sig, part in zip(*(b.column(c).to_pylist() for c in ("group", "node", "n_shingles", "sig", "part"))):
+                if g != group:
+                    _spanning(nodes, sizes, sketches, parts, found_a, found_b)
+                    group, nodes, sizes, sketches, parts = g, [], [], [], []
                 nodes.append(node)
                 sizes.append(n)
                 sketches.append(_sketch(sig))
+                parts.append(part)
             yield {"a": found_a, "b": found_b}
         found_a, found_b = [], []
-        _spanning(nodes, sizes, sketches, found_a, found_b)
+        _spanning(nodes, sizes, sketches, parts, found_a, found_b)
         yield {"a": found_a, "b": found_b}
 
-    return map_arrow(in_regions, run, "a bigint, b bigint")
+    return map_arrow(in_groups, run, "a bigint, b bigint")
 
 
-def _spanning(nodes: list, sizes: list, sketches: list, out_a: list, out_b: list) -> None:
+def _spanning(nodes: list, sizes: list, sketches: list, parts: list, out_a: list, out_b: list) -> None:
     m = len(nodes)
     if m < 2:
         return
     x, n = np.stack(sketches), np.array(sizes)
-    label = np.arange(m)
+    label = np.unique(parts, return_inverse=True)[1]
     # sorted by size: partners of i end where sizes pass the similarity bound
     last = np.searchsorted(n, n * 100 // SIMILARITY_PERCENT, side="right")
     for i in range(m - 1):
