@@ -49,3 +49,17 @@ def test_few_or_no_rows(spark):
     assert VP.nearest(empty, empty).count() == 0
     two = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [1.0, 1.0], 1)], SCHEMA)
     assert [tuple(r)[:3] for r in VP.nearest(two, two.where("vec_id = 0")).collect()] == [(0, 1, 1)]
+
+
+def test_repeated_rows_leave_room_for_other_ids(spark):
+    same, other = [1.0, 2.0], [2.0, -1.0]
+    rows = [(1, same, 0)] * 8 + [(i, same, 0) for i in (2, 3, 4, 0)] + [(9, other, 0)] * 7
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = VP.nearest(df, df.where("vec_id = 0"), 5)
+    assert [(r.rank, r.vec_id) for r in got.orderBy("rank").collect()] == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 9)]
+
+
+def test_tree_keeps_distinct_ids_of_equal_vectors():
+    ids, x = np.array([1] * 8 + [2, 3]), np.ones((10, 2))
+    found = VP.search_tree(VP.build_tree(ids, x, 5), np.array([0]), np.ones((1, 2)), 5)[1]
+    assert sorted(found) == [1, 2, 3]

@@ -8,7 +8,7 @@ exact search, a larger factor skips more.
 
 The index is a table with one serialized tree for each shard; queries travel in
 blocks, and a task searches one tree for one block at a time. All vectors are
-indexed; of equal vectors in a shard the ``k + 1`` smallest ids are kept, as no
+indexed; of equal vectors in a shard the ``k + 1`` smallest distinct ids are kept, as no
 other can be among the k nearest of any query.
 """
 
@@ -58,6 +58,9 @@ def build_tree(ids: np.ndarray, x: np.ndarray, k: int, leaf: int = LEAF) -> byte
     ids, x = ids[order], np.ascontiguousarray(x[order])
     new = np.ones(len(ids), bool)
     new[1:] = (x[1:] != x[:-1]).any(axis=1)
+    # rows that repeat an id and its vector count once
+    once = new | np.append(True, ids[1:] != ids[:-1])
+    ids, x, new = ids[once], x[once], new[once]
     start = np.flatnonzero(new)
     rank = np.arange(len(ids)) - np.repeat(start, np.diff(np.append(start, len(ids))))
     ids, x = ids[rank <= k], x[rank <= k]
