@@ -126,3 +126,13 @@ def test_one_dense_region_of_many_groups(spark):
     reps = spark.createDataFrame(rows, "node bigint, n_shingles bigint, sig binary")
     got = {r.node: r.component for r in components(ND.forest_edges(reps, 8)).collect()}
     assert got == {10 * g + c: 10 * g for g in range(60) for c in range(2)}
+
+
+def test_keep_one_judges_each_text_of_a_repeated_id(make_docs, prose):
+    a, b = prose(1, 60), prose(2, 60)
+    c = a + " more"
+    rows = [(3, a), (7, a), (7, b), (7, c), (8, b), (9, c), (9, prose(4, 60)), (None, a), (5, b), (5, b)]
+    got = sorted(((r.doc_id, r.text) for r in ND.keep_one(make_docs(rows)).collect()), key=repr)
+    assert got == sorted([(3, a), (5, b), (5, b), (9, prose(4, 60)), (None, a)], key=repr)
+    few = [(3, a), (7, a), (7, b)]
+    assert sorted((r.doc_id, r.text) for r in ND.keep_one(make_docs(few)).collect()) == [(3, a), (7, b)]

@@ -317,6 +317,24 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, region_rows: int = REGI
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """One document of each group of near-duplicates, with all its columns."""
-    gone = near_duplicates(docs, width).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One text of each group of near-duplicates, with all its columns.
+
+    Where a doc_id repeats with different texts, each text is judged by itself:
+    the smallest doc_id of a group stays, and of its texts in the group one.
+    Rows that repeat both doc_id and text go or stay together; rows without a
+    doc_id stay.
+    """
+    text_hash = F.xxhash64("text")
+    pairs = materialize(docs.where("doc_id is not null").select("doc_id", text_hash.alias("h")).distinct()
+                        .orderBy("doc_id", "h").withColumn("n", F.monotonically_increasing_id()), "dup-texts")
+    if pairs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        gone = near_duplicates(docs, width).where(~F.col("kept")).select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # numbers in the order of doc_id stand for the texts
+    texts = (docs.select("doc_id", "text", text_hash.alias("h")).join(pairs, ["doc_id", "h"])
+             .select(F.col("n").alias("doc_id"), "text"))
+    gone = near_duplicates(materialize(texts, "dup-numbered"), width).where(~F.col("kept"))
+    gone = gone.select(F.col("doc_id").alias("n")).distinct().join(pairs, "n")
+    left, right = docs.alias("l"), gone.alias("r")
+    on = (F.col("l.doc_id") == F.col("r.doc_id")) & (F.xxhash64("l.text") == F.col("r.h"))
+    return left.join(right, on, "left_anti")
