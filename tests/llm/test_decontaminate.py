@@ -76,3 +76,22 @@ def test_no_python_in_the_plan(spark, make_docs, cases):
     docs, bench = cases
     df = DC.contamination(make_docs(docs), spark.createDataFrame(bench, "item_id bigint, text string"))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("gram,items", [("w" * 50_000, ["1"]), ("a b", ["item%d" % i for i in range(2000)])])
+def test_broadcast_bound_counts_bytes_of_long_rows(spark, gram, items):
+    from ticketflow.llm.common import bounded_broadcast
+    rows = spark.createDataFrame([(gram, items)], "gram string, items array<string>")
+    assert not bounded_broadcast(rows, DC._window_bytes(), 10_000)[1]
+    assert bounded_broadcast(rows, DC._window_bytes(), 1_000_000)[1]
+
+
+def test_shared_passage_of_many_items_is_not_broadcast(spark, make_docs, monkeypatch):
+    asked = []
+    plain = DC.bounded_broadcast
+    monkeypatch.setattr(DC, "bounded_broadcast", lambda *a: asked.append(plain(*a)) or asked[-1])
+    text = " ".join("word%d" % i for i in range(10))
+    bench = spark.createDataFrame([(i, text) for i in range(1000)], "item_id bigint, text string")
+    got = DC.contamination(make_docs([(1, text), (2, "other")]), bench, max_broadcast=10_000)
+    assert sorted((r.doc_id, r.n_items) for r in got.collect()) == [(1, 1000), (2, 0)]
+    assert not asked[0][1]

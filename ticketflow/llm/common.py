@@ -49,14 +49,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, row_bytes: int,
+def bounded_broadcast(df: DataFrame, row_bytes: int | Column,
                       max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
-    """Hint a broadcast if the counted rows times ``row_bytes`` stay in the bound.
+    """Hint a broadcast if ``row_bytes``, summed over the rows, stay in the bound.
 
-    ``df`` should be a written table, since it is counted. Returns the frame
-    and whether it was hinted; unhinted, the join is a shuffle join.
+    A column gives the bytes of rows of no fixed size. ``df`` should be a
+    written table, since it is counted. Returns the frame and whether it was
+    hinted; unhinted, the join is a shuffle join.
     """
-    if df.count() * row_bytes <= max_bytes:
+    if isinstance(row_bytes, Column):
+        total = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+    else:
+        total = df.count() * row_bytes
+    if total <= max_bytes:
         return F.broadcast(df), True
     return df, False
 

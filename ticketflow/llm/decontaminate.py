@@ -7,8 +7,8 @@ once. Equal windows have equal fingerprints, so joining the document
 fingerprints with those of the benchmark finds every shared window; each hit is
 then extended to the whole window and compared as text.
 
-The fingerprints and windows of the benchmark are broadcast if their counted
-size is within a bound; beyond it both joins shuffle, and only thin fingerprint
+The fingerprints and windows of the benchmark are broadcast if their summed
+bytes are within a bound; beyond it both joins shuffle, and only thin fingerprint
 rows of the documents are moved before the hits are known.
 """
 
@@ -22,8 +22,9 @@ from ticketflow.llm.common import (BROADCAST_MAX_BYTES, bounded_broadcast, let,
 
 WINDOW = 10
 KGRAM = 5
-# Bytes reckoned for one benchmark window: its words, item ids and overhead.
+# Least bytes reckoned for one benchmark window, and those beside its text or an item id.
 WINDOW_ROW_BYTES = 400
+VALUE_BYTES = 32
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -83,6 +84,12 @@ def benchmark_windows(bench: DataFrame, window: int = WINDOW, k: int = KGRAM) ->
             .agg(F.array_sort(F.collect_set("item_id")).alias("items")))
 
 
+def _window_bytes() -> Column:
+    """Bytes of a row ``(gram, items)``, which may hold long words or many items."""
+    items = F.aggregate("items", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x) + VALUE_BYTES)
+    return F.greatest(F.octet_length("gram") + VALUE_BYTES + items, F.lit(WINDOW_ROW_BYTES))
+
+
 def _short_runs(ws: Column, n: int) -> Column:
     """Every n-gram as a run of its own, as short items match whole n-grams."""
     runs = F.transform(F.sequence(F.lit(0), F.size(ws) - n), lambda i: F.struct(
@@ -107,7 +114,7 @@ def window_hits(docs: DataFrame, bench: DataFrame, window: int = WINDOW, k: int
     grams = materialize(benchmark_windows(bench, window, k), "bench-windows")
     # at most window - 1 values
     short = [r[0] for r in grams.where(F.col("len") < window).select("len").distinct().collect()]
-    known, small = bounded_broadcast(grams.select("gram", "items"), WINDOW_ROW_BYTES, max_broadcast)
+    known, small = bounded_broadcast(grams.select("gram", "items"), _window_bytes(), max_broadcast)
     fps = grams.select("fp", "len").distinct()
     if small:
         fps = F.broadcast(fps)
