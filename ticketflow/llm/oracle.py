@@ -124,6 +124,76 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+# crc32 by its table, which follows from the polynomial; v holds the words v.w to hash.
+_CRC32 = """
+crc_table AS (
+  SELECT list(c ORDER BY n) AS t FROM (
+    SELECT n, list_reduce(list_prepend(CAST(n AS BIGINT), CAST(range(8) AS BIGINT[])),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(n))),
+crcs AS (
+  SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, octet_length(encode(w))),
+      lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS crc FROM v, crc_table)"""
+
+OP13 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}'), []) AS ws FROM documents),
+dw AS (SELECT doc_id, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}')) AS w FROM benchmark),
+v AS (SELECT w FROM dw UNION SELECT w FROM bw),{_CRC32},
+sb AS (SELECT crc % 10000 AS b, count(*) AS n FROM dw JOIN crcs USING (w) GROUP BY 1),
+tb AS (SELECT crc % 10000 AS b, count(*) AS n FROM bw JOIN crcs USING (w) GROUP BY 1),
+tot AS (SELECT (SELECT coalesce(sum(n), 0) FROM sb) AS s, (SELECT coalesce(sum(n), 0) FROM tb) AS t),
+g AS (
+  SELECT range AS b, floor(1000 * ln((coalesce(tb.n, 0) + 1)::DOUBLE * (tot.s + 10000)::DOUBLE
+    / ((coalesce(sb.n, 0) + 1)::DOUBLE * (tot.t + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM range(10000) LEFT JOIN sb ON sb.b = range LEFT JOIN tb ON tb.b = range, tot),
+gw AS (SELECT w, gain FROM crcs JOIN g ON g.b = crc % 10000),
+wt AS (SELECT doc_id, sum(gain) AS weight FROM dw JOIN gw USING (w) GROUP BY 1),
+s AS (
+  SELECT d.doc_id, len(ws) AS n, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || d.doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS score
+  FROM d LEFT JOIN wt USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able FROM s WHERE n >= 20)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN place <= able * 10 // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM s LEFT JOIN r USING (doc_id)
+"""
+
+# Equal stretches of six words at distance q, in neighbouring places, make a stretch of period q.
+OP11 = f"""
+WITH v AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS w FROM documents),{_CRC32},
+d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '{TOKEN}'), []) AS ws, crc // 10 AS g, crc % 10 AS m
+  FROM documents JOIN crcs ON w = CAST(doc_id AS VARCHAR)),
+x AS (
+  SELECT doc_id, len(ws) AS n, CASE WHEN m <> 0 OR len(ws) = 0 THEN ws ELSE list_transform(range(0, len(ws)),
+    lambda i: ws[1 + CASE WHEN i < g % len(ws) THEN i
+      ELSE g % len(ws) + (i - g % len(ws)) % (1 + (len(ws) - g % len(ws)) // (3 + g % 8)) END]) END AS ws FROM d),
+grams AS (
+  SELECT doc_id, i, array_to_string(ws[i + 1:i + 6], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(0, n - 5)) AS i FROM x WHERE n >= 12)),
+pairs AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q FROM grams a JOIN grams b ON a.doc_id = b.doc_id AND a.gram = b.gram AND a.i < b.i),
+stretches AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + 5 + q AS l
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs)
+  GROUP BY doc_id, q, island HAVING count(*) + 5 + q >= greatest(12, 2 * q)),
+runs AS (
+  SELECT * FROM stretches r WHERE NOT EXISTS (
+    SELECT 1 FROM stretches o WHERE o.doc_id = r.doc_id AND o.q < r.q AND o.s <= r.s AND o.s + o.l >= r.s + r.l)),
+per_doc AS (
+  SELECT doc_id, count(*) AS n_runs, arg_min({{'s': s, 'l': l, 'q': q}}, (-l, s, q)) AS best,
+    string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines, list({{'a': s + q, 'b': s + l}}) AS gone
+  FROM runs GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length,
+  CAST(best.q AS BIGINT) AS period, CAST(1000 * best.l // best.q AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(array_to_string(list_transform(list_filter(range(0, n),
+    lambda i: len(list_filter(coalesce(gone, []), lambda r: i >= r.a AND i < r.b)) = 0), lambda i: ws[i + 1]), ' ')) AS collapsed_sha256
+FROM x LEFT JOIN per_doc USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
     "op2_near_duplicates": OP2,
@@ -131,4 +201,6 @@ ORACLES: dict[str, str] = {
     "op5_warc": OP5,
     "op6_nearest": OP6,
     "op7_chat": OP7,
+    "op11_periodic_runs": OP11,
+    "op13_resampling": OP13,
 }

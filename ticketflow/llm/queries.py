@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from ticketflow.llm import decontaminate as DC
 from ticketflow.llm import hmm as LM
 from ticketflow.llm import mixing as MX
 from ticketflow.llm import near_dups as ND
+from ticketflow.llm import periodic_runs as PR
+from ticketflow.llm import resampling as RS
 from ticketflow.llm import token_counts as TC
 from ticketflow.llm import toxicity as TX
 from ticketflow.llm import url_filter as UF
@@ -77,6 +81,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TX.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def planted_places(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Places of the words of which a text is made: one text in ten repeats a part of itself to its end."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PR.run_digest(PR.periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted_places))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RS.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
@@ -88,4 +112,6 @@ QUERIES: dict[str, Query] = {
     "op8_hmm": op8_hmm,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_resampling": op13_resampling,
 }
