@@ -16,6 +16,7 @@ from ticketflow.llm import mixing as MX
 from ticketflow.llm import near_dups as ND
 from ticketflow.llm import periodic_runs as PR
 from ticketflow.llm import resampling as RS
+from ticketflow.llm import secret_scan as SS
 from ticketflow.llm import token_counts as TC
 from ticketflow.llm import toxicity as TX
 from ticketflow.llm import url_filter as UF
@@ -97,6 +98,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PR.run_digest(PR.periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted_places))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SS.secret_digest(SS.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RS.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -113,5 +118,6 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_secret_scan": op12_secret_scan,
     "op13_resampling": op13_resampling,
 }
