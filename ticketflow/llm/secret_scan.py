@@ -103,11 +103,19 @@ def labelled_sample(docs: DataFrame, fit_rows: int = FIT_ROWS) -> list:
             yield {"label": [label] * len(rows), "h": [-r[0] - (1 << 63) for r in rows],
                    "part": [r[1] for r in rows], "size": [r[2] for r in rows]}
 
-    found = materialize(map_arrow(docs.select("text"), run, "label int, h bigint, part string, size int"), "secret-sample")
+    found = materialize(map_arrow(docs.select("text"), run, "label int, h bigint, part string, size int")
+                        .dropDuplicates(["label", "h"]), "secret-sample")
+    slot = F.shiftright("h", 52)  # 4,096 ranges of hashes
+    counts = found.groupBy("label", slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).orderBy("slot").collect()
     out = []
     for label in (0, 1):
-        rows = found.where(F.col("label") == label).dropDuplicates(["h"]).orderBy("h").limit(half).collect()
-        out += [(r.part, r["size"], label) for r in rows]
+        enough, last = 0, None
+        for r in counts:
+            if r.label == label and enough < half:
+                enough, last = enough + r.n, r.slot
+        if last is not None:  # half of the sample and one range at most
+            rows = found.where((F.col("label") == label) & (slot <= last)).orderBy("h").limit(half).collect()
+            out += [(r.part, r["size"], label) for r in rows]
     return out
 
 
