@@ -333,6 +333,17 @@ BODIES: dict[str, str] = {
     "align_union": f"""SELECT unique_key, created_date, closed_date, agency, agency_name, complaint_type,
         CASE WHEN coalesce(created_date < '1998', false) THEN descriptor END AS descriptor, borough, incident_zip,
         status, CASE WHEN coalesce(created_date < '1998', false) THEN NULL ELSE city END AS city FROM raw""",
+    "discovered_pages": """SELECT unique_key, created_date, closed_date, agency, agency_name, complaint_type,
+        CASE WHEN early THEN descriptor END AS descriptor, borough, incident_zip, status,
+        CASE WHEN NOT early THEN city END AS city,
+        CASE WHEN NOT early THEN CAST(length(complaint_type) AS VARCHAR) END AS extra_field
+        FROM (SELECT *, coalesce(created_date < '1998', false) AS early FROM raw)""",
+    "page_keys": " UNION ALL ".join(
+        f"SELECT * FROM (SELECT {_q(c)} AS key, {_q('BIGINT' if c == 'extra_field' else 'STRING')} AS value_type, "
+        f"count(*) AS records FROM raw WHERE {'complaint_type' if c == 'extra_field' else c} IS NOT NULL AND {w}) WHERE records > 0"
+        for c in [*RAW_TEXT, "extra_field"] for w in [
+            {"descriptor": "coalesce(created_date < '1998', false)", "city": "NOT coalesce(created_date < '1998', false)",
+             "extra_field": "NOT coalesce(created_date < '1998', false)"}.get(c, "true")]),
     "partitioned_roundtrip": f"SELECT {CURATED_COLS} FROM curated",
     "external_table_scan": """SELECT created_year, created_month, count(*) AS total_rows,
         count(*) OVER () AS registered_partitions FROM curated GROUP BY 1, 2""",
@@ -487,6 +498,11 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 7, 'daily', (SELECT count(*) FROM daily)""",
 }
 
+BODIES["keyset_page_indexed"] = BODIES["keyset_page"]
+BODIES["seen_keys_landings"] = BODIES["flag_duplicate_keys"]
+BODIES["monthly_summary_appended"] = BODIES["monthly_summary"]
+BODIES["daily_summary_appended"] = BODIES["daily_summary"]
+
 for _k in ("monthly_summary", "daily_summary", "monthly_summary_head", "top_category_per_borough_month",
            "reconcile_monthly", "reconcile_daily", "monthly_volume", "top_complaint_types",
            "category_totals_ytd"):

@@ -9,6 +9,7 @@ stage outputs to the next step.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +25,17 @@ from ticketflow.operators.joins import broadcast_if_small
 from ticketflow.operators.onerow import side_by_side
 from ticketflow.plans import flow
 from ticketflow.plans import marts as M
+from ticketflow.plans import mergeable as MM
 from ticketflow.session import scratch_path
 from ticketflow.settings import CATEGORY_RULES, REQUIRED_COLUMNS
 from ticketflow.sources import files as FS
+from ticketflow.sources import key_discovery as KD
+from ticketflow.sources import page_index as PI
 from ticketflow.sources import pages as PG
 from ticketflow.sources import raw as R
 from ticketflow.sources import testdata as TD
 from ticketflow.streaming import incremental as INC
+from ticketflow.streaming import seen_keys as SK
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +115,27 @@ def q_json_pages_scan(spark, sf):
     return PG.read_pages(spark, path, R.RAW_SCHEMA)
 
 
+def _pages_of_two_waves(spark, sf) -> str:
+    """Landed pages whose keys come and go: null values have no key, early records no
+    city, late ones no descriptor but a key of their own."""
+    raw = _st(spark, sf).raw.select(*RAW_TEXT)
+    early = F.coalesce(F.col("created_date") < "1998", F.lit(False))
+    path = scratch_path(spark, "open_pages")
+    PG.land_pages(raw.where(early).drop("city"), f"{path}/early", page_size=5_000)
+    late = raw.where(~early).drop("descriptor").withColumn("extra_field", F.length("complaint_type"))
+    PG.land_pages(late, f"{path}/late", page_size=5_000)
+    return f"{path}/*"
+
+
+def q_discovered_pages(spark, sf):
+    """Pages without a declared schema: a column for each key that any record has."""
+    return KD.read_discovered(spark, _pages_of_two_waves(spark, sf))
+
+
+def q_page_keys(spark, sf):
+    return KD.discover_keys(KD.read_records(spark, _pages_of_two_waves(spark, sf)))
+
+
 def q_schema_contract(spark, sf):
     raw = R.check_contract(_st(spark, sf).raw)
     rep = R.contract_report(raw)
@@ -132,6 +158,18 @@ def q_keyset_page(spark, sf):
                           ).select(*RAW_TEXT)
 
 
+def q_keyset_page_indexed(spark, sf):
+    """The same slice of pages in cursor order, through their index."""
+    source = _source(spark, sf)
+    order = [TS, "unique_key", *TD.SOURCE_ORDER_COLUMNS, *[c for c in RAW_TEXT if c != "unique_key"]]
+    pages, path = scratch_path(spark, "sorted_pages"), scratch_path(spark, "page_index")
+    PI.land_sorted_pages(source, pages, order, page_rows=20 * PAGE_SIZE)
+    index = PI.PageIndex(PI.build_index(spark, pages, order, path), len(order))
+    start = (datetime.fromisoformat(PAGE_CURSOR[0]), PAGE_CURSOR[1])
+    end = (datetime.fromisoformat(f"{SLICE_END} 23:59:59"),)
+    return PI.indexed_page(spark, index, order, source.schema, start, PAGE_SIZE, end).select(*RAW_TEXT)
+
+
 def q_resume_cursor(spark, sf):
     """Cursor of a whole landing."""
     return PG.resume_cursor(_slice(spark, sf), _cursor_order(), ["created_date", "unique_key"])
@@ -210,6 +248,19 @@ def q_flag_duplicate_keys(spark, sf):
     return _raw_with(spark, sf, ["duplicate_unique_key"])
 
 
+def q_seen_keys_landings(spark, sf):
+    """Three landings, flagged one after the other by a stream that remembers their keys."""
+    raw = _st(spark, sf).raw
+    landing, sink, ckpt, path = (scratch_path(spark, n) for n in ("seen_in", "seen_out", "seen_ckpt", "seen_state"))
+    state = SK.SeenKeys(spark, path, "unique_key")
+    wave = (F.when(F.col("created_date") < "1995", 1).when(F.col("created_date") < "1998", 2).otherwise(3))
+    for i in (1, 2, 3):
+        raw.where(wave == i).write.parquet(f"{landing}/wave={i}")
+        SK.stream_flagged(spark, landing, raw.schema, state, TD.TESTDATA_SETTINGS.order_columns,
+                          "duplicate_unique_key", sink, ckpt, files_per_batch=1_000_000)
+    return spark.read.parquet(sink).select(*RAW_TEXT, "duplicate_unique_key")
+
+
 def q_flag_bad_dates(spark, sf):
     return _raw_with(spark, sf, ["invalid_created_date", "closed_before_created"])
 
@@ -394,6 +445,25 @@ def q_daily_summary(spark, sf):
     return _st(spark, sf).daily.select(*DAILY_COLS)
 
 
+def _appended_mart(spark, sf, spec: MM.MartSpec) -> DataFrame:
+    """A mart after three batches: old months, new months, and late rows of both; the last one runs twice."""
+    curated = _st(spark, sf).curated
+    late = F.pmod(F.xxhash64("unique_key"), F.lit(100)) == 0
+    old = F.col("created_year") < VOLUME_YEAR
+    mart = MM.MergeableMart(spark, scratch_path(spark, f"appended_{spec.name}"), spec)
+    for i, part in enumerate((~late & old, ~late & ~old, late, late)):
+        mart.append(curated.where(part), min(i, 2))
+    return mart.read()
+
+
+def q_monthly_summary_appended(spark, sf):
+    return _appended_mart(spark, sf, MM.MONTHLY).select(*MONTHLY_COLS)
+
+
+def q_daily_summary_appended(spark, sf):
+    return _appended_mart(spark, sf, MM.daily_spec()).select(*DAILY_COLS)
+
+
 def q_monthly_volume(spark, sf):
     return M.monthly_volume(_st(spark, sf).curated, VOLUME_YEAR)
 
