@@ -2,13 +2,17 @@
 
 1. Documents with equal shingle sets are one class; its smallest doc_id stands
    for it. Every class has a MinHash signature.
-2. The forest reads the signature in several orders. Classes that share the
-   first values of an order are a region. Within a region, pairs whose
-   signatures agree often enough are candidates, and a spanning forest of them
-   is kept: what matters is which classes may be connected. A region with too
-   many rows for a task is dealt into chunks; then its members outside the
-   largest part found so far are compared with all its chunks, so that density
-   loses no pair.
+2. The forest sorts the classes by their signatures in several orders, each
+   beginning at another block of values. Classes that share the first block of an
+   order are a region. In a region of bounded size all pairs whose signatures agree
+   often enough are candidates, and a spanning forest of them is kept: what matters is
+   which classes may be connected. In a dense region the candidates are the
+   neighbours with the longest common prefix, that is the next rows of the sorted order,
+   also across the edges of tasks. Members outside the largest part that these connect
+   are searched deeper, each region on its own: it is split by one more block of
+   values, in several orders again, until its parts are of bounded size. After
+   ``LEVELS`` blocks the members that are still outside are compared with everything in
+   their region, so that depth alone never loses a pair.
 3. Classes connected by candidates are a cluster. Clusters are confirmed on the
    full sets in blocks of bounded size: a block finds all its links by an
    inverted index of shingles. A cluster of several blocks shares its first
@@ -24,7 +28,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketflow.llm.common import bounded_broadcast, map_arrow, materialize
@@ -33,15 +37,22 @@ from ticketflow.llm.components import components
 WIDTH = 5
 SIMILARITY_PERCENT = 80
 HASHES = 64
+# Orders of the forest, each beginning at a block of DEPTH values.
 ORDERS = 21
 DEPTH = 3
 REGION_ROWS = 4096
+# Blocks by which a dense region is split, and the blocks after the last one that are tried for that.
+LEVELS = 3
+SPREAD = 7
+# Rows before a row of a sorted order that are its candidates.
+NEIGHBOURS = 8
 # Agreeing values of 64 below which a pair at the threshold falls once in 10^7.
 LEAST_AGREEING = 34
 BLOCK_DOCS = 2000
 BLOCK_SHINGLES = 2_000_000
-REGION_ROW_BYTES = 24
-MEMBER_ROW_BYTES = 40
+# Bytes reckoned for a broadcast row of a few numbers, and of a group name and a number.
+REGION_ROW_BYTES = 64
+MEMBER_ROW_BYTES = 128
 
 # Words whose hashes a task remembers at once.
 KNOWN_WORDS = 250_000
@@ -107,43 +118,121 @@ def _sketch(sig: bytes) -> np.ndarray:
     return np.frombuffer(sig, np.uint32).astype(np.uint8)
 
 
-def forest_edges(reps: DataFrame, region_rows: int = REGION_ROWS) -> DataFrame:
-    """Candidate edges ``(a, b)`` between representatives ``(node, n_shingles, sig)``.
+def _block(sig: str, block) -> Column:
+    """The values of one block of a signature."""
+    return F.substr(sig, block * (4 * DEPTH) + 1, F.lit(4 * DEPTH))
 
-    They connect the same nodes whatever ``region_rows`` is: every pair that
-    shares a region and agrees often enough ends up in one component.
-    """
-    orders = reps.select("node", "n_shingles", "sig", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("o"))
-    prefix = F.substr("sig", F.col("o") * (4 * DEPTH) + 1, F.lit(4 * DEPTH))
-    keyed = orders.select("node", "n_shingles", "sig", F.xxhash64("o", prefix).alias("key"))
-    sizes = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("first"))
-                        .where("rows > 1").select("key", "first", F.ceil(F.col("rows") / region_rows).alias("chunks")),
-                        "forest-regions")
+
+def forest_edges(reps: DataFrame, region_rows: int = REGION_ROWS) -> DataFrame:
+    """Candidate edges ``(a, b)`` between representatives ``(node, n_shingles, sig)``."""
+    block = F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1)))
+    members = reps.select("node", "n_shingles", "sig", F.col("node").alias("part"), block.alias("block"))
+    key = F.xxhash64("block", _block("sig", F.col("block")))
+    return _search(members.withColumn("key", key), None, region_rows, 1)
+
+
+def _search(members: DataFrame, known: DataFrame | None, region_rows: int, level: int) -> DataFrame:
+    """Edges inside the regions ``key`` of ``members`` that connect different parts of ``known`` edges."""
+    sizes = materialize(members.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("part").alias("least"),
+                                                   F.max("part").alias("most")).where("least <> most")
+                        .select("key", (F.col("rows") > region_rows).alias("dense")), "forest-regions")
     regions, _ = bounded_broadcast(sizes, REGION_ROW_BYTES)
-    # other chunks in every order, so that orders connect what one of them deals apart
-    members = keyed.join(regions, "key").withColumn("chunk", F.pmod(F.xxhash64("node", "key"), F.col("chunks")))
-    dealt = members.withColumn("part", F.col("node"))
-    if sizes.where("chunks > 1").isEmpty():
-        return materialize(_region_edges(dealt.withColumn("group", F.col("key"))).distinct(), "forest-edges")
-    every_chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
-    first = dealt.where("chunks > 1 and node = first").withColumn("chunk", every_chunk)
-    group = F.xxhash64("key", "chunk")
-    edges = materialize(_region_edges(dealt.unionByName(first).withColumn("group", group)).distinct(), "forest-edges")
-    # members of a dense region outside its largest part, against all its chunks
-    wide = members.where("chunks > 1").join(components(edges), "node", "left")
-    wide = materialize(wide.withColumn("part", F.coalesce("component", "node"))
-                       .select("key", "chunks", "chunk", "node", "n_shingles", "sig", "part"), "forest-dense")
-    counted = wide.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    rest = materialize(counted.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("largest"),
-                                                  (F.sum("n") - F.max("n")).alias("outside")).where("outside > 0")
-                       .select("key", "largest", F.ceil(F.col("outside") / region_rows).alias("batches")), "forest-rest")
+    live = members.join(regions, "key")
+    sparse = _region_edges(live.where("not dense").withColumn("group", F.col("key"))).distinct()
+    if sizes.where("dense").isEmpty():
+        return materialize(sparse, "forest-edges")
+    dense = materialize(live.where("dense").drop("dense"), "forest-dense")
+    edges = materialize(sparse.union(_neighbour_edges(dense)).distinct(), "forest-edges")
+    known = edges if known is None else known.union(edges)
+    wide, rest = _parts(dense, known)
+    if rest.isEmpty():
+        return edges
+    if level == LEVELS:
+        return edges.union(_outside_edges(wide, rest, region_rows))
+    # members outside the largest part, and those of it that may meet one of them, one block deeper
     rest, _ = bounded_broadcast(rest, REGION_ROW_BYTES)
-    wide = wide.join(rest, "key")
-    every_batch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("batches") - 1))
+    after = F.explode(F.array(*[F.pmod(F.col("block") + i, F.lit(ORDERS)) for i in range(1, SPREAD + 1)]))
+    split = (wide.join(rest.select("key", "largest"), "key").withColumn("block", after)
+             .withColumn("key", F.xxhash64("key", "block", _block("sig", F.col("block")))))
+    outside = split.where("part <> largest").drop("largest")
+    met, _ = bounded_broadcast(materialize(outside.select("key").distinct(), "forest-met"), REGION_ROW_BYTES)
+    inside = split.where("part = largest").drop("largest").join(met, "key", "left_semi")
+    return edges.union(_search(outside.unionByName(inside), known, region_rows, level + 1))
+
+
+def _parts(dense: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with their part under ``known`` edges; the largest part of each region, and how many rows are outside it."""
+    wide = materialize(dense.drop("part").join(components(known), "node", "left")
+                       .withColumn("part", F.coalesce("component", "node")).drop("component"), "forest-parts")
+    counted = wide.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    rest = (counted.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("largest"), F.sum("n").alias("rows"),
+                                       (F.sum("n") - F.max("n")).alias("outside")).where("outside > 0"))
+    return wide, materialize(rest, "forest-rest")
+
+
+def _neighbour_edges(dense: DataFrame) -> DataFrame:
+    """Candidates among neighbours of the sorted orders: each row and the ``NEIGHBOURS`` rows before it in its region.
+
+    An order is the signature from the region's block on, then from its start. Rows are
+    sorted by range, so a region may lie in many tasks; the rows at the edges of
+    tasks are compared with those of the next task.
+    """
+    at = F.col("block") * (4 * DEPTH) + 1
+    turned = F.concat(F.substr("sig", at), F.substr("sig", F.lit(1), at - 1))
+    placed = materialize(dense.withColumn("turned", turned).repartitionByRange("key", "turned", "node")
+                         .sortWithinPartitions("key", "turned", "node").drop("turned")
+                         .withColumn("place", F.monotonically_increasing_id()), "forest-sorted")
+
+    def run(batches):
+        keys, nodes, sizes, x = [], np.empty(0, np.int64), np.empty(0, np.int64), None
+        for b in batches:
+            rows = [_sketch(s) for s in b.column("sig").to_pylist()]
+            if not rows:
+                continue
+            head = len(nodes)
+            keys = np.concatenate([np.array(keys, np.int64), b.column("key").to_numpy()])
+            nodes = np.concatenate([nodes, b.column("node").to_numpy()])
+            sizes = np.concatenate([sizes, b.column("n_shingles").to_numpy()])
+            x = np.stack(rows) if x is None else np.concatenate([x, np.stack(rows)])
+            left, right = [], []
+            for w in range(1, NEIGHBOURS + 1):
+                i = np.arange(max(head, w), len(nodes))
+                j = i - w
+                near = i[(keys[i] == keys[j]) & ((x[i] == x[j]).sum(axis=1) >= LEAST_AGREEING)
+                         & (100 * np.minimum(sizes[i], sizes[j]) >= SIMILARITY_PERCENT * np.maximum(sizes[i], sizes[j]))]
+                left.append(nodes[near - w])
+                right.append(nodes[near])
+            yield {"a": np.concatenate(left), "b": np.concatenate(right)}
+            keys, nodes, sizes, x = keys[-NEIGHBOURS:], nodes[-NEIGHBOURS:], sizes[-NEIGHBOURS:], x[-NEIGHBOURS:]
+
+    inner = map_arrow(placed.select("key", "node", "n_shingles", "sig"), run, "a bigint, b bigint")
+    task, within = F.shiftright("place", 33), F.col("place") - F.shiftleft(F.shiftright("place", 33), 33)
+    counts = placed.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).orderBy("task").collect()  # one row a task
+    if len(counts) < 2:
+        return inner
+    numbered = F.broadcast(dense.sparkSession.createDataFrame(
+        [(r.task, r.n, i) for i, r in enumerate(counts)], "task bigint, n bigint, number bigint"))
+    rows = placed.withColumn("task", task).withColumn("within", within).join(numbered, "task")
+    head = rows.where(F.col("within") < NEIGHBOURS).withColumn("group", F.col("number") - 1)
+    tail = rows.where(F.col("within") >= F.col("n") - NEIGHBOURS).withColumn("group", F.col("number"))
+    return inner.union(_region_edges(head.unionByName(tail)))
+
+
+def _outside_edges(wide: DataFrame, rest: DataFrame, region_rows: int) -> DataFrame:
+    """Members outside the largest part of their region against all of the region, in chunks of bounded size."""
+    chunks = rest.select("key", "largest", F.ceil(F.col("rows") / region_rows).alias("chunks"),
+                         F.ceil(F.col("outside") / region_rows).alias("batches"))
+    chunks, _ = bounded_broadcast(materialize(chunks, "forest-chunks"), REGION_ROW_BYTES)
+    wide = wide.join(chunks, "key")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
     outside = (wide.where("part <> largest").withColumn("batch", F.pmod(F.xxhash64("node", "key", F.lit(1)), F.col("batches")))
-               .withColumn("chunk", every_chunk))
-    again = outside.unionByName(wide.withColumn("batch", every_batch)).withColumn("group", F.xxhash64("key", "chunk", "batch"))
-    return edges.union(materialize(_region_edges(again).distinct(), "forest-edges"))
+               .withColumn("chunk", every("chunks")))
+    dealt = wide.withColumn("chunk", F.pmod(F.xxhash64("node", "key"), F.col("chunks"))).withColumn("batch", every("batches"))
+    both = outside.unionByName(dealt).withColumn("group", F.xxhash64("key", "chunk", "batch"))
+    return materialize(_region_edges(both).distinct(), "forest-edges")
 
 
 def _region_edges(members: DataFrame) -> DataFrame:
@@ -329,7 +418,7 @@ def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                         .orderBy("doc_id", "h").withColumn("n", F.monotonically_increasing_id()), "dup-texts")
     if pairs.groupBy("doc_id").count().where("count > 1").isEmpty():
         gone = near_duplicates(docs, width).where(~F.col("kept")).select("doc_id").distinct()
-        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+        return docs.alias("l").join(gone.alias("r"), F.col("l.doc_id") == F.col("r.doc_id"), "left_anti")
     # numbers in the order of doc_id stand for the texts
     texts = (docs.select("doc_id", "text", text_hash.alias("h")).join(pairs, ["doc_id", "h"])
              .select(F.col("n").alias("doc_id"), "text"))
