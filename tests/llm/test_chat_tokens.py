@@ -66,6 +66,18 @@ def test_lengths_agree_with_another_library(make_docs, prose):
     assert sorted(r.n_tokens for r in got) == sorted(want)
 
 
+def test_long_white_space(make_docs):
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+    other = Tokenizer.from_file(str(public.path("byte_bpe_50k.json")))
+    mixed = "ab" + " \n\t\u00a0\u2003\r\x0b" * 9000 + "\u3000"
+    texts = [" " * 1_000_000, " " * 300_000 + "x", mixed * 3 + "end's", "\n" * 400_000, "x " + " " * 60_000 + "\x1c\x1f y", "z" * 1_000_000]
+    got = TC.encoded_lengths(make_docs(list(enumerate(texts)))).collect()
+    want = [len(other.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert sorted(r.n_tokens for r in got) == sorted(want)
+    assert TC.encoded_lengths(make_docs([(1, "word " + " " * 10_000_000)])).first().n_tokens >= 5_000_000
+
+
 @pytest.mark.parametrize("bucket", [3, 1024])
 def test_report_for_every_limit(spark, bucket):
     lengths = [0, 0, 5, 5, 5, 7, 9, 30, 31, 31, 100]

@@ -4,6 +4,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from check_oracle import TABLES, digest
@@ -79,6 +80,20 @@ def test_every_filtering_stage_keeps_the_columns(spark, tables):
         assert stage(spark, docs, folder).schema == docs.schema
 
 
+def test_stages_with_columns_of_any_name(spark, tables):
+    """Dotted, back-quoted and helper names pass through every filtering stage."""
+    folder, _, _ = tables
+    names = ["meta.src", "odd`name", "__pred", "__tox_features", "__tox_score", "__prob", "__row", "row", "score", "component",
+             "h", "l", "r", "n", "gram", "text.x", "words"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns({n: F.lit(i) for i, n in enumerate(names)})
+    for _, stage in P.STAGES[:-1]:
+        left = stage(spark, docs, folder)
+        assert left.schema == docs.schema
+        first = left.first()
+        assert [first[n] for n in names] == list(range(len(names)))
+    assert P.STAGES[-1][1](spark, docs, folder).count() > 0
+
+
 def test_pipeline_of_empty_tables(spark, make_docs):
     folder = scratch_path(spark, "test-pipeline")
     make_docs([]).write.parquet(f"{folder}/documents.parquet")

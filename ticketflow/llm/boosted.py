@@ -51,18 +51,28 @@ def fit_boosted(rows: DataFrame, features: str, label: str, calibration: DataFra
 
 
 def score_boosted(df: DataFrame, features: str, model: BoostedModel, out: str) -> DataFrame:
-    """Add the probability of label 1 as ``out`` and drop the features."""
+    """Add the probability of label 1 as ``out`` and drop the features.
+
+    The other columns are packed into one while Spark ML works, so that any names are allowed.
+    """
+    kept = [c for c in df.columns if c != features]
     if model.trees is None:
-        return df.withColumn(out, F.lit(model.constant)).drop(features)
-    p = (model.trees.transform(df.withColumn("__vec", array_to_vector(F.col(features))))
-         .withColumn("__p1", vector_to_array(F.col("__prob"))[1])
-         .drop("__vec", "__raw", "__prob", "__pred", features))
-    if model.isotonic is None:
-        return p.withColumnRenamed("__p1", out)
-    model.isotonic.setFeaturesCol("__p1")
-    blended = (1 - TIE_SHARE) * F.col("__cal") + TIE_SHARE * F.col("__p1")
-    return (model.isotonic.transform(p).withColumn(out, F.least(F.greatest(blended, F.lit(0.0)), F.lit(1.0)))
-            .drop("__cal", "__p1"))
+        return df.drop(F.col(f"`{features}`")).withColumn(out, F.lit(model.constant))
+    packed = df.select(F.struct(*[F.col(quoted(c)) for c in kept]).alias("__row"),
+                       array_to_vector(F.col(features)).alias("__vec"))
+    p = model.trees.transform(packed).select("__row", vector_to_array(F.col("__prob"))[1].alias("__p1"))
+    score = F.col("__p1")
+    if model.isotonic is not None:
+        model.isotonic.setFeaturesCol("__p1")
+        p = model.isotonic.transform(p)
+        blended = (1 - TIE_SHARE) * F.col("__cal") + TIE_SHARE * F.col("__p1")
+        score = F.least(F.greatest(blended, F.lit(0.0)), F.lit(1.0))
+    return p.select(*[F.col("__row").getField(c).alias(c) for c in kept], score.alias(out))
+
+
+def quoted(name: str) -> str:
+    """A column name as one identifier, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def bounded_sample(rows: DataFrame, key: str, max_rows: int, seed: int = 11) -> DataFrame:

@@ -10,6 +10,7 @@ follow from sums over its tail.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, Window
@@ -20,6 +21,8 @@ from ticketflow.llm.common import map_arrow
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Lengths per bucket of the two-level suffix sums.
 BUCKET = 1024
+# White space that the encoder's own splitter need not cope with.
+_LONG_SPACE = re.compile(r"\s{50000}")
 
 
 def default_vocabulary() -> tuple[str, str]:
@@ -38,15 +41,33 @@ def _encoder(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=2)
+def _splitter(pattern: str):
+    import regex
+
+    return regex.compile(pattern)
+
+
+def _length(text: str, path: str, pattern: str) -> int:
+    encoder = _encoder(path, pattern)
+    if _LONG_SPACE.search(text) is None:
+        return len(encoder.encode_ordinary(text))
+    return sum(len(encoder._core_bpe.encode_single_piece(m[0].encode())) for m in _splitter(pattern).finditer(text))
+
+
 def encoded_lengths(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``n_tokens`` of each row's whole text; 0 for a null or empty one."""
+    """``n_tokens`` of each row's whole text; 0 for a null or empty one.
+
+    The encoder's own splitter keeps a stack entry for each character of white space that
+    stands together and fails on hundreds of thousands; texts with such a run are split by
+    the same pattern with a splitter that has no such limit, and encoded piece by piece.
+    """
     if vocabulary is None:
         vocabulary, pattern = default_vocabulary()
 
     def count(batches):
-        encode = _encoder(vocabulary, pattern).encode_ordinary
         for b in batches:
-            yield {"n_tokens": [len(encode(t)) if t else 0 for t in b.column(0).to_pylist()]}
+            yield {"n_tokens": [_length(t, vocabulary, pattern) if t else 0 for t in b.column(0).to_pylist()]}
 
     return map_arrow(docs.select("text"), count, "n_tokens bigint")
 

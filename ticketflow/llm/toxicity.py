@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from ticketflow.llm.boosted import BoostedModel, bounded_sample, fit_boosted, score_boosted
+from ticketflow.llm.boosted import BoostedModel, bounded_sample, fit_boosted, quoted, score_boosted
 from ticketflow.llm.common import ASCII_LOWER, ASCII_UPPER, map_arrow, materialize, ship_package
 
 FIT_ROWS = 100_000
@@ -180,6 +180,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The documents scored under 0.5, with all their columns."""
+    """The documents scored under 0.5, with all their columns, whatever their names."""
     model = fit_toxicity(docs, labels, fit_rows)
-    return model.score(docs, "__tox_score").where(F.col("__tox_score") < 0.5).select(*docs.columns)
+    row = F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row")
+    scored = model.score(docs.select(row, "text"), "score").where(F.col("score") < 0.5)
+    return scored.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
