@@ -86,9 +86,10 @@ def test_run_pipeline_over_raw_csv(spark):
     ref = flow.testdata_stages(spark, SF0001)
     assert reasons["duplicate_unique_key"] == Q.reason_counts(ref.flagged).where(
         "reason = 'duplicate_unique_key'").first()["rows"]
-    valid = spark.read.option("header", True).csv(f"{out}/processed/valid_requests").count()
+    # both sides come from one partitioned write
+    valid = spark.read.option("header", True).csv(f"{out}/processed/requests/part=valid").count()
     rejected = spark.read.option("header", True).option("multiLine", True).csv(
-        f"{out}/processed/rejected_requests").count()
+        f"{out}/processed/requests/part=rejected").count()
     assert valid + rejected == n
     rep = spark.read.json(f"{out}/processed/ingestion_report").first()
     assert rep["total_rows"] == n and rep["valid_rows"] == valid

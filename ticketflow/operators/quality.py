@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ticketflow.functions.text import is_blank, is_valid_zip, fits_length
 from ticketflow.functions.timecols import int_div, parse_ts
 from ticketflow.operators.dedup import flag_repeats
+from ticketflow.operators.distinct import count_distinct_exact
 from ticketflow.operators.joins import membership_flag
 from ticketflow.operators.onerow import side_by_side
 from ticketflow.settings import (
@@ -100,9 +101,13 @@ def rejected_rows(flagged: DataFrame) -> DataFrame:
 def reason_counts(flagged: DataFrame) -> DataFrame:
     """(reason, rows) for every reason that occurs, via one partial aggregate
     of the flag columns (no explode of the text)."""
-    agg = flagged.agg(*[F.count_if(F.col(r)).alias(r) for r in REJECTION_REASONS])
-    stacked = agg.select(F.explode(F.array(*[
-        F.struct(F.lit(r).alias("reason"), F.col(r).alias("rows")) for r in REJECTION_REASONS
+    return reasons_of_totals(_totals(flagged))
+
+
+def reasons_of_totals(t: DataFrame) -> DataFrame:
+    """(reason, rows) of counted or observed ``total_metrics``."""
+    stacked = t.select(F.explode(F.array(*[
+        F.struct(F.lit(r).alias("reason"), F.col(f"n_{r}").alias("rows")) for r in REJECTION_REASONS
     ])).alias("x")).select("x.reason", "x.rows")
     return stacked.where(F.col("rows") > 0)
 
@@ -113,14 +118,16 @@ def reason_counts_from_text(rejected: DataFrame) -> DataFrame:
             .groupBy("reason").agg(F.count(F.lit(1)).alias("rows")))
 
 
-def _totals(flagged: DataFrame) -> DataFrame:
+def total_metrics() -> list[Column]:
+    """The counts that the report needs, as aggregates or observed metrics of a flagged table."""
     valid = F.col(REASONS_COL) == ""
-    return flagged.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(valid).alias("valid_rows"),
-        F.count_if(~valid).alias("rejected_rows"),
-        *[F.count_if(F.col(r)).alias(f"n_{r}") for r in REJECTION_REASONS],
-    )
+    return [F.count(F.lit(1)).alias("total_rows"), F.count_if(valid).alias("valid_rows"),
+            F.count_if(~valid).alias("rejected_rows"),
+            *[F.count_if(F.col(r)).alias(f"n_{r}") for r in REJECTION_REASONS]]
+
+
+def _totals(flagged: DataFrame) -> DataFrame:
+    return flagged.agg(*total_metrics())
 
 
 def pct_half_up(num: Column, den: Column, dp: int, scale: int = 100) -> Column:
@@ -133,7 +140,11 @@ def pct_half_up(num: Column, den: Column, dp: int, scale: int = 100) -> Column:
 
 def ingestion_report(flagged: DataFrame) -> DataFrame:
     """One row: total / valid / rejected rows and the pass rate (%, 4 dp)."""
-    t = _totals(flagged)
+    return report_of_totals(_totals(flagged))
+
+
+def report_of_totals(t: DataFrame) -> DataFrame:
+    """The report row of counted or observed ``total_metrics``."""
     return t.select(
         "total_rows", "valid_rows", "rejected_rows",
         pct_half_up(F.col("valid_rows"), F.col("total_rows"), 4).alias("pass_rate_pct"),
@@ -146,8 +157,12 @@ def threshold_checks(flagged: DataFrame, thresholds: Mapping[str, float] | None
     ``within`` compares the unrounded rate; a threshold missing from the map
     is reported as NULL and compared against 1.
     """
+    return checks_of_totals(_totals(flagged), thresholds)
+
+
+def checks_of_totals(t: DataFrame, thresholds: Mapping[str, float] | None = None) -> DataFrame:
+    """The threshold checks of counted or observed ``total_metrics``."""
     thresholds = dict(DEFAULT_THRESHOLDS if thresholds is None else thresholds)
-    t = _totals(flagged)
     total = F.col("total_rows")
     items = []
     for check, reason, key in THRESHOLD_CHECKS:
@@ -167,10 +182,15 @@ def threshold_checks(flagged: DataFrame, thresholds: Mapping[str, float] | None
 def report_frame(flagged: DataFrame, thresholds: Mapping[str, float] | None = None) -> DataFrame:
     """The whole ingestion report as one row: totals, pass rate, reason-count
     map and threshold-check map (written as one JSON object by a report sink)."""
-    rep = ingestion_report(flagged)
-    counts = reason_counts(flagged).agg(
+    return frame_of_totals(_totals(flagged), thresholds)
+
+
+def frame_of_totals(t: DataFrame, thresholds: Mapping[str, float] | None = None) -> DataFrame:
+    """The whole report of counted or observed ``total_metrics``."""
+    rep = report_of_totals(t)
+    counts = reasons_of_totals(t).agg(
         F.map_from_entries(F.collect_list(F.struct("reason", "rows"))).alias("rejection_reason_counts"))
-    checks = threshold_checks(flagged, thresholds).agg(
+    checks = checks_of_totals(t, thresholds).agg(
         F.map_from_entries(F.collect_list(F.struct(
             "check_name", F.struct("value", "threshold", "within_threshold")))).alias("threshold_checks"))
     return side_by_side([rep, counts, checks])
@@ -236,10 +256,19 @@ CURATED_PROFILE: tuple[tuple[str, str, str], ...] = (
     ("max_year", "max", "created_year"), ("min_resolution_hours", "min", "resolution_hours"),
     ("null_categories", "nulls", "complaint_category"), ("null_boroughs", "nulls", "borough"))
 
-_METRICS = {"rows": lambda _: F.count(F.lit(1)), "distinct": F.count_distinct, "min": F.min, "max": F.max,
+_METRICS = {"rows": lambda _: F.count(F.lit(1)), "min": F.min, "max": F.max,
             "nulls": lambda c: F.count_if(F.col(c).isNull())}
 
 
 def quality_profile(df: DataFrame, profile: Sequence[tuple[str, str, str]] = CURATED_PROFILE) -> DataFrame:
-    """The listed data-quality metrics of a table in one aggregate."""
-    return df.agg(*[_METRICS[metric](column).alias(name) for name, metric, column in profile])
+    """The listed data-quality metrics of a table in one row.
+
+    Distinct counts are exact and use bitmaps where values are numbers, so that
+    single keys are not shuffled; all other metrics are one aggregate.
+    """
+    plain = [_METRICS[metric](column).alias(name) for name, metric, column in profile if metric != "distinct"]
+    distinct = {name: column for name, metric, column in profile if metric == "distinct"}
+    parts = [df.agg(*plain)] if plain else []
+    if distinct:
+        parts.append(count_distinct_exact(df, distinct))
+    return side_by_side(parts).select(*[name for name, _, _ in profile])

@@ -128,12 +128,13 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_dir: str,
     hold line breaks, each of which is then read by one task.
 
     Writes, like the step-by-step batch jobs: the stage tables (Parquet), the
-    three dimensions and the valid / rejected requests as CSV, the ingestion
-    and dimension reports as JSON, the curated table partitioned by
-    (year, month); with ``database`` also the catalog tables and marts.
+    three dimensions and the valid / rejected requests as CSV (one write, whose
+    observed counts are the ingestion report), the reports as JSON, lines that are
+    no records as ``quarantine`` (counted in ``counts``), the curated table
+    partitioned by (year, month); with ``database`` also the catalog tables and marts.
     """
     from ticketflow.sources import files as FS
-    from ticketflow.sources.raw import read_raw_csv
+    from ticketflow.sources import raw as R
 
     base = out_dir.rstrip("/")
     counts: dict = {}
@@ -142,15 +143,16 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_dir: str,
     def keep(df: DataFrame, name: str, part: tuple = ()) -> DataFrame:
         return write_table(df, name, part, counts, path=f"{base}/tables/{name}", paths=paths)
 
-    raw = read_raw_csv(spark, raw_path, na_tokens=settings.na_tokens, multiline=multiline)
+    raw, bad = R.read_raw_csv_checked(spark, raw_path, na_tokens=settings.na_tokens, multiline=multiline)
     st = compose(raw, refs, settings, keep=keep)
     st.counts, st.paths = counts, paths
     for name, dim in (("dim_agency", st.dim_agency), ("dim_complaint_type", st.dim_complaint_type),
                       ("dim_borough", st.dim_borough)):
         FS.write_csv(dim, f"{base}/reference/{name}", single_file=True)
-    FS.write_split(st.flagged, f"{base}/processed/valid_requests", f"{base}/processed/rejected_requests")
-    FS.write_json_report(Q.report_frame(st.flagged, settings.thresholds),
-                         f"{base}/processed/ingestion_report")
+    totals = FS.write_split(st.flagged, f"{base}/processed/requests")
+    FS.write_json_report(Q.frame_of_totals(totals, settings.thresholds), f"{base}/processed/ingestion_report")
+    bad_lines = bad.select(F.lit("malformed").alias("problem"), R.BAD_LINE, R.BAD_FILE)
+    write_table(bad_lines, "quarantine", counts=counts, path=f"{base}/processed/quarantine", paths=paths)
     FS.write_json_report(dimension_report(st), f"{base}/reference/reference_build_report")
     if database:
         # managed tables live under the output folder, not a local warehouse

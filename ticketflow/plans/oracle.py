@@ -344,6 +344,17 @@ BODIES: dict[str, str] = {
         for c in [*RAW_TEXT, "extra_field"] for w in [
             {"descriptor": "coalesce(created_date < '1998', false)", "city": "NOT coalesce(created_date < '1998', false)",
              "extra_field": "NOT coalesce(created_date < '1998', false)"}.get(c, "true")]),
+    "quarantined_lines": f"""SELECT part, count(*) AS rows, CAST(sum(length(line)) AS BIGINT) AS characters FROM (
+          SELECT CASE n WHEN 1 THEN 'too_few' WHEN 2 THEN 'too_many' ELSE 'read' END AS part,
+            CASE n WHEN 1 THEN concat_ws(',', {', '.join(RAW_TEXT[:3])}) WHEN 2 THEN line || ',x,y' ELSE line END AS line
+          FROM (SELECT *, coalesce(CAST(unique_key AS BIGINT) % 50, 0) AS n,
+            concat_ws(',', {', '.join(f"coalesce({c}, '')" for c in RAW_TEXT)}) AS line FROM raw)
+          UNION ALL
+          SELECT 'lines', CASE n WHEN 1 THEN concat_ws(',', {', '.join(RAW_TEXT[:3])}) WHEN 2 THEN line || ',x,y' ELSE line END
+          FROM (SELECT *, coalesce(CAST(unique_key AS BIGINT) % 50, 0) AS n,
+            concat_ws(',', {', '.join(f"coalesce({c}, '')" for c in RAW_TEXT)}) AS line FROM raw)) GROUP BY 1""",
+    "bucketed_key_join": """SELECT complaint_category, count(*) AS raw_rows FROM raw JOIN curated USING (unique_key)
+        GROUP BY 1""",
     "partitioned_roundtrip": f"SELECT {CURATED_COLS} FROM curated",
     "external_table_scan": """SELECT created_year, created_month, count(*) AS total_rows,
         count(*) OVER () AS registered_partitions FROM curated GROUP BY 1, 2""",
@@ -498,6 +509,8 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 7, 'daily', (SELECT count(*) FROM daily)""",
 }
 
+BODIES["bucketed_dedup"] = BODIES["dedup_raw_requests"]
+BODIES["split_report"] = BODIES["report_roundtrip"]
 BODIES["keyset_page_indexed"] = BODIES["keyset_page"]
 BODIES["seen_keys_landings"] = BODIES["flag_duplicate_keys"]
 BODIES["monthly_summary_appended"] = BODIES["monthly_summary"]

@@ -8,6 +8,7 @@ stage outputs to the next step.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -21,6 +22,7 @@ from ticketflow.functions.timecols import parse_ts
 from ticketflow.operators import dims as D
 from ticketflow.operators import quality as Q
 from ticketflow.operators import transform as T
+from ticketflow.operators.distinct import count_distinct_exact
 from ticketflow.operators.joins import broadcast_if_small
 from ticketflow.operators.onerow import side_by_side
 from ticketflow.plans import flow
@@ -28,6 +30,7 @@ from ticketflow.plans import marts as M
 from ticketflow.plans import mergeable as MM
 from ticketflow.session import scratch_path
 from ticketflow.settings import CATEGORY_RULES, REQUIRED_COLUMNS
+from ticketflow.sources import bucketed as BK
 from ticketflow.sources import files as FS
 from ticketflow.sources import key_discovery as KD
 from ticketflow.sources import page_index as PI
@@ -47,6 +50,7 @@ FIRST_LANDING_ROWS = 2_000  # rows of the first, interrupted pull of a landing
 MAX_RECORDS = 5_000  # record cap of the capped landing
 VOLUME_YEAR = 1997
 FILTER_BOROUGH = "AMERICA"
+BUCKETS = 8
 TOP_N = 10
 HEAD_N = 10
 
@@ -98,6 +102,26 @@ def q_csv_roundtrip(spark, sf):
     return R.read_raw_csv(spark, path)
 
 
+def q_quarantined_lines(spark, sf):
+    """Raw lines without a header, some cut short and some with fields too many: what was read and what was not."""
+    raw = _st(spark, sf).raw.select(*RAW_TEXT)
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in RAW_TEXT])
+    n = F.coalesce(F.col("unique_key").cast("bigint") % 50, F.lit(0))
+    planted = F.when(n == 1, F.concat_ws(",", *RAW_TEXT[:3])).when(n == 2, F.concat(line, F.lit(",x,y"))).otherwise(line)
+    path, kept = scratch_path(spark, "raw_lines"), scratch_path(spark, "quarantine")
+    raw.select(planted.alias("value")).write.text(path)
+    rows, bad = R.read_raw_csv_checked(spark, path, columns=RAW_TEXT)
+    bad.write.parquet(kept)
+    bad = spark.read.parquet(kept)
+    lines = spark.read.text(path).agg(F.lit("lines").alias("part"), F.count(F.lit(1)).alias("rows"),
+                                      F.sum(F.length("value")).alias("characters"))
+    fields = F.when(F.size(F.split(R.BAD_LINE, ",")) < len(RAW_TEXT), "too_few").otherwise("too_many")
+    read = rows.agg(F.lit("read").alias("part"), F.count(F.lit(1)).alias("rows"),
+                    F.sum(F.length(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in RAW_TEXT]))).alias("characters"))
+    return lines.unionByName(read).unionByName(bad.groupBy(fields.alias("part")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.length(R.BAD_LINE)).alias("characters")))
+
+
 def q_csv_two_headers(spark, sf):
     """Two inputs with differing headers, aligned by name."""
     raw = _st(spark, sf).raw.select(*RAW_TEXT)
@@ -395,6 +419,22 @@ def q_dedup_raw_requests(spark, sf):
     return T.dedup_requests(_st(spark, sf).raw, TD.TESTDATA_SETTINGS).select(*RAW_TEXT)
 
 
+def q_bucketed_dedup(spark, sf):
+    """The same from a table bucketed by key."""
+    raw = BK.save_bucketed(_st(spark, sf).raw, f"raw_{uuid.uuid4().hex[:8]}", "unique_key", BUCKETS)
+    return BK.dedup_bucketed(raw, "unique_key", TD.TESTDATA_SETTINGS.order_columns).select(*RAW_TEXT)
+
+
+def q_bucketed_key_join(spark, sf):
+    """Raw rows of every curated request, by category: two bucketed tables joined by key."""
+    st = _st(spark, sf)
+    raw = BK.save_bucketed(st.raw.select("unique_key"), f"keys_{uuid.uuid4().hex[:8]}", "unique_key", BUCKETS)
+    curated = BK.save_bucketed(st.curated.select("unique_key", "complaint_category"), f"curated_{uuid.uuid4().hex[:8]}",
+                               "unique_key", BUCKETS)
+    return (BK.join_bucketed(raw, curated, "unique_key").groupBy("complaint_category")
+            .agg(F.count(F.lit(1)).alias("raw_rows")))
+
+
 def q_standardize_fields(spark, sf):
     return T.standardize_fields(_st(spark, sf).valid.select(*RAW_TEXT))
 
@@ -416,10 +456,11 @@ def q_enrich_requests(spark, sf):
 
 def q_stage_counts(spark, sf):
     st = _st(spark, sf)
-    raw = st.raw.agg(F.count(F.lit(1)).alias("raw_rows"),
-                     (F.count("unique_key") - F.count_distinct("unique_key")).alias("raw_repeats"))
-    valid = st.valid.agg(F.count(F.lit(1)).alias("valid_rows"),
-                         F.count_distinct("unique_key").alias("distinct_valid_keys"))
+    raw = side_by_side([st.raw.agg(F.count(F.lit(1)).alias("raw_rows"), F.count("unique_key").alias("raw_keys")),
+                        count_distinct_exact(st.raw, {"raw_distinct": "unique_key"})])
+    raw = raw.select("raw_rows", (F.col("raw_keys") - F.col("raw_distinct")).alias("raw_repeats"))
+    valid = side_by_side([st.valid.agg(F.count(F.lit(1)).alias("valid_rows")),
+                          count_distinct_exact(st.valid, {"distinct_valid_keys": "unique_key"})])
     cur = st.curated.agg(F.count(F.lit(1)).alias("curated_rows"))
     one = side_by_side([raw, valid, cur])
     return one.withColumn("duplicates_removed", F.col("valid_rows") - F.col("distinct_valid_keys"))
@@ -537,7 +578,7 @@ def q_serving_load(spark, sf):
 def q_mirror_reconcile(spark, sf):
     st = _st(spark, sf)
     copy = FS.mirror(spark, st.curated, scratch_path(spark, "mirror"), T.PARTITION_COLUMNS)
-    return FS.reconcile_copy(st.curated, copy)
+    return FS.reconcile_copy(st.curated, copy, key=["unique_key"], partition_by=T.PARTITION_COLUMNS)
 
 
 def q_mirror_reconcile_damaged(spark, sf):
@@ -549,7 +590,7 @@ def q_mirror_reconcile_damaged(spark, sf):
         "unique_key", F.col("descriptor").alias("agency"), F.col("agency").alias("descriptor"), "closed_date",
         "resolution_hours")
     copy = src.where((n != 1) & (n != 3)).unionByName(src.where(n == 2)).unionByName(moved)
-    return FS.reconcile_copy(src, FS.mirror(spark, copy, scratch_path(spark, "damaged")))
+    return FS.reconcile_copy(src, FS.mirror(spark, copy, scratch_path(spark, "damaged")), key=["unique_key"])
 
 
 def q_mart_csv_export(spark, sf):
@@ -561,19 +602,27 @@ def q_mart_csv_export(spark, sf):
 
 
 def q_split_sink(spark, sf):
+    """Both sides of the one write, read back."""
     st = _st(spark, sf)
-    vp, rp = scratch_path(spark, "valid_csv"), scratch_path(spark, "rejected_csv")
-    FS.write_split(st.flagged, vp, rp)
-    schema_v = st.flagged.select(*st.raw.columns).schema
-    schema_r = st.flagged.select(*st.raw.columns, Q.REASONS_COL).schema
-    v = FS.read_csv(spark, vp, schema_v).select(F.lit("valid").alias("part"), "unique_key",
-                                                F.lit(None).cast("string").alias(Q.REASONS_COL))
-    r = FS.read_csv(spark, rp, schema_r).select(F.lit("rejected").alias("part"), "unique_key",
-                                                Q.REASONS_COL)
-    u = v.unionByName(r)
-    return u.groupBy("part").agg(F.count(F.lit(1)).alias("rows"),
-                                 F.count_distinct("unique_key").alias("distinct_keys"),
-                                 F.count(Q.REASONS_COL).alias("rows_with_reasons"))
+    path = scratch_path(spark, "split_csv")
+    FS.write_split(st.flagged, path)
+    out = None
+    for part, schema in (("valid", st.raw.schema), ("rejected", st.rejected.schema)):
+        rows = FS.read_split(spark, path, part, schema)
+        reasons = F.count(Q.REASONS_COL) if part == "rejected" else F.lit(0).cast("long")
+        one = rows.agg(F.lit(part).alias("part"), F.count(F.lit(1)).alias("rows"),
+                       F.count_distinct("unique_key").alias("distinct_keys"), reasons.alias("rows_with_reasons"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_split_report(spark, sf):
+    """The ingestion report from the counts observed while both sides were written."""
+    totals = FS.write_split(_st(spark, sf).flagged, scratch_path(spark, "split_report"))
+    rep = Q.report_of_totals(totals)
+    return side_by_side([rep, Q.reasons_of_totals(totals).agg(
+        F.map_from_entries(F.collect_list(F.struct("reason", "rows"))).alias("counts"))]).select(
+        *rep.columns, F.explode("counts").alias("reason", "rows"))
 
 
 def q_report_roundtrip(spark, sf):

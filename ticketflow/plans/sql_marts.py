@@ -22,6 +22,7 @@ from ticketflow.sources import files as FS
 
 REQUESTS, MONTHLY, DAILY = ("service_requests", "borough_category_monthly_summary",
                             "borough_category_daily_summary")
+YTD = "category_totals_ytd"
 
 
 class SqlCatalog:
@@ -53,14 +54,29 @@ class SqlCatalog:
     def daily(self) -> DataFrame:
         return self.spark.table(self.name(DAILY))
 
+    def create_view(self) -> str:
+        """Create or replace the stored year-to-date view; any session of the catalog can read it.
+
+        Averages of the monthly averages are exact integer HALF_UP, as in ``marts``.
+        """
+        cents, n = "cast(round(avg_resolution_hours * 100) as decimal(38,0))", "cast(count(avg_resolution_hours) as decimal(38,0))"
+        name = self.name(YTD)
+        self.spark.sql(f"""
+            CREATE OR REPLACE VIEW {name} AS
+            SELECT complaint_category, sum(total_requests) AS total_requests,
+              CASE WHEN count(avg_resolution_hours) > 0
+                THEN ((cast(sum({cents}) as decimal(38,0)) * 2 + {n}) div ({n} * 2)) / 100D END AS avg_resolution_hours
+            FROM {self.name(MONTHLY)} GROUP BY complaint_category
+            ORDER BY total_requests DESC, complaint_category ASC NULLS LAST""")
+        return name
+
     def ytd_view(self) -> DataFrame:
-        view = f"category_totals_ytd_{self.db}"
-        M.category_totals_ytd(self.monthly()).createOrReplaceTempView(view)
-        return self.spark.table(view)
+        """The stored view, read through a session of its own."""
+        return self.spark.newSession().table(self.create_view())
 
     def tables(self) -> DataFrame:
-        """The table listing of the database (temporary views left out)."""
-        return (self.spark.sql(f"SHOW TABLES IN {self.db}").where("not isTemporary")
+        """The table listing of the database (views left out)."""
+        return (self.spark.sql(f"SHOW TABLES IN {self.db}").where("not isTemporary").where(F.col("tableName") != YTD)
                 .select(F.col("tableName").alias("table_name")))
 
     def table_rows(self) -> DataFrame:

@@ -4,15 +4,17 @@ catalog tables over existing Parquet, and the serving-table load.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketflow.functions.numeric import nan_to_null
+from ticketflow.operators.hash_tree import BUCKETS, compare_trees, hash_tree
 from ticketflow.operators.onerow import side_by_side
-from ticketflow.session import scratch_path
+from ticketflow.session import path_exists, scratch_path
 
 # CSV options that keep text exactly (outer spaces, embedded quotes/newlines).
 CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
@@ -98,37 +100,39 @@ def mirror(spark: SparkSession, src: DataFrame, dst_path: str,
     return spark.read.format(fmt).load(dst_path)
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-insensitive multiset fingerprint of a frame in one aggregate pass
-    (no row shuffle): row count, NULLs of each column and the decimal sums of
-    two 64-bit row hashes. The hash functions skip NULLs, so every column is
-    hashed with its NULL flag and a value can't move between columns unseen."""
-    cols = [x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
-    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(df.columns)]
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.sum(F.xxhash64(F.lit(1), *cols).cast("decimal(38,0)")).alias("h1"),
-                  F.sum(F.xxhash64(F.lit(2), *reversed(cols)).cast("decimal(38,0)")).alias("h2"), *nulls)
+def _kept(spark: SparkSession, name: str):
+    def keep(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return keep
 
 
-def reconcile_copy(src: DataFrame, copy: DataFrame, compare_rows: bool = False) -> DataFrame:
+def reconcile_copy(src: DataFrame, copy: DataFrame, compare_rows: bool = False, key: Sequence[str] = (),
+                   partition_by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
     """Counts and row-content differences (bag semantics) of a copy, one row.
 
-    Both sides are fingerprinted first (two aggregate scans, a few scalars
-    to the driver). Only when the fingerprints differ are the rows compared
-    with ``exceptAll`` both ways, which shuffles both copies. Equal
-    fingerprints of different rows are possible but have a chance of about
-    2**-128; ``compare_rows`` compares the rows whatever the fingerprints say.
+    Both sides get a hash tree (one aggregate scan each, see ``hash_tree``); counts come
+    from the roots. Only rows of leaves that differ are compared with
+    ``exceptAll`` both ways, so a copy with few damaged rows costs little more than
+    the two scans. ``key`` keeps an altered row in the leaf of its original,
+    ``partition_by`` makes differing partitions filters of the scan.
+    Equal sums of different rows are possible but improbable; ``compare_rows``
+    compares all rows whatever the trees say.
     """
-    cols = src.columns
-    copy = copy.select(*cols)
-    same = not compare_rows and tuple(fingerprint(src).first()) == tuple(fingerprint(copy).first())
-    counts = [src.agg(F.count(F.lit(1)).alias("source_rows")), copy.agg(F.count(F.lit(1)).alias("copy_rows"))]
-    if same:
-        one = side_by_side(counts).withColumns({"missing_rows": F.lit(0).cast("long"),
-                                                "extra_rows": F.lit(0).cast("long")})
+    spark, cols = src.sparkSession, src.columns
+    copy = copy.select(*[F.col(f"`{c}`") for c in cols])
+    keep = _kept(spark, "hash-leaves")
+    trees = [hash_tree(df, key, partition_by, buckets, keep) for df in (src, copy)]
+    counts = [t.leaves.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias(n))
+              for t, n in zip(trees, ("source_rows", "copy_rows"))]
+    if compare_rows:
+        left, right = src, copy
     else:
-        one = side_by_side([*counts, src.exceptAll(copy).agg(F.count(F.lit(1)).alias("missing_rows")),
-                            copy.exceptAll(src).agg(F.count(F.lit(1)).alias("extra_rows"))])
+        found = compare_trees(*trees, keep)
+        left, right = (found.rows(src), found.rows(copy)) if found else (src.limit(0), copy.limit(0))
+    one = side_by_side([*counts, left.exceptAll(right).agg(F.count(F.lit(1)).alias("missing_rows")),
+                        right.exceptAll(left).agg(F.count(F.lit(1)).alias("extra_rows"))])
     return one.withColumn("match", (F.col("source_rows") == F.col("copy_rows"))
                           & (F.col("missing_rows") == 0) & (F.col("extra_rows") == 0))
 
@@ -151,15 +155,40 @@ def serving_load(spark: SparkSession, df: DataFrame, columns: Sequence[str], pat
             .withColumn("match", F.col("source_rows") == F.col("loaded_rows")))
 
 
-def write_split(flagged: DataFrame, valid_path: str, rejected_path: str,
-                reasons_col: str = "_rejection_reasons") -> None:
-    """Valid rows (reason column dropped) and rejected rows (reason kept) as
-    two CSV outputs with header, from one flagged frame (written once, so
-    both filters scan the same stored rows)."""
+PARTS = ("valid", "rejected")
+
+
+def write_split(flagged: DataFrame, path: str, reasons_col: str = "_rejection_reasons") -> DataFrame:
+    """Valid and rejected rows by one write, and the counts of the report observed in it.
+
+    The rows go to ``part=valid`` and ``part=rejected`` under ``path`` as CSV with
+    header, in one scan of ``flagged``; both keep the reason column, which is empty
+    for valid rows and left out when they are read (``read_split``). Returns the observed
+    totals as one row (see ``quality.total_metrics``).
+    """
+    from ticketflow.operators.quality import total_metrics
     from ticketflow.settings import REJECTION_REASONS
-    base = flagged.drop(*[c for c in REJECTION_REASONS if c in flagged.columns])
-    write_csv(base.where(F.col(reasons_col) == "").drop(reasons_col), valid_path)
-    write_csv(base.where(F.col(reasons_col) != ""), rejected_path)
+    spark = flagged.sparkSession
+    seen = Observation(f"split_{uuid.uuid4().hex[:8]}")
+    rows = (flagged.observe(seen, *total_metrics())
+            .drop(*[c for c in REJECTION_REASONS if c in flagged.columns])
+            .withColumn("part", F.when(F.col(reasons_col) == "", F.lit(PARTS[0])).otherwise(F.lit(PARTS[1]))))
+    rows.write.mode("overwrite").options(**CSV_WRITE).partitionBy("part").csv(path)
+    return spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in seen.get.items()])
+
+
+def read_split(spark: SparkSession, path: str, part: str, schema: T.StructType, multiline: bool = False,
+               reasons_col: str = "_rejection_reasons") -> DataFrame:
+    """One side of a split as rows of ``schema`` (the raw columns; rejected rows with the reason column).
+
+    Files split by size; ``multiline`` is for values with line breaks, one task a file.
+    """
+    full = schema if reasons_col in schema.names else T.StructType([*schema.fields, T.StructField(reasons_col, T.StringType())])
+    options = {**CSV_READ, "multiLine": str(multiline).lower()}
+    folder = f"{path.rstrip('/')}/part={part}"
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], schema)  # a side without rows has no folder
+    return spark.read.schema(full).options(**options).csv(folder).select(*[F.col(f"`{c}`") for c in schema.names])
 
 
 def write_json_report(report: DataFrame, path: str) -> None:

@@ -62,10 +62,19 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return next(csv.reader(io.StringIO(first[0][0])))
 
 
-def read_raw_csv(spark: SparkSession, path: str | Sequence[str],
-                 extra_columns: Sequence[str] | None = None,
-                 na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = False) -> DataFrame:
-    """Scan raw request CSV(s) with header as strings; apply the NA tokens.
+# Text of a line that is no record, and the file it came from.
+BAD_LINE, BAD_FILE = "_bad_line", "_file"
+
+
+def read_raw_csv_checked(spark: SparkSession, path: str | Sequence[str], extra_columns: Sequence[str] | None = None,
+                         na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = False,
+                         columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Scan raw request CSV(s) with header as strings: ``(records, bad lines)``.
+
+    A line with fewer or more fields than the header is no record: it is neither padded
+    nor cut, but comes with its file as ``(BAD_LINE, BAD_FILE)`` in the second frame.
+    Records and bad lines together are the lines of the files without headers and empty lines.
+    ``columns`` names the fields of files that have no header line.
 
     The header is checked against the contract before any data job runs.
     Contract columns come first; the other header columns follow as strings
@@ -77,29 +86,42 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str],
     file one task.
     """
     if not isinstance(path, str):
-        frames = [read_raw_csv(spark, p, extra_columns, na_tokens, multiline) for p in path]
+        both = [read_raw_csv_checked(spark, p, extra_columns, na_tokens, multiline, columns) for p in path]
+        frames, bad = [x for x, _ in both], [x for _, x in both]
         extras = sorted({c for f in frames for c in f.columns if c not in RAW_COLUMNS})
-        return align_union(frames, [*RAW_COLUMNS, *extras])
-    header = csv_header(spark, path)
+        return align_union(frames, [*RAW_COLUMNS, *extras]), align_union(bad, [BAD_LINE, BAD_FILE])
+    header = list(columns) if columns is not None else csv_header(spark, path)
     missing = missing_columns(header)
     if missing:
         raise ContractError(f"raw file is missing required columns: {missing}")
     extras = [c for c in header if c not in RAW_COLUMNS] if extra_columns is None else \
         [c for c in extra_columns if c in header and c not in RAW_COLUMNS]
     wanted = [c for c in RAW_COLUMNS if c in header] + extras
-    schema = string_schema(header)
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("enforceSchema", False)  # checks each file's header by name
-          .option("multiLine", multiline)
-          .option("escape", '"')
-          .option("mode", "PERMISSIVE")
-          .csv(path)
-          .select(*wanted))
+    schema = string_schema([*header, BAD_LINE])
+    lines = (spark.read.schema(schema)
+             .option("header", columns is None)
+             .option("enforceSchema", columns is not None)  # else checks each file's header by name
+             .option("multiLine", multiline)
+             .option("escape", '"')
+             .option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", BAD_LINE)
+             .option("columnPruning", False)  # a pruned scan doesn't count fields
+             .csv(path))
+    # the scan must read a column beside the text of the bad line: this condition always holds
+    read = F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))) >= 0
+    rows = lines.where(F.col(BAD_LINE).isNull() & read).select(*[F.col(f"`{c}`") for c in wanted])
+    bad = lines.where(F.col(BAD_LINE).isNotNull() & read).select(BAD_LINE, F.col("_metadata.file_path").alias(BAD_FILE))
     for c in OPTIONAL_COLUMNS:
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("string"))
-    return normalize_na(df, na_tokens)
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast("string"))
+    return normalize_na(rows, na_tokens), bad
+
+
+def read_raw_csv(spark: SparkSession, path: str | Sequence[str], extra_columns: Sequence[str] | None = None,
+                 na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = False,
+                 columns: Sequence[str] | None = None) -> DataFrame:
+    """The records of ``read_raw_csv_checked``; lines that are none are left out."""
+    return read_raw_csv_checked(spark, path, extra_columns, na_tokens, multiline, columns)[0]
 
 
 def normalize_na(df: DataFrame, tokens: Sequence[str] = NA_TOKENS,
