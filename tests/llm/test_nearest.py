@@ -63,3 +63,14 @@ def test_tree_keeps_distinct_ids_of_equal_vectors():
     ids, x = np.array([1] * 8 + [2, 3]), np.ones((10, 2))
     found = VP.search_tree(VP.build_tree(ids, x, 5), np.array([0]), np.ones((1, 2)), 5)[1]
     assert sorted(found) == [1, 2, 3]
+
+
+def test_very_large_and_small_components(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 1e200]), (2, [1.0, 0.0]), (3, [3e-200, 0.0]), (4, [0.0, 1e-320]), (50, [1e300, 1e-300])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in VP.nearest(df, df.where("vec_id % 50 = 0"), 5).collect()}
+    assert len(got) == 10
+    assert got[0, 2] == got[0, 3] == got[0, 50] == got[50, 2] == 1.0 and got[0, 4] == 0.0
+    assert got[0, 1] == pytest.approx(0.5 ** 0.5, rel=1e-15)
+    x = np.random.default_rng(3).normal(size=(50, 7))
+    assert (VP.cosines(x[:25], x[25:]) == VP.dots(x[:25], x[25:]) / (VP.norms(x[:25]) * VP.norms(x[25:]))).all()

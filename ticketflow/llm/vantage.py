@@ -48,7 +48,19 @@ def norms(x: np.ndarray) -> np.ndarray:
     return np.sqrt(dots(x, x))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows divided by the power of two of their largest component: squares of very
+    large or small ones stay in range, and all others keep every bit."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return x / norms(x)[:, None]
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a, b = scaled(a), scaled(b)
     return dots(a, b) / (norms(a) * norms(b))
 
 
@@ -64,7 +76,7 @@ def build_tree(ids: np.ndarray, x: np.ndarray, k: int, leaf: int = LEAF) -> byte
     start = np.flatnonzero(new)
     rank = np.arange(len(ids)) - np.repeat(start, np.diff(np.append(start, len(ids))))
     ids, x = ids[rank <= k], x[rank <= k]
-    unit = x / norms(x)[:, None]
+    unit = units(x)
     perm = np.arange(len(ids))
     nodes: list[list[int]] = []
     bounds: list[list[float]] = []
@@ -96,7 +108,7 @@ def search_tree(tree: bytes, q_ids: np.ndarray, q: np.ndarray, k: int, factor: f
     """``(query position, vec_id, score)`` of the k nearest of each query in one shard."""
     t = np.load(io.BytesIO(tree))
     ids, x, nodes, bounds, points = (t[n] for n in ("ids", "x", "nodes", "bounds", "points"))
-    unit, uq = x / norms(x)[:, None], q / norms(q)[:, None]
+    unit, uq = units(x), units(q)
     best = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
     kth = np.full(len(q), -np.inf)
 
