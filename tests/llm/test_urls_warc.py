@@ -1,7 +1,9 @@
 import gzip
 import hashlib
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ticketflow.llm import url_filter as UF
 from ticketflow.llm import warc as WA
@@ -42,6 +44,60 @@ def test_urls_without_a_rule_get_a_learned_verdict(spark):
     assert [r.verdict for r in got if r.rule == "net/"] == ["block"]
 
 
+def _labelled(spark, rows):
+    hosts = [(u, UF.host_and_path(u)[0], b) for u, b in rows]
+    return UF.label_urls(spark.createDataFrame(hosts, "url string, host string, blocked int"))
+
+
+def test_suffix_statistics_by_brute_force(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(f"http://h{rng.randint(0, 9)}.d{rng.randint(0, 3)}.{rng.choice(['aa', 'bb'])}/{i}", rng.randint(0, 1)) for i in range(200)]
+    rows += [("http://hot.d0.aa/" + str(i), i % 2) for i in range(100)] + [("http://aa/", 1), ("x", 0), ("http://é.d9.bb", 1)]
+    labelled = _labelled(spark, rows)
+    known = {r.url: r for r in labelled.withColumn("shown", UF.levels_seen(F.col("url"))).collect()}
+    assert len(known) == len(rows)
+    assert {r.shown for r in known.values()} == {0, 1, 2, 3}
+
+    def level(host, i):
+        return ".".join(host.split(".")[-i:]) if i < 3 else host
+
+    def expected(url, host, fitting):
+        seen = []
+        for i in (1, 2, 3):
+            others = [r for r in known.values() if level(r.host, i) == level(host, i)]
+            if fitting:
+                others = [r for r in others if r.fold != known[url].fold and known[url].shown >= i]
+            seen.append((len(others), sum(r.blocked for r in others)))
+        return UF.url_features(url, seen, 0.4)
+
+    counts = UF.suffix_counts(labelled)
+    new = spark.createDataFrame([("http://new.d0.aa/q", "new.d0.aa"), ("http://n.zz/", "n.zz"), (None, "")], "url string, host string")
+    for bound in (None, 0):
+        if bound is not None:
+            monkeypatch.setattr(UF, "bounded_broadcast", lambda df, n: (df, False))
+            monkeypatch.setattr(UF, "HOT_ROWS", 30)
+        for fitting, urls in ((True, labelled), (False, labelled.select("url", "host").unionByName(new))):
+            got = UF.with_url_features(UF.with_counts(urls, counts), 0.4, fitting).collect()
+            assert len(got) == urls.count()
+            for r in got:
+                assert r.features == pytest.approx(expected(r.url, r.host, fitting))
+
+
+def test_unseen_hosts_are_judged_by_their_form(spark):
+    """Half of the urls of an unknown top-level name look like the blocked ones."""
+    bad = lambda i, top: f"http://w{i}.shop{i % 40}.{top}/{i * 7919}?id={i}&ref={i * 31}&s=1"
+    good = lambda i, top: f"https://w{i}.site{i % 40}.{top}/articles/story-of-the-day"
+    rows = [(bad(i, "one"), 1) for i in range(300)] + [(good(i, "two"), 0) for i in range(300)]
+    labelled = _labelled(spark, rows)
+    assert UF.held_out_quality(labelled, "domain")["accuracy"] >= 0.95
+    assert UF.held_out_quality(labelled)["auc"] >= 0.95
+    pages = spark.createDataFrame([(i, bad(i, "new")) for i in range(50)] + [(100 + i, good(i, "new")) for i in range(50)],
+                                  "page_id bigint, url string")
+    got = UF.judge_urls(pages, labelled=labelled.select("url", "blocked")).collect()
+    assert len(got) == 100
+    assert sum(r.verdict == ("block" if r.page_id < 100 else "allow") for r in got) >= 95
+
+
 def test_filter_without_labels_or_rows(spark):
     empty = spark.createDataFrame([], PAGES)
     assert UF.judge_urls(empty).count() == 0
