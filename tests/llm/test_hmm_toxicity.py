@@ -51,6 +51,40 @@ def test_expected_counts_by_enumeration():
         np.testing.assert_allclose(x, y, rtol=1e-10)
 
 
+def test_long_sequences_are_walked_in_spans(monkeypatch):
+    rng = np.random.default_rng(3)
+    m = LM.Hmm(*(x / x.sum(axis=-1, keepdims=True) for x in (rng.random(3), rng.random((3, 3)), rng.random((3, 6)))))
+    seqs = [rng.integers(0, 6, n).astype(np.uint16) for n in (1, 200, 3, 57, 1, 64, 9)]
+    whole, likely = LM.expected_counts(m, seqs), LM.sequence_log10(m, seqs)
+    for tokens in (1, 5, 40):
+        monkeypatch.setattr(LM, "CHUNK_TOKENS", tokens)
+        assert len(LM._spans(sorted(seqs, key=len, reverse=True))) > 1
+        np.testing.assert_allclose(LM.sequence_log10(m, seqs), likely, rtol=1e-10)
+        for x, y in zip(LM.expected_counts(m, seqs), whole):
+            np.testing.assert_allclose(x, y, rtol=1e-9)
+
+
+def test_words_of_long_texts(monkeypatch):
+    text = " Äb\x0bC ".encode() + b"X" * 50 + b"\t\t  y\r\n" * 9 + b"\x1cend"
+    monkeypatch.setattr(LM, "PART_BYTES", 3)
+    assert list(LM.tokens(text)) == text.lower().split() and list(LM.tokens(None)) == []
+
+
+def test_frequent_words_fill_the_room(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [(f"w{i}".encode(), rng.choice([1, 1, 1, 2, 3, 100, 101, 104])) for i in range(3000)] + [(b"top", 10 ** 6)]
+    counts = materialize(spark.createDataFrame(words, "word binary, c bigint"), "t-frequent")
+    by_count = sorted((c for _, c in words), reverse=True)
+    for bits in (12, 2):
+        monkeypatch.setattr(LM, "HASH_BITS", bits)
+        for most in (0, 1, 700, 1500, 2500, 3001, 5000):
+            got = LM.frequent_words(counts, most)
+            assert set(got) <= set(words) and len(set(got)) == len(got) and got == sorted(got, key=lambda x: (-x[1], x[0]))
+            # words of one hash group at the last level may stay out
+            assert min(most, len(words)) - (2 if bits == 12 else 80) <= len(got) <= most
+            assert [c for _, c in got] == by_count[:len(got)]
+
+
 @pytest.fixture(scope="module")
 def corpus(prose):
     a, b = prose(1, 60).split(), [w + "é" for w in prose(2, 60).split()]
@@ -66,6 +100,25 @@ def test_scores_by_brute_force(make_docs, corpus):
     counts = Counter(w for t in train for w in toks(t))
     n, v = sum(counts.values()) + len(train), len(counts) + 1
     got = LM.score_documents(make_docs(corpus), states=3, iterations=2, symbol_words=20, head_words=50).collect()
+    top = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:20]
+    ids = {w: i + 1 for i, w in enumerate(top)}
+    classes = [1.0] * LM.SHAPES
+    for w, c in counts.items():
+        if w not in ids:
+            classes[LM.shape(w.encode())] += c + 1
+    symbol = lambda w: ids.get(w, 21 + LM.shape(w.encode()))
+    encoded = lambda t: np.array([symbol(w) for w in toks(t)] + [LM.END], np.uint16)
+    share = np.array([len(train), *(counts[w] for w in top), *classes]) + 1
+    share /= share.sum()
+    model = LM.first_model(share, 3)
+    for _ in range(2):
+        start, move, emit, _ = LM.expected_counts(model, [encoded(t) for t in train])
+        start, move, emit = start + LM.MOVE_PRIOR, move + LM.MOVE_PRIOR, emit + LM.SYMBOL_PRIOR * share
+        model = LM.Hmm(start / start.sum(), *(x / x.sum(axis=1, keepdims=True) for x in (move, emit)))
+    forward = LM.sequence_log10(model, [encoded(t) for _, t in corpus])
+    in_class = [sum(math.log10((counts[w] + 1) / classes[LM.shape(w.encode())]) for w in toks(t) if w not in ids) for _, t in corpus]
+    scores = [a + b for a, b in zip(forward, in_class)]
+    np.testing.assert_allclose(sorted(r.score for r in got), sorted(scores), rtol=1e-9)
     want = []
     for d, t in corpus:
         cs = [counts[w] for w in toks(t)] + [len(train)]

@@ -14,8 +14,12 @@ other words of a document, none of them frequent, are joined with their counts.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +36,28 @@ END = 0
 FOLDS, HELD_OUT_FOLD = 7, 2
 # Distinct words that a task counts before it passes them on.
 COUNTER_WORDS = 1_000_000
-# Tokens that a forward-backward step holds at once.
+# Tokens that a forward-backward step holds at once (twice as many, if that is all).
 CHUNK_TOKENS = 400_000
+# Bytes of text that are split into words at once.
+PART_BYTES = 1 << 20
+# Groups into which words of one count are cut by their hash, on each of three levels.
+HASH_BITS, HASH_LEVELS = 12, 3
 # Pseudo-counts: of a symbol in proportion to its share, of a transition.
 SYMBOL_PRIOR, MOVE_PRIOR = 50.0, 1.0
 LN10 = np.log(10.0)
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []
+SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def tokens(text: bytes | None) -> Iterator[bytes]:
+    """The words of a text, split part by part at white space."""
+    start, end = 0, len(text or b"")
+    while start < end:
+        cut = SPACE.search(text, start + PART_BYTES)
+        stop = cut.start() if cut else end
+        yield from text[start:stop].lower().split()
+        start = stop
 
 
 def shape(word: bytes) -> int:
@@ -103,21 +120,31 @@ class Lexicon:
 
 
 def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """Up to ``most`` of the most frequent words and their counts, most frequent first.
+    """The ``most`` most frequent words and their counts, most frequent first.
 
-    Words are taken in whole steps of the count (a sixteenth of a doubling), as
-    many steps as fit, so only step sizes and the chosen words reach the driver.
+    Words are taken in whole steps of the count (a sixteenth of a doubling);
+    the step that no longer fits is taken by single counts, and a count that
+    does not fit by ranges of the words' hash, so only group sizes and the
+    chosen words reach the driver.
     """
-    step = F.floor(F.log2("c") * 16).cast("int")
-    least, room = None, most
-    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r.step):
-        room -= r["count"]
-        if room < 0:
+    key = F.xxhash64("word")
+    levels = [-F.floor(F.log2("c") * 16), -F.col("c")]
+    levels += [F.shiftright(key, i * HASH_BITS).bitwiseAND((1 << HASH_BITS) - 1) for i in range(HASH_LEVELS)]
+    chosen, open_, room = F.lit(False), F.lit(True), most
+    for level in levels:
+        split = last = None
+        for r in sorted(counts.where(open_).groupBy(level.cast("long").alias("g")).count().collect()):
+            if r["count"] > room:
+                split = r.g
+                break
+            room -= r["count"]
+            last = r.g
+        if last is not None:
+            chosen = chosen | (open_ & (level <= last))
+        if split is None or not room:
             break
-        least = r.step
-    if least is None:
-        return []
-    t = counts.where(step >= least).select("word", "c").toArrow()
+        open_ = open_ & (level == split)
+    t = counts.where(chosen).select("word", "c").toArrow()
     return sorted(zip(t.column("word").to_pylist(), t.column("c").to_pylist()), key=lambda x: (-x[1], x[0]))
 
 
@@ -154,9 +181,8 @@ def encode(docs: DataFrame, lexicon: Lexicon, n_docs: int) -> DataFrame:
         for b in batches:
             out = {k: [] for k in ("row", "symbols", "n_tokens", "known_head", "base_head", "rare_head", "tail", "tail_n")}
             for text in b.column("text").cast(pa.binary()).to_pylist():
-                seq, base, rare, known, tail = [], float(np.log10(n_docs + 1)), 0.0, int(n_docs > 0), []
-                words = tokens(text)
-                for w in words:
+                seq, base, rare, known, left = array("H"), float(np.log10(n_docs + 1)), 0.0, int(n_docs > 0), Counter()
+                for w in tokens(text):
                     s = ids.get(w)
                     if s is None:
                         k = shape(w)
@@ -164,7 +190,7 @@ def encode(docs: DataFrame, lexicon: Lexicon, n_docs: int) -> DataFrame:
                         rare -= log_class[k]
                         x = log_count.get(w)
                         if x is None:
-                            tail.append(w)
+                            left[w] += 1
                         else:
                             base += x
                             rare += x
@@ -172,9 +198,8 @@ def encode(docs: DataFrame, lexicon: Lexicon, n_docs: int) -> DataFrame:
                         base += log_count[w]
                     seq.append(s)
                 seq.append(END)
-                left = Counter(tail)
-                known += len(words) - len(tail)
-                for k, x in zip(out, (row, np.array(seq, np.uint16).tobytes(), len(seq), known, base, rare,
+                known += len(seq) - 1 - left.total()
+                for k, x in zip(out, (row, seq.tobytes(), len(seq), known, base, rare,
                                       list(left), list(left.values()))):
                     out[k].append(x)
                 row += 1
@@ -204,26 +229,42 @@ def first_model(share: np.ndarray, states: int = STATES, seed: int = 5) -> Hmm:
     return Hmm(np.full(states, 1.0 / states), move, emit / emit.sum(axis=1, keepdims=True))
 
 
-def _chunks(sequences: list[np.ndarray], most: int = CHUNK_TOKENS):
-    """Positions of sequences, longest first, about ``most`` tokens at a time."""
+def _chunks(sequences: list[np.ndarray]):
+    """Positions of sequences, longest first, about ``CHUNK_TOKENS`` at a time."""
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
     part, size = [], 0
     for i in order:
         part.append(i)
         size += len(sequences[i])
-        if size >= most:
+        if size >= CHUNK_TOKENS:
             yield part
             part, size = [], 0
     if part:
         yield part
 
 
-class _Forward:
-    """Scaled forward recursion over sequences of falling length, time by time."""
+def _spans(sequences: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Times ``[t0, t1)`` that together cover sequences of falling length, each of about ``CHUNK_TOKENS`` tokens."""
+    lengths = np.array([len(s) for s in sequences])
+    if lengths.sum() <= 2 * CHUNK_TOKENS:
+        return [(0, int(lengths[0]))]
+    out, t = [], 0
+    while t < lengths[0]:
+        step = max(1, CHUNK_TOKENS // int((lengths > t).sum()))
+        out.append((t, min(t + step, int(lengths[0]))))
+        t += step
+    return out
 
-    def __init__(self, model: Hmm, sequences: list[np.ndarray], keep: bool):
-        lengths = np.array([len(s) for s in sequences])
-        flat = np.concatenate(sequences)
+
+class _Forward:
+    """Scaled forward recursion over the times ``[t0, t1)`` of sequences of
+    falling length; ``before`` is what the recursion left at ``t0 - 1``."""
+
+    def __init__(self, model: Hmm, sequences: list[np.ndarray], span: tuple[int, int], before: np.ndarray | None, keep: bool):
+        t0, t1 = span
+        parts = [s[t0:t1] for s in takewhile(lambda s: len(s) > t0, sequences)]
+        lengths = np.array([len(s) for s in parts])
+        flat = np.concatenate(parts)
         t = np.concatenate([np.arange(n) for n in lengths])
         doc = np.repeat(np.arange(len(lengths)), lengths)
         order = np.lexsort((doc, t))
@@ -234,7 +275,7 @@ class _Forward:
         self.alpha = np.empty_like(self.emitted) if keep else None
         self.scale = np.empty(len(flat))
         turn = model.move.T.copy()
-        a = None
+        a = before
         for i, n in enumerate(self.width):
             lo, hi = self.at[i], self.at[i + 1]
             a = (model.start[:, None] if a is None else turn @ a[:, :n]) * self.emitted[:, lo:hi]
@@ -243,38 +284,52 @@ class _Forward:
             self.scale[lo:hi] = c
             if keep:
                 self.alpha[:, lo:hi] = a
+        self.last = a
         self.log10 = np.bincount(doc[order], weights=np.log(self.scale), minlength=len(lengths)) / LN10
 
 
 def sequence_log10(model: Hmm, sequences: list[np.ndarray]) -> np.ndarray:
-    """log10 likelihood of each sequence."""
-    out = np.empty(len(sequences))
+    """log10 likelihood of each sequence; memory does not follow the longest one."""
+    out = np.zeros(len(sequences))
     for part in _chunks(sequences):
-        out[part] = _Forward(model, [sequences[i] for i in part], keep=False).log10
+        seqs, last = [sequences[i] for i in part], None
+        for span in _spans(seqs):
+            f = _Forward(model, seqs, span, last, keep=False)
+            out[part[:len(f.log10)]] += f.log10
+            last = f.last
     return out
 
 
 def expected_counts(model: Hmm, sequences: list[np.ndarray]):
-    """Expected starts, moves and emissions, and the log10 likelihood."""
+    """Expected starts, moves and emissions, and the log10 likelihood.
+
+    Long sequences are walked span by span: what the forward recursion leaves
+    at each border is kept, and a span is run again when the backward recursion reaches it.
+    """
     start, move = np.zeros_like(model.start), np.zeros_like(model.move)
     emit, log10 = np.zeros_like(model.emit), 0.0
     for part in _chunks(sequences):
-        f = _Forward(model, [sequences[i] for i in part], keep=True)
-        log10 += f.log10.sum()
-        last = len(f.width) - 1
+        seqs = [sequences[i] for i in part]
+        spans, borders = _spans(seqs), [None]
+        for span in spans[:-1]:
+            borders.append(_Forward(model, seqs, span, borders[-1], keep=False).last)
         after = None
-        for i in range(last, -1, -1):
-            lo, hi = f.at[i], f.at[i + 1]
-            beta = np.ones((len(start), f.width[i]))
-            if after is not None:
-                n = after.shape[1]
-                move += f.alpha[:, lo:lo + n] @ after.T
-                beta[:, :n] = model.move @ after
-            after = f.emitted[:, lo:hi] * beta / f.scale[lo:hi]
-            f.alpha[:, lo:hi] *= beta
-        start += f.alpha[:, :f.width[0]].sum(axis=1)
-        for s in range(len(start)):
-            emit[s] += np.bincount(f.obs, weights=f.alpha[s], minlength=emit.shape[1])
+        for span, before in zip(reversed(spans), reversed(borders)):
+            f = _Forward(model, seqs, span, before, keep=True)
+            log10 += f.log10.sum()
+            for i in range(len(f.width) - 1, -1, -1):
+                lo, hi = f.at[i], f.at[i + 1]
+                beta = np.ones((len(start), f.width[i]))
+                if after is not None:
+                    n = after.shape[1]
+                    move += f.alpha[:, lo:lo + n] @ after.T
+                    beta[:, :n] = model.move @ after
+                after = f.emitted[:, lo:hi] * beta / f.scale[lo:hi]
+                f.alpha[:, lo:hi] *= beta
+            if before is None:
+                start += f.alpha[:, :f.width[0]].sum(axis=1)
+            for s in range(len(start)):
+                emit[s] += np.bincount(f.obs, weights=f.alpha[s], minlength=emit.shape[1])
     return start, move * model.move, emit, log10
 
 
