@@ -33,6 +33,17 @@ def test_round_trip_of_rows(spark):
     assert {r.conv_id: tuple(r)[1:] for r in got} == {c: digest(t) for c, t in convs.items()}
 
 
+def test_log_has_every_kind_of_event_and_null_turns(spark):
+    turns = [("assistant" if i % 2 else "user", f"text {i} " + "z" * (i % 7)) for i in range(60)]
+    rows = [(5, i, r, t) for i, (r, t) in enumerate(turns)] + [(5, None, "system", "first")]
+    log = CH.events_of(spark.createDataFrame(rows, CHAT).repartition(3))
+    kinds = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert kinds["start"] == 61 and min(kinds["edit"], kinds["regenerate"]) > 5
+    assert log.where("text like '%(draft)'").count() == kinds["edit"] + kinds["regenerate"]
+    got = CH.read_back(CH.render(CH.fold(log))).first()
+    assert tuple(got)[1:] == digest([("system", "first"), *turns])
+
+
 def test_fold_of_edits_and_regenerations(spark):
     log = [(1, 0, 1, "start", "user", None), (1, 1, 1, "delta", None, "he"), (1, 2, 1, "delta", None, "llo"),
            (1, 3, 2, "start", "assistant", None), (1, 4, 2, "delta", None, "draft"), (1, 5, 2, "regenerate", None, None),

@@ -1,6 +1,7 @@
 """Chat formatting from an event log.
 
-A log row is ``(conv_id, seq, msg, kind, role, text)``. By ``seq``, a *start*
+A log row is ``(conv_id, seq, msg, kind, role, text)``; messages are in the order
+of ``msg``, of any sortable type. By ``seq``, which orders the events of a message, a *start*
 opens message ``msg`` with a role, a *delta* appends text to it, an *edit*
 replaces its text and a *regenerate* throws away what was streamed so far. The
 fold is by message, so a conversation that holds most of the log is still dealt
@@ -24,6 +25,8 @@ from ticketflow.llm.common import map_arrow
 
 EVENTS = "conv_id bigint, seq bigint, msg bigint, kind string, role string, text string"
 OPENS = ("start", "edit", "regenerate")
+# Characters of a text that its draft holds, backwards.
+DRAFT_CHARS = 16
 SEGMENT = re.compile(r"<turn role=([^>]*)>\n(.*)\n</turn>\n", re.DOTALL)
 UNESCAPE = {"\\": "\\", "l": "<", "h": "#", "g": ">", "n": "\n"}
 
@@ -44,21 +47,34 @@ def unescape(text: str) -> str:
 def events_of(rows: DataFrame) -> DataFrame:
     """The log that streams finished rows ``(conv_id, turn, role, text)``.
 
-    Messages are numbered by turn (then role and text, so repeated rows each
-    stay a message); each is a start and its text in two deltas.
+    ``msg`` is the turn and the row's number within the turn (by role and text,
+    so repeated rows each stay a message): texts of a conversation are never
+    sorted together. Every third message is a start and two deltas, every third
+    is regenerated after a draft, and every third is drafted and then edited; the
+    final texts are the rows'.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    r = rows.select("conv_id", "role", F.coalesce("text", F.lit("")).alias("text"),
-                    F.row_number().over(order).cast("long").alias("msg"))
+    order = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    r = (rows.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+         .withColumn("copy", F.row_number().over(order).cast("long"))
+         .select("conv_id", F.struct("turn", "copy").alias("msg"), "role", "text",
+                 F.pmod(F.xxhash64("conv_id", "turn", "copy"), F.lit(3)).alias("way")))
     half = F.floor(F.length("text") / 2).cast("int")
     none = F.lit(None).cast("string")
-    event = lambda k, kind, role, text: F.struct(
-        (F.col("msg") * 3 + k).alias("seq"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
-    return r.select("conv_id", "msg", F.explode(F.array(
-        event(0, "start", F.col("role"), none),
-        event(1, "delta", none, F.substr("text", F.lit(1), half)),
-        event(2, "delta", none, F.substr("text", half + 1))))
-        .alias("e")).select("conv_id", "e.seq", "msg", "e.kind", "e.role", "e.text")
+    first, rest = F.substr("text", F.lit(1), half), F.substr("text", half + 1)
+    draft = F.concat(F.reverse(F.substr("text", F.lit(1), F.lit(DRAFT_CHARS))), F.lit(" (draft)"))
+
+    def events(*kinds: tuple[int, str, Column, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(seq).cast("long").alias("seq"), F.lit(kind).alias("kind"),
+                                  role.alias("role"), text.alias("text")) for seq, kind, role, text in kinds])
+
+    start = (0, "start", F.col("role"), none)
+    streamed = events(start, (1, "delta", none, first), (2, "delta", none, rest))
+    again = events(start, (1, "delta", none, draft), (2, "regenerate", none, none),
+                   (3, "delta", none, first), (4, "delta", none, rest))
+    edited = events(start, (1, "delta", none, draft), (5, "edit", none, F.col("text")))
+    log = F.when(F.col("way") == 0, streamed).when(F.col("way") == 1, again).otherwise(edited)
+    return r.select("conv_id", "msg", F.explode(log).alias("e")).select(
+        "conv_id", "e.seq", "msg", "e.kind", "e.role", "e.text")
 
 
 def fold(events: DataFrame) -> DataFrame:
