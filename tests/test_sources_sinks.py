@@ -1,7 +1,10 @@
 """Scans, contract, keyset slices, landings, file sinks and catalog tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketflow.session import scratch_path
 from ticketflow.sources import files as FS
@@ -217,3 +220,18 @@ def test_reconcile_copy_sees_a_value_moved_over_a_null(spark):
     r = FS.reconcile_copy(src, moved).first()
     assert (r["missing_rows"], r["extra_rows"], r["match"]) == (1, 1, False)
     assert FS.reconcile_copy(src, src, compare_rows=True).first()["match"] is True
+
+
+def test_a_backlog_is_streamed_in_bounded_batches(spark):
+    landing, sink, ckpt = (scratch_path(spark, n).removeprefix("file:") for n in ("backlog-files", "backlog-sink", "backlog-ckpt"))
+    schema = T.StructType([T.StructField("k", T.StringType())])
+    for wave in (range(120), range(120, 125)):
+        rows = [(str(i),) for i in wave]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").option("maxRecordsPerFile", 1).json(landing)
+        files = sum(1 for n in os.listdir(landing) if n.startswith("part-"))
+        n = INC.stream_landed_files(spark, landing, schema, sink, ckpt, multiline=False, files_per_batch=1)
+        assert n == len(rows)
+    assert sorted(int(r.k) for r in spark.read.parquet(sink).collect()) == list(range(125))
+    # the first run had more batches than a query keeps the progress of
+    assert files == 125 and max(int(n) for n in os.listdir(os.path.join(ckpt, "commits")) if n.isdigit()) == 124
+    assert INC.stream_landed_files(spark, landing, schema, sink, ckpt, multiline=False) == 0

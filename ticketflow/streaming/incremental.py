@@ -14,6 +14,7 @@ were processed, so each ``availableNow`` run appends exactly the new ones.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 from typing import Any
@@ -21,10 +22,17 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ticketflow.session import scratch_path
 from ticketflow.sources import pages as PG
 
+# Landed files that one micro-batch takes.
+FILES_PER_BATCH = 10_000
+# Name of the count that a landing stream observes, and how long its last events may take.
+LANDED = "landed_rows"
+LISTENER_SECONDS = 60
+
 
 def _cursor_values(landed: DataFrame, order: Sequence[Column]) -> tuple[list[Any] | None, int]:
     """Last landed order tuple (NULLs last) and row count — one row to the driver.
@@ -126,22 +134,57 @@ def manifest(landed: DataFrame, order: Sequence[Column], start: str, end: str,
 
 def stream_landed_files(spark: SparkSession, landing_dir: str, schema: T.StructType,
                         sink_dir: str, checkpoint_dir: str, fmt: str = "json",
-                        multiline: bool = True) -> int:
+                        multiline: bool = True, files_per_batch: int = FILES_PER_BATCH) -> int:
     """Append every not-yet-processed landed file to ``sink_dir`` (Parquet).
 
     Runs one ``availableNow`` micro-batch sequence and stops; the checkpoint
     records processed files, so a rerun after new files land picks up only
-    those. Returns the number of input rows the run processed.
+    those. A backlog is taken in batches of at most ``files_per_batch`` files.
+    Returns the number of rows the run appended: rows are counted as they are
+    written, and a batch that is tried again counts once.
     """
-    reader = spark.readStream.schema(schema).format(fmt)
+    reader = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch)
     if fmt == "json":
         reader = reader.option("multiLine", multiline)
-    stream = reader.load(landing_dir).select(*[f.name for f in schema.fields])
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True).start(sink_dir))
-    q.awaitTermination()
-    rows = 0
-    for p in q.recentProgress:
-        rows += int(p.get("numInputRows", 0) or 0) if isinstance(p, dict) else int(p.numInputRows)
-    return rows
+    stream = (reader.load(landing_dir).select(*[f.name for f in schema.fields])
+              .observe(LANDED, F.count(F.lit(1)).alias("rows")))
+    counter = _LandedRows()
+    spark.streams.addListener(counter)
+    try:
+        q = (stream.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint_dir)
+             .trigger(availableNow=True).start(sink_dir))
+        counter.run_id = str(q.runId)
+        q.awaitTermination()
+        counter.ended.wait(LISTENER_SECONDS)
+    finally:
+        spark.streams.removeListener(counter)
+    return counter.total()
+
+
+class _LandedRows(StreamingQueryListener):
+    """Rows of every batch, kept by run: progress kept by a query itself is cut after 100 batches."""
+
+    def __init__(self) -> None:
+        self.rows: dict[tuple[str, int], int] = {}
+        self.run_id = ""
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(LANDED)
+        if seen is not None:
+            self.rows[str(event.progress.runId), event.progress.batchId] = seen["rows"]
+
+    def onQueryTerminated(self, event) -> None:
+        # events come in order, so every batch of that run has been counted
+        if not self.run_id or str(event.runId) == self.run_id:
+            self.ended.set()
+
+    def total(self) -> int:
+        return sum(n for (run, _), n in self.rows.items() if run == self.run_id)
