@@ -206,6 +206,65 @@ def test_labels_of_one_class_or_none(labelled, spark):
     assert TX.toxicity(docs.limit(0), labels).count() == 0
 
 
+def lexicon_of(docs, toxic_of):
+    """The lexicon of folds 2 and 3, counted without Spark."""
+    pos, neg, n = Counter(), Counter(), [0, 0]
+    for d, text in docs:
+        if d in toxic_of and zlib.crc32(str(d).encode()) % 5 in (2, 3):
+            n[toxic_of[d]] += 1
+            (pos if toxic_of[d] else neg).update(set(TX.words((text or "").encode())))
+    odds = lambda c, of: math.log((c + 0.5) / (of - c + 0.5))
+    weights = {w: odds(c, n[1]) - odds(neg[w], n[0]) for w, c in pos.items() if c >= TX.MIN_DOCS}
+    return {w: x for w, x in weights.items() if x >= TX.MIN_LOG_ODDS}
+
+
+@pytest.fixture(scope="module")
+def toxic_of(labelled):
+    docs, labels, rows = labelled
+    known = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.toxic is not None:
+            known[r.doc_id] = max(known.get(r.doc_id, 0), r.toxic)
+    return known
+
+
+def test_lexicon_and_scores_by_brute_force(labelled, toxic_of, spark):
+    from ticketflow.llm.boosted import score_boosted
+    docs, labels, rows = labelled
+    # the sample that trees are fitted on does not bound the lexicon
+    model = TX.fit_toxicity(docs, labels, fit_rows=300)
+    want = lexicon_of(rows, toxic_of)
+    assert model.lexicon.tail is None and model.lexicon.head.keys() == want.keys() and len(want) >= 3
+    assert all(math.isclose(model.lexicon.head[w], want[w], rel_tol=1e-12) for w in want)
+    features = [(d, t, [float(x) for x in TX.text_features((t or "").encode(), model.lexicon.head)]) for d, t in rows]
+    frame = spark.createDataFrame(features, f"doc_id bigint, text string, {TX.FEATURES} array<double>")
+    by_hand = score_boosted(frame, TX.FEATURES, model.boosted, "score")
+    key = lambda r: (repr(r.doc_id), r.text or "", r.text is None)
+    got = model.score(docs.select("doc_id", "text")).collect()
+    assert sorted((key(r), r.score) for r in got) == sorted((key(r), r.score) for r in by_hand.collect())
+
+
+def test_lexicon_beyond_its_bytes_is_joined(labelled, toxic_of, make_docs):
+    docs, labels, rows = labelled
+    whole = TX.fit_toxicity(docs, labels)
+    want = lexicon_of(rows, toxic_of)
+    hidden = make_docs([(8000, "you sc0undrel r0tter"), (8001, " ".join(["scoundrel"] * 70_000)), (8002, "vilest v!lest")])
+    wide = docs.unionByName(hidden).selectExpr("*", "1 as at", "2 as hits", "3 as row", "5 as word")
+    one_less = sum(len(w) + TX.ENTRY_BYTES for w in want) - 1
+    for room in (0, one_less):
+        lexicon = TX.learn_lexicon(docs.join(TX.training_labels(labels).where("fold in (2, 3)"), "doc_id"), room)
+        tail = {bytes(r.word): r.w for r in lexicon.tail.collect()}
+        assert tail and {**lexicon.head, **tail}.keys() == want.keys() and not lexicon.head.keys() & tail.keys()
+        got = TX.with_features(wide, lexicon)
+        assert got.columns == [*wide.columns, TX.FEATURES]
+        rows_of = lambda df: sorted(map(repr, df.collect()))
+        assert rows_of(got) == rows_of(TX.with_features(wide, whole.lexicon))
+    part = TX.with_features(docs.select("text"), lexicon)
+    assert part.columns == ["text", TX.FEATURES] and part.count() == len(rows)
+    scores = lambda m: sorted(repr(r) for r in m.score(docs.select("doc_id", "text")).collect())
+    assert scores(TX.fit_toxicity(docs, labels, lexicon_bytes=0)) == scores(whole)
+
+
 def test_features_of_hard_texts():
     lex = {b"rotter": 3.0}
     for t in (b"", b"a" * 100_000, b"!" * 10_000, "ÀÉ ".encode() * 100, b"r0tter you r.o.t.t.e.r"):
