@@ -71,3 +71,22 @@ def test_degenerate_tables(make_docs):
 
 def test_no_python_in_the_plan(docs):
     assert "Python" not in MX.mix(docs, max_repeats=4.0)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_passes_are_dealt_in_parts(spark):
+    planned = spark.createDataFrame([(1, "a", "x", 3, 25), (1, "a", "x", 3, 25), (2, "b", "y", 2, 10), (3, None, "z", 1, 1), (4, "c", "w", 0, 0)],
+                                    "doc_id long, source string, h string, n_tokens long, whole long")
+    for passes in (1, 7, 10, 25, 1000):
+        got = MX.whole_passes(planned, 25, seed=17, passes=passes).collect()
+        want = MX.whole_passes(planned, 0, seed=17, passes=1000).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
+        assert sorted((r.doc_id, r.epoch) for r in got) == sorted(
+            [(1, e) for e in range(25)] * 2 + [(2, e) for e in range(10)] + [(3, 0)])
+
+
+def test_a_tiny_source_is_drawn_very_often(make_docs, prose):
+    docs = make_docs([(i, prose(i, 400), "big") for i in range(200)] + [(900, "one", "tiny"), (901, "two", "tiny")])
+    drawn = MX.mix(docs, target_entropy=1.0)
+    tiny = drawn.where("source = 'tiny'").groupBy("doc_id").count().collect()
+    assert {r.doc_id for r in tiny} == {900, 901}
+    assert all(abs(r["count"] - 40_000) <= 1 for r in tiny)

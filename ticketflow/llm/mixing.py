@@ -26,6 +26,8 @@ GRID_STEPS = 4
 JOBS = 10
 # Slices of a source's permutation: leading hex digits of its hash.
 SLICE_DIGITS = 3
+# Whole passes that one row draws at once; more are dealt over tasks in parts of this many.
+PASSES = 10_000
 
 
 def n_tokens(text: Column) -> Column:
@@ -101,6 +103,22 @@ def _permutation(seed: int) -> Column:
                              F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("h")))
 
 
+def whole_passes(planned: DataFrame, most: int, seed: int, passes: int = PASSES) -> DataFrame:
+    """``(doc_id, source, n_tokens, epoch, place)`` of the ``whole`` passes over each
+    document; no source has more than ``most``."""
+    kept = ["doc_id", "source", "h", "n_tokens", "whole"]
+    rows = planned.where("whole > 0").select(*kept)
+    first = F.lit(0).cast("long")
+    if most > passes:
+        parts = F.explode(F.sequence(first, F.floor((F.col("whole") - 1) / passes).cast("long"))).alias("part")
+        dealt = rows.where(F.col("whole") > passes).select(*kept, parts).repartition("part", "source", "doc_id", "h")
+        rows = rows.where(F.col("whole") <= passes).withColumn("part", first).unionByName(dealt)
+        first = F.col("part") * passes
+    last = F.least(F.col("whole"), first + passes) - 1
+    return (rows.select(*kept, F.explode(F.sequence(first, last)).alias("epoch"))
+            .select("doc_id", "source", "n_tokens", "epoch", _permutation(seed).alias("place")))
+
+
 def mix(docs: DataFrame, target_entropy: float | None = None, max_repeats: float | None = None,
         budget_tokens: int | None = None, seed: int = 17) -> DataFrame:
     """``(doc_id, source, n_tokens, epoch, place)``: a row for each time a document is drawn.
@@ -122,9 +140,8 @@ def mix(docs: DataFrame, target_entropy: float | None = None, max_repeats: float
     plan = materialize(plan, "mix-plan")
     planned = own.join(plan, own["source"].eqNullSafe(plan["plan_source"])).select(
         "doc_id", "source", "h", "n_tokens", "whole", "rest")
-    full = (planned.where("whole > 0")
-            .select("doc_id", "source", "h", "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).alias("epoch"))
-            .select("doc_id", "source", "n_tokens", "epoch", _permutation(seed).alias("place")))
+    most = plan.agg(F.max("whole")).first()[0] or 0
+    full = whole_passes(planned, most, seed)
     last = (planned.where("rest > 0").withColumn("epoch", F.col("whole"))
             .select("doc_id", "source", "h", "n_tokens", "epoch", "rest", _permutation(seed).alias("place"))
             .withColumn("slice", F.substring("place", 1, SLICE_DIGITS)))
