@@ -189,3 +189,19 @@ def test_another_session_reads_the_stored_view(spark):
     from ticketflow.plans import marts as M
     assert sorted(map(tuple, rows)) == sorted(map(tuple, M.category_totals_ytd(cat.monthly()).collect()))
     assert not any(r.isTemporary for r in other.sql(f"SHOW VIEWS IN {cat.db}").collect())
+
+
+def test_a_file_rewritten_below_changes_the_fingerprint(spark):
+    import os
+
+    from ticketflow.plans.flow import _fingerprint
+    path = scratch_path(spark, "fingerprint")
+    spark.range(10).selectExpr("id", "id % 2 as part").write.partitionBy("part").parquet(path)
+    local = path.removeprefix("file://").removeprefix("file:")
+    before = _fingerprint(spark, [path])
+    assert before == _fingerprint(spark, [path])
+    below = os.path.join(local, "part=1")
+    name = next(os.path.join(below, n) for n in os.listdir(below) if n.endswith(".parquet"))
+    later = os.stat(name).st_mtime + 100
+    os.utime(name, (later, later))
+    assert _fingerprint(spark, [path]) != before

@@ -170,9 +170,10 @@ _CACHE: dict[tuple, Stages] = {}
 
 
 def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """Sizes, file counts and modification times of the inputs (cache key).
+    """Sizes, file counts and newest modification times of the inputs (cache key).
 
-    Without a JVM gateway (e.g. Spark Connect) a fresh value is returned,
+    A file rewritten in a subfolder with the same size changes its own time only, so
+    folders are listed to the bottom, one path after the other. Without a JVM gateway (e.g. Spark Connect) a fresh value is returned,
     so stages are simply rebuilt instead of reused."""
     try:
         jvm = spark.sparkContext._jvm
@@ -181,9 +182,11 @@ def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
         for p in paths:
             hp = jvm.org.apache.hadoop.fs.Path(p)
             fs = hp.getFileSystem(conf)
-            # all levels at once, in a number of calls that doesn't depend on the files
-            size, st = fs.getContentSummary(hp), fs.getFileStatus(hp)
-            h.update(f"{p}|{size.getLength()}|{size.getFileCount()}|{st.getModificationTime()};".encode())
+            size, newest = fs.getContentSummary(hp), fs.getFileStatus(hp).getModificationTime()
+            files = fs.listFiles(hp, True)
+            while files.hasNext():
+                newest = max(newest, files.next().getModificationTime())
+            h.update(f"{p}|{size.getLength()}|{size.getFileCount()}|{newest};".encode())
         return h.hexdigest()
     except Exception:  # noqa: BLE001 - no gateway: never reuse
         return uuid.uuid4().hex
