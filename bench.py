@@ -49,13 +49,13 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     tw = time.time()
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf):
-        flow.testdata_stages(spark, warm_dir)
+        flow.testdata_stages(spark, warm_dir).build()
         for name in HEADLINE:
             QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     warmup = round(time.time() - tw, 3)
 
     t0 = time.time()
-    stages = flow.testdata_stages(spark, sf)
+    stages = flow.testdata_stages(spark, sf).build()
     build = time.time() - t0
 
     times: dict[str, float] = {"stage_build": round(build, 3)}

@@ -9,14 +9,16 @@ executor re-reads a written table instead of recomputing the whole chain),
 gives the planner measured file sizes, so the dimension broadcasts are
 checked against real bytes, and lets an ``Observation`` count each stage's
 rows during its write. ``testdata_stages`` reuses written stages within a
-session while the input files are unchanged.
+session while the input files are unchanged; a stage is written when a query first
+reads it or a stage made from it, so no query pays for stages it does not use.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
-from dataclasses import dataclass, fields
+from dataclasses import fields
+from functools import cached_property
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,36 +29,17 @@ from ticketflow.operators import dims as D
 from ticketflow.operators import quality as Q
 from ticketflow.operators import transform as T
 from ticketflow.plans import marts as M
-from ticketflow.session import scratch_path
+from ticketflow.session import scratch_path, sized_shuffles
 from ticketflow.settings import DEFAULT_SETTINGS, PipelineSettings
 from ticketflow.sources import testdata as TD
 
 
-@dataclass
-class Stages:
-    raw: DataFrame
-    refs: dict
-    flagged: DataFrame
-    valid: DataFrame
-    rejected: DataFrame
-    dim_agency: DataFrame
-    dim_complaint_type: DataFrame
-    dim_borough: DataFrame
-    curated: DataFrame
-    monthly: DataFrame
-    daily: DataFrame
-    settings: PipelineSettings
-    # rows written per stage, counted by Observations during the writes
-    counts: dict | None = None
-    # the raw landing with its parsed creation time (for pushed-down ranges)
-    landed: DataFrame | None = None
-    # counts of the dimension values, and where each written stage lies
-    value_counts: DataFrame | None = None
-    paths: dict | None = None
-
-
 LANDING_TS = "_created_ts"
 
+# Tables that the steps hand over, in run order, and properties of ``Stages`` of other names.
+HANDOVERS = ("raw", "dim_value_counts", "dimensions", "flagged", "curated", "monthly", "daily")
+_PROPERTIES = {"raw": "landed", "dim_value_counts": "value_counts", "dimensions": "_dimensions"}
+
 
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
                 counts: dict | None = None, path: str | None = None,
@@ -85,38 +68,111 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
     return spark.read.parquet(path)
 
 
+class Stages:
+    """The stage tables, each built when it is first asked for, after those it is made from.
+
+    A query thus pays for the stages it reads and for no others; ``build`` makes all.
+    ``counts`` and ``paths`` (rows written, counted by Observations, and place of each
+    stage) are filled as stages are written.
+    """
+
+    def __init__(self, raw: DataFrame, refs: dict | None, settings: PipelineSettings,
+                 keep: Callable[[DataFrame, str, tuple], DataFrame] | None = None,
+                 counts: dict | None = None, paths: dict | None = None):
+        self._raw, self._refs, self.settings = raw, refs, settings
+        self._keep = keep or (lambda df, name, part=(): df)
+        self.counts, self.paths = counts, paths
+
+    @cached_property
+    def landed(self) -> DataFrame:
+        """Landed raw requests: every later stage (and the key census of the
+        duplicate flag, which reads only the key column) scans this table. The
+        landing also stores the parsed creation time, so date-range slices of
+        it are filters the Parquet scan applies (row groups skipped by min/max);
+        the stages themselves never read that column."""
+        return self._keep(self._raw.withColumn(LANDING_TS, parse_ts(F.col("created_date"))), "raw", ())
+
+    @property
+    def raw(self) -> DataFrame:
+        return self.landed.drop(LANDING_TS)
+
+    @cached_property
+    def value_counts(self) -> DataFrame:
+        """Counts of the dimension values; one scan for all three."""
+        return self._keep(D.value_counts(self.raw), "dim_value_counts", ())
+
+    @cached_property
+    def _dimensions(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return D.split_dimensions(self._keep(D.all_dimensions(self.value_counts, self.settings), "dimensions", ()))
+
+    @property
+    def dim_agency(self) -> DataFrame:
+        return self._dimensions[0]
+
+    @property
+    def dim_complaint_type(self) -> DataFrame:
+        return self._dimensions[1]
+
+    @property
+    def dim_borough(self) -> DataFrame:
+        return self._dimensions[2]
+
+    @property
+    def refs(self) -> dict:
+        if self._refs is not None:
+            return self._refs
+        return {"agency": self.dim_agency.select("agency_code"),
+                "complaint_type": self.dim_complaint_type.select("complaint_type"),
+                "borough": self.dim_borough.select("borough")}
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        return self._keep(Q.flag_requests(self.raw, self.refs, self.settings, self._keep), "flagged", ())
+
+    @property
+    def valid(self) -> DataFrame:
+        return Q.valid_rows(self.flagged)
+
+    @property
+    def rejected(self) -> DataFrame:
+        return Q.rejected_rows(self.flagged)
+
+    @cached_property
+    def curated(self) -> DataFrame:
+        # the duplicate flag left one valid row of each key
+        return self._keep(T.curate(self.valid, self.dim_agency, self.dim_complaint_type, self.dim_borough,
+                                   self.settings, known_unique=True), "curated", T.PARTITION_COLUMNS)
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return self._keep(M.monthly_summary(self.curated), "monthly", ())
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return self._keep(M.daily_summary(self.curated), "daily", ())
+
+    def build(self) -> Stages:
+        """Make every stage, in run order."""
+        for name in HANDOVERS:
+            getattr(self, _PROPERTIES.get(name, name))
+        return self
+
+    def path_of(self, name: str) -> str:
+        """Where the kept stage ``name`` (of ``HANDOVERS``) lies."""
+        getattr(self, _PROPERTIES.get(name, name))
+        return self.paths[name]
+
+
 def compose(raw: DataFrame, refs: dict | None, settings: PipelineSettings,
-            keep: Callable[[DataFrame, str, tuple], DataFrame] | None = None) -> Stages:
+            keep: Callable[[DataFrame, str, tuple], DataFrame] | None = None,
+            counts: dict | None = None, paths: dict | None = None) -> Stages:
     """Wire the stages; ``keep`` (optional) materialises a named stage.
 
     ``refs`` are the known agencies / complaint types / boroughs the quality
     rules check against; ``None`` means the dimensions built from this raw
     input, as the batch pipeline validates against its own reference build.
     """
-    keep = keep or (lambda df, name, part=(): df)
-    # Landed raw requests: every later stage (and the key census of the
-    # duplicate flag, which reads only the key column) scans this table. The
-    # landing also stores the parsed creation time, so date-range slices of
-    # it are filters the Parquet scan applies (row groups skipped by min/max);
-    # the stages themselves never read that column.
-    landed = keep(raw.withColumn(LANDING_TS, parse_ts(F.col("created_date"))), "raw", ())
-    raw = landed.drop(LANDING_TS)
-    counts = keep(D.value_counts(raw), "dim_value_counts", ())  # one scan for all three
-    dims = keep(D.all_dimensions(counts, settings), "dimensions", ())  # one small table
-    da, dc, db = D.split_dimensions(dims)
-    if refs is None:
-        refs = {"agency": da.select("agency_code"),
-                "complaint_type": dc.select("complaint_type"),
-                "borough": db.select("borough")}
-    flagged = keep(Q.flag_requests(raw, refs, settings, keep), "flagged", ())
-    valid = Q.valid_rows(flagged)
-    rejected = Q.rejected_rows(flagged)
-    # the duplicate flag left one valid row of each key
-    curated = keep(T.curate(valid, da, dc, db, settings, known_unique=True), "curated", T.PARTITION_COLUMNS)
-    monthly = keep(M.monthly_summary(curated), "monthly", ())
-    daily = keep(M.daily_summary(curated), "daily", ())
-    return Stages(raw, refs, flagged, valid, rejected, da, dc, db, curated, monthly, daily, settings,
-                  landed=landed, value_counts=counts)
+    return Stages(raw, refs, settings, keep, counts, paths)
 
 
 def run_pipeline(spark: SparkSession, raw_path: str, out_dir: str,
@@ -144,8 +200,7 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_dir: str,
         return write_table(df, name, part, counts, path=f"{base}/tables/{name}", paths=paths)
 
     raw, bad = R.read_raw_csv_checked(spark, raw_path, na_tokens=settings.na_tokens, multiline=multiline)
-    st = compose(raw, refs, settings, keep=keep)
-    st.counts, st.paths = counts, paths
+    st = compose(raw, refs, settings, keep, counts, paths).build()
     for name, dim in (("dim_agency", st.dim_agency), ("dim_complaint_type", st.dim_complaint_type),
                       ("dim_borough", st.dim_borough)):
         FS.write_csv(dim, f"{base}/reference/{name}", single_file=True)
@@ -197,7 +252,7 @@ INPUT_TABLES = ("orders", "lineitem", "customer", "nation", "region", "part")
 
 def testdata_stages(spark: SparkSession, sf_dir: str, materialize: bool = True,
                     settings: PipelineSettings = TD.TESTDATA_SETTINGS) -> Stages:
-    """All stages over the driver tables (see ``sources.testdata``)."""
+    """The stages over the driver tables (see ``sources.testdata``), each written when it is first read."""
     if not materialize:
         return compose(TD.raw_requests(spark, sf_dir), TD.reference_sets(spark, sf_dir), settings)
     fp = _fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in INPUT_TABLES])
@@ -209,9 +264,13 @@ def testdata_stages(spark: SparkSession, sf_dir: str, materialize: bool = True,
         return hit
     counts: dict = {}
     paths: dict = {}
-    st = compose(TD.raw_requests(spark, sf_dir), TD.reference_sets(spark, sf_dir), settings,
-                 keep=lambda df, name, part=(): write_table(df, name, part, counts, paths=paths))
-    st.counts, st.paths = counts, paths
+    tasks = TD.stage_tasks(spark, sf_dir)
+
+    def keep(df: DataFrame, name: str, part: tuple = ()) -> DataFrame:
+        with sized_shuffles(spark, tasks):
+            return write_table(df, name, part, counts, paths=paths)
+
+    st = compose(TD.raw_requests(spark, sf_dir), TD.reference_sets(spark, sf_dir), settings, keep, counts, paths)
     _CACHE[key] = st
     return st
 
@@ -237,16 +296,12 @@ def unmatched_keys(enriched: DataFrame) -> DataFrame:
                  F.count_if(F.col("borough_id").isNull()).alias("unmatched_borough"))
 
 
-# Tables that the steps hand over, in run order.
-HANDOVERS = ("raw", "dim_value_counts", "dimensions", "flagged", "curated", "monthly", "daily")
-
-
 def handover_counts(st: Stages) -> DataFrame:
     """(step, stage, rows) counted in the written stage tables."""
-    spark = st.curated.sparkSession
+    spark = st.raw.sparkSession
     out = None
     for i, name in enumerate(HANDOVERS):
-        one = spark.read.parquet(st.paths[name]).agg(F.count(F.lit(1)).alias("rows")).select(
+        one = spark.read.parquet(st.path_of(name)).agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(i + 1).alias("step"), F.lit(name).alias("stage"), "rows")
         out = one if out is None else out.unionByName(one)
     return out

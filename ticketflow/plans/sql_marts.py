@@ -94,7 +94,7 @@ _CATALOGS: dict[tuple, SqlCatalog] = {}
 
 def catalog_for(spark: SparkSession, stages: Stages) -> SqlCatalog:
     """The catalog over the stages' curated table, built once per written table."""
-    path = stages.paths["curated"]
+    path = stages.path_of("curated")
     key = (spark.sparkContext.applicationId, path)
     if key not in _CATALOGS:
         _CATALOGS[key] = SqlCatalog(spark, path)

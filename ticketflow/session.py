@@ -14,7 +14,8 @@ import re
 import tempfile
 import uuid
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -108,6 +109,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
+# Rows that one task sorts or aggregates at once: wide rows of text stay well below its memory.
+ROWS_PER_TASK = 250_000
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks over which ``rows`` are dealt, so that a task's share does not grow with the input."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """Jobs run inside have ``tasks`` shuffle partitions at least; AQE still merges small ones."""
+    name = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(name)
+    if int(old) >= tasks:
+        yield
+        return
+    spark.conf.set(name, str(tasks))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 _SCRATCH: set[str] = set()
 
 

@@ -9,7 +9,9 @@ orders without a line item (``orders ▷ lineitem``): both are shuffle joins on
 the order key in which AQE can split a skewed key on either side (a left
 outer join could only split the preserved side). ``customer`` and ``part``
 are left to the planner (broadcast only under the size threshold, else
-sort-merge); ``nation`` and ``region`` are broadcast only after their
+sort-merge) and are joined to ``orders`` and ``lineitem`` before these meet, so
+that a sort-merge join shuffles the narrow rows of one table and never the joined
+ones; ``nation`` and ``region`` are broadcast only after their
 estimated size is checked.
 """
 
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketflow.operators.joins import broadcast_if_small
+from ticketflow.operators.joins import broadcast_if_small, estimated_bytes
 from ticketflow.session import table_path
 from ticketflow.settings import NA_TOKENS, PipelineSettings
 from ticketflow.sources.raw import RAW_COLUMNS, normalize_na
@@ -54,6 +56,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+# Bytes of stored input for one shuffle partition of the stages.
+BYTES_PER_TASK = 16 * 1024 * 1024
+
+
+def stage_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Shuffle partitions that keep a task's share of the raw requests the same for inputs of any size."""
+    size = sum(estimated_bytes(read_table(spark, sf_dir, t)) or 0 for t in ("orders", "lineitem"))
+    return max(1, -(-size // BYTES_PER_TASK))
+
+
 def iso_text(c) -> F.Column:
     return F.date_format(c, ISO_FORMAT)
 
@@ -70,15 +82,15 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = broadcast_if_small(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
-    lines = o.join(li.hint("merge"), o.o_orderkey == li.l_orderkey, "inner")
+    o = o.join(c, o.o_custkey == c.c_custkey, "inner").drop("o_custkey", "c_custkey")
+    parts = li.join(p, li.l_partkey == p.p_partkey, "left").drop("p_partkey")
+    lines = o.join(parts.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "inner")
     # distinct keys: a hot order key is collapsed map-side before the anti join
     lineless = o.join(li.select("l_orderkey").distinct().hint("merge"),
-                      o.o_orderkey == F.col("l_orderkey"), "left_anti")
+                      F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
     j = (lines.unionByName(lineless, allowMissingColumns=True)
-         .join(c, F.col("o_custkey") == c.c_custkey, "inner")
-         .join(n, c.c_nationkey == n.n_nationkey, "inner")
-         .join(r, n.n_regionkey == r.r_regionkey, "inner")
-         .join(p, F.col("l_partkey") == p.p_partkey, "left"))
+         .join(n, F.col("c_nationkey") == n.n_nationkey, "inner")
+         .join(r, n.n_regionkey == r.r_regionkey, "inner"))
 
     has_line = F.col("l_orderkey").isNotNull()
     raw = j.select(
