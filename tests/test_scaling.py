@@ -51,3 +51,26 @@ def test_shuffles_of_stages_are_sized_and_set_back(spark):
         assert spark.conf.get(name) == old
     assert spark.conf.get(name) == old
     assert tasks_for(spark, 400 * ROWS_PER_TASK) == 400
+
+
+def test_flagged_rows_are_dealt_by_their_number(spark, monkeypatch):
+    rows, df = _rows(spark)
+    seen = []
+    monkeypatch.setattr(DD, "tasks_for", lambda _, n: seen.append(n) or 13)
+    out = DD.flag_repeats(df, "k", ["o"], "dup", max_repeated_keys=0)
+    assert ", 13)" in _plan(out) and seen == [340]
+    got = out.collect()
+    assert len(got) == 340 and not any(r.dup for r in got if r.k is None)
+    assert sum(not r.dup for r in got if r.k is not None) == len({r[0] for r in rows if r[0] is not None})
+    assert out.columns == ["k", "o", "n", "dup"]
+
+
+def test_dedup_deals_rows_by_their_number_and_splits_hot_keys_off(spark, monkeypatch):
+    rows, df = _rows(spark)
+    last = lambda r: (r[1] is None, r[1] or 0, r[2])
+    want = {k: min((r for r in rows if r[0] == k), key=last) for k in {r[0] for r in rows}}
+    monkeypatch.setattr(DD, "tasks_for", lambda _, n: 13)
+    for hot_over in (1_000_000, 8, 1):  # none, some (with the NULL key) and most keys are hot
+        out = DD.dedup_first(df, "k", ["o"], hot_over=hot_over)
+        assert ", 13)" in _plan(out)
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(want.values(), key=repr)

@@ -21,7 +21,10 @@ When few keys repeat at all (keys are meant to be unique) and the measured
 bytes of the repeated keys are within a bound, these are broadcast and only
 their rows are shuffled; rows of single keys are settled where they are. With no
 hot key only the window runs. ``dedup_first`` keeps one row per key through a
-``min`` aggregate, which partial aggregation already makes skew-safe.
+``min`` aggregate over rows dealt by key; hot keys are aggregated where their rows lie first.
+
+Rows dealt by key go to as many tasks as their counted number asks for, so that what
+a task sorts does not grow with the input and nothing is spilled.
 
 The sort struct compares like ``ORDER BY o1 NULLS LAST, …`` and then every
 other column, so results do not depend on partitioning or arrival order. Maps
@@ -37,8 +40,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketflow.session import tasks_for
+
 # Bytes reckoned for a broadcast key besides its text.
 KEY_OVERHEAD_BYTES = 48
+# Hot keys up to which they are broadcast when one row of each is kept.
+MAX_HOT_KEYS = 100_000
 
 
 def _q(name: str) -> Column:
@@ -101,17 +108,21 @@ def hot_threshold(total: int, hot_over: int, max_hot_keys: int, n_hot: int) -> i
 
 
 def key_census(df: DataFrame, key: str) -> DataFrame:
-    return (df.where(_q(key).isNotNull()).groupBy(_q(key).alias("__hk"))
-            .agg(F.count(F.lit(1)).alias("__n")))
+    """Rows of every key; those without a key are one group, ``__hk`` NULL."""
+    return df.groupBy(_q(key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
 
 
-def _cold_flags(df: DataFrame, key: str, order: Sequence[str], flag: str) -> DataFrame:
+def _cold_flags(df: DataFrame, key: str, order: Sequence[str], flag: str, rows: int) -> DataFrame:
     """Window flag. NULL keys are never repeats; they are spread over tasks by
-    a content hash instead of forming one NULL group."""
+    a content hash instead of forming one NULL group. ``rows`` of ``df`` decide
+    over how many tasks they are dealt."""
     k = _q(key)
     spread = F.when(k.isNull(), F.xxhash64(*[_comparable(f) for f in df.schema.fields]))
-    w = Window.partitionBy(k.isNull(), spread, k).orderBy(*_window_order(df, order))
-    return df.withColumn(flag, k.isNotNull() & (F.row_number().over(w) > 1))
+    # computed once, as columns, so that the window finds the rows dealt as it needs them
+    dealt = (df.withColumns({"__null": k.isNull(), "__spread": spread})
+             .repartition(tasks_for(df.sparkSession, rows), F.col("__null"), F.col("__spread"), k))
+    w = Window.partitionBy("__null", "__spread", k).orderBy(*_window_order(df, order))
+    return dealt.withColumn(flag, k.isNotNull() & (F.row_number().over(w) > 1)).drop("__null", "__spread")
 
 
 def _hot_flags(df: DataFrame, key: str, order: Sequence[str], flag: str,
@@ -161,12 +172,14 @@ def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
     if keep is not None:
         census = keep(census, "key_census")
     key_bytes = F.octet_length(F.col("__hk").cast("string")) + F.lit(KEY_OVERHEAD_BYTES)
-    st = census.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total"),
-                    F.count_if(F.col("__n") > 1).alias("repeated"),
-                    F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("rep_rows"),
-                    F.coalesce(F.sum(F.when(F.col("__n") > 1, key_bytes)), F.lit(0)).alias("rep_bytes"),
-                    F.count_if(F.col("__n") > hot_over).alias("hot")).first()
-    total, n_rep, n_hot = int(st["total"]), int(st["repeated"]), int(st["hot"])
+    n = F.when(F.col("__hk").isNotNull(), F.col("__n"))  # rows without a key are in no group
+    st = census.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(n), F.lit(0)).alias("total"),
+                    F.count_if(n > 1).alias("repeated"),
+                    F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("rep_rows"),
+                    F.coalesce(F.sum(F.when(n > 1, key_bytes)), F.lit(0)).alias("rep_bytes"),
+                    F.count_if(n > hot_over).alias("hot")).first()
+    census = census.where(F.col("__hk").isNotNull())
+    rows, total, n_rep, n_hot = int(st["rows"]), int(st["total"]), int(st["repeated"]), int(st["hot"])
     if n_rep == 0:
         return df.withColumn(flag, F.lit(False))
     limit = hot_threshold(total, hot_over, max_hot_keys, n_hot)
@@ -177,39 +190,55 @@ def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
         singles = df.join(rep, _q(key) == F.col("__hk"), "left_anti").withColumn(flag, F.lit(False))
         repeated = df.join(rep, _q(key) == F.col("__hk"), "inner")
         cold = repeated.where(~F.col("__hot")).drop("__hk", "__hot")
-        out = singles.unionByName(_cold_flags(cold, key, order, flag))
+        out = singles.unionByName(_cold_flags(cold, key, order, flag, int(st["rep_rows"])))
         if n_hot:
             hot = repeated.where(F.col("__hot")).drop("__hk", "__hot")
             out = out.unionByName(_hot_flags(hot, key, order, flag, chunk_rows))
         return out
     if n_hot == 0:
-        return _cold_flags(df, key, order, flag)
+        return _cold_flags(df, key, order, flag, rows)
     hot_keys = census.where(F.col("__n") > limit).select("__hk")
     if int(st["rep_bytes"]) <= broadcast_max_bytes:  # the hot keys are among the repeated ones
         hot_keys = F.broadcast(hot_keys)
     tagged = df.join(hot_keys, _q(key) == F.col("__hk"), "left")
     cold = tagged.where(F.col("__hk").isNull()).drop("__hk")
     hot = tagged.where(F.col("__hk").isNotNull()).drop("__hk")
-    return _cold_flags(cold, key, order, flag).unionByName(
+    return _cold_flags(cold, key, order, flag, rows).unionByName(
         _hot_flags(hot, key, order, flag, chunk_rows))
 
 
-def dedup_first(df: DataFrame, key: str, order: Sequence[str], check_unique: bool = True) -> DataFrame:
+def dedup_first(df: DataFrame, key: str, order: Sequence[str], check_unique: bool = True,
+                hot_over: int = 1_000_000) -> DataFrame:
     """One row per key (NULL is a key too): the first in ``order``.
 
     A key census runs first (keys only, combined map-side): when no key
     occurs twice — e.g. after validation, which already rejected every
     repeat — the rows are returned as they are and never shuffled.
-    Otherwise ``min`` of the sort struct per key, from which the row is
-    rebuilt, is partially aggregated map-side, so a hot key is reduced to one
-    row per task before the shuffle.
+    Otherwise rows are dealt by key, over as many tasks as their number asks for, and
+    ``min`` of the sort struct per key, from which the row is rebuilt, is taken in each
+    task. Rows of hot keys (more than ``hot_over``) are partially aggregated map-side
+    instead, so that a hot key is reduced to one row per task before the shuffle.
+    ``check_unique=False`` is for rows that are dealt by key already.
     """
     check_orderable(df)
-    if check_unique:
-        k = _q(key)
-        st = (df.groupBy(k.alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
-              .agg(F.count_if(F.col("__n") > 1).alias("repeated")).first())
-        if st is None or int(st["repeated"] or 0) == 0:
-            return df
-    best = df.groupBy(_q(key).alias("__k")).agg(F.min(sort_struct(df, order)).alias("__s"))
-    return best.select(*from_sort_struct(df, order, "__s"))
+
+    def first_rows(rows: DataFrame) -> DataFrame:
+        best = rows.groupBy(_q(key).alias("__k")).agg(F.min(sort_struct(df, order)).alias("__s"))
+        return best.select(*from_sort_struct(df, order, "__s"))
+
+    if not check_unique:
+        return first_rows(df)
+    census = key_census(df, key)
+    st = census.agg(F.count_if(F.col("__n") > 1).alias("repeated"), F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+                    F.count_if(F.col("__n") > hot_over).alias("hot")).first()
+    if int(st["repeated"]) == 0:
+        return df
+    cold, hot = df, None
+    if int(st["hot"]):
+        hot_keys = census.where(F.col("__n") > hot_over).select("__hk")
+        if int(st["hot"]) <= MAX_HOT_KEYS:
+            hot_keys = F.broadcast(hot_keys)
+        same = _q(key).eqNullSafe(F.col("__hk"))
+        cold, hot = df.join(hot_keys, same, "left_anti"), df.join(hot_keys, same, "left_semi")
+    out = first_rows(cold.repartition(tasks_for(df.sparkSession, int(st["rows"])), _q(key)))
+    return out if hot is None else out.unionByName(first_rows(hot))
