@@ -74,3 +74,10 @@ def test_dedup_deals_rows_by_their_number_and_splits_hot_keys_off(spark, monkeyp
         out = DD.dedup_first(df, "k", ["o"], hot_over=hot_over)
         assert ", 13)" in _plan(out)
         assert sorted(map(tuple, out.collect()), key=repr) == sorted(want.values(), key=repr)
+
+
+def test_buckets_follow_the_rows():
+    assert BK.buckets_for(0, 8) == BK.buckets_for(8 * ROWS_PER_TASK, 8) == 8
+    assert BK.buckets_for(8 * ROWS_PER_TASK + 1, 8) == 16
+    assert BK.buckets_for(216_000_000, 8) == 1024
+    assert BK.buckets_for(10 ** 15, 8) <= BK.MAX_BUCKETS

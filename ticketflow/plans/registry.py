@@ -421,16 +421,18 @@ def q_dedup_raw_requests(spark, sf):
 
 def q_bucketed_dedup(spark, sf):
     """The same from a table bucketed by key."""
-    raw = BK.save_bucketed(_st(spark, sf).raw, f"raw_{uuid.uuid4().hex[:8]}", "unique_key", BUCKETS)
+    raw = _st(spark, sf).raw
+    raw = BK.save_bucketed(raw, f"raw_{uuid.uuid4().hex[:8]}", "unique_key", BK.buckets_for(raw.count(), BUCKETS))
     return BK.dedup_bucketed(raw, "unique_key", TD.TESTDATA_SETTINGS.order_columns).select(*RAW_TEXT)
 
 
 def q_bucketed_key_join(spark, sf):
     """Raw rows of every curated request, by category: two bucketed tables joined by key."""
     st = _st(spark, sf)
-    raw = BK.save_bucketed(st.raw.select("unique_key"), f"keys_{uuid.uuid4().hex[:8]}", "unique_key", BUCKETS)
+    buckets = BK.buckets_for(st.raw.count(), BUCKETS)
+    raw = BK.save_bucketed(st.raw.select("unique_key"), f"keys_{uuid.uuid4().hex[:8]}", "unique_key", buckets)
     curated = BK.save_bucketed(st.curated.select("unique_key", "complaint_category"), f"curated_{uuid.uuid4().hex[:8]}",
-                               "unique_key", BUCKETS)
+                               "unique_key", buckets)
     return (BK.join_bucketed(raw, curated, "unique_key").groupBy("complaint_category")
             .agg(F.count(F.lit(1)).alias("raw_rows")))
 

@@ -2,8 +2,8 @@
 
 Rows of a key lie in one bucket file of a catalog table, sorted by key. Aggregates
 and joins by that key between tables of the same number of buckets then read their
-buckets side by side, once written. A bucket is the unit of work, so this
-storage is for keys that are meant to be unique, not for keys that hold a large share of the rows.
+buckets side by side, once written. A bucket is the unit of work, so their number
+follows that of the rows (``buckets_for``), and this storage is for keys that are meant to be unique, not for keys that hold a large share of the rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketflow.operators.dedup import dedup_first
-from ticketflow.session import on_exit, scratch_path
+from ticketflow.session import ROWS_PER_TASK, on_exit, scratch_path
 
 _DATABASES: dict[str, str] = {}
 
@@ -31,6 +31,21 @@ def _database(spark: SparkSession) -> str:
     return _DATABASES[app]
 
 
+# Spark's own limit (spark.sql.sources.bucketing.maxBuckets).
+MAX_BUCKETS = 100_000
+
+
+def buckets_for(rows: int, at_least: int, rows_per_bucket: int = ROWS_PER_TASK) -> int:
+    """Buckets that hold about ``rows_per_bucket`` rows each: ``at_least``, doubled as often as needed.
+
+    Numbers of this form divide each other, and tables of one number are joined without an exchange.
+    """
+    n = at_least
+    while n * rows_per_bucket < rows and n * 2 <= MAX_BUCKETS:
+        n *= 2
+    return n
+
+
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, database: str | None = None) -> DataFrame:
     """Write ``df`` as a table of ``buckets`` buckets sorted by ``key`` and read it back.
 
