@@ -81,3 +81,18 @@ def test_buckets_follow_the_rows():
     assert BK.buckets_for(8 * ROWS_PER_TASK + 1, 8) == 16
     assert BK.buckets_for(216_000_000, 8) == 1024
     assert BK.buckets_for(10 ** 15, 8) <= BK.MAX_BUCKETS
+
+
+def test_pages_are_put_together_without_a_shuffle(spark):
+    text = [None, "é,]", 'a "q"\n', ""]
+    df = spark.range(0, 1000, 1, 3).select(F.col("id").cast("string").alias("unique_key"), F.array(*map(F.lit, text))[
+        (F.col("id") % 4).cast("int")].alias("a.b"))
+    path = scratch_path(spark, "t_dealt").removeprefix("file:")
+    PG.land_pages(df, path, page_size=60, file_rows=120)
+    pages = spark.read.text(path).select(F.from_json("value", "array<map<string,string>>").alias("p"), F.input_file_name().alias("f"))
+    sizes = [r.n for r in pages.select(F.size("p").alias("n")).collect()]
+    assert sum(sizes) == 1000 and max(sizes) == 60 and len(sizes) == 18  # 333 or 334 rows a task: 5 pages and a rest
+    assert pages.groupBy("f").count().agg(F.max("count")).first()[0] == 2
+    assert {os.path.splitext(n)[1] for n in os.listdir(path) if n.startswith("part-")} == {".gz"}
+    back = spark.read.schema(df.schema).json(path)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)

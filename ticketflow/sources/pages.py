@@ -11,13 +11,15 @@ filters where they are on stored columns.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketflow.arrow import map_arrow
 from ticketflow.functions.timecols import parse_ts
 
 
@@ -99,23 +101,40 @@ def resume_cursor(landed: DataFrame, order: Sequence[Column], report: Sequence[s
         *[F.col(f"m.r{i}").alias(f"last_{c}") for i, c in enumerate(report)], "rows_written")
 
 
-def land_pages(df: DataFrame, path: str, page_size: int) -> None:
-    """Write rows as JSON pages: one JSON array of up to ``page_size`` rows per line.
+# Rows of the pages that share a file: a compressed file is read by one task.
+FILE_ROWS = 250_000
 
-    A page is ``page_size`` consecutive rows of one input partition (its
-    position from ``monotonically_increasing_id``, fixed for a given scan),
-    so every page — one ``collect_list`` — is bounded by the page size,
-    whatever the key distribution or the number of identical copies. A task
-    writes all its pages to one file, so the number of files is that of tasks
-    and the files split at line ends when read.
+
+def _page_lines(page_size: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[dict]]:
+    """JSON texts of rows to JSON arrays of ``page_size`` consecutive ones (the last of fewer)."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        held: list[str] = []
+        for batch in batches:
+            rows = batch.column(0).to_pylist()
+            at = 0
+            while at < len(rows):
+                more = rows[at:at + page_size - len(held)]
+                held, at = [*held, *more], at + len(more)
+                if len(held) == page_size:
+                    yield {"value": [f"[{','.join(held)}]"]}
+                    held = []
+        if held:
+            yield {"value": [f"[{','.join(held)}]"]}
+
+    return run
+
+
+def land_pages(df: DataFrame, path: str, page_size: int, file_rows: int = FILE_ROWS) -> None:
+    """Write rows as JSON pages: one JSON array of up to ``page_size`` rows per line, gzip-compressed.
+
+    A page is ``page_size`` consecutive rows of one input partition, put together in the
+    task that reads them, so nothing is shuffled or sorted and a task holds one page,
+    whatever the key distribution or the number of identical copies. A file has
+    ``file_rows`` rows or one page, so its share of a later scan is bounded too.
     """
-    pid = F.spark_partition_id().cast("long")
-    pos = F.monotonically_increasing_id() - F.shiftleft(pid, 33)
-    page = F.concat_ws("-", pid, F.floor(pos / F.lit(page_size)))
-    (df.withColumn("page", page)
-       .groupBy("page").agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns])))
-                            .alias("value"))
-       .select("value").write.mode("overwrite").text(path))
+    rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))
+    (map_arrow(rows, _page_lines(page_size), "value string").write.mode("overwrite")
+     .option("maxRecordsPerFile", max(1, file_rows // page_size)).option("compression", "gzip").text(path))
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType,
