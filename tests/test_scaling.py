@@ -83,6 +83,14 @@ def test_buckets_follow_the_rows():
     assert BK.buckets_for(10 ** 15, 8) <= BK.MAX_BUCKETS
 
 
+def test_damaged_rows_are_counted_both_ways_in_one_shuffle(spark):
+    src = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c"), (4, "d")], "k int, v string")
+    copy = spark.createDataFrame([(1, "a"), (2, None), (2, None), (3, None), (4, "d")], "k int, v string")
+    out = FS._bag_difference(src, copy)
+    assert _plan(out).count("Exchange hashpartitioning") == 1
+    assert tuple(out.first()) == (src.exceptAll(copy).count(), copy.exceptAll(src).count()) == (2, 2)
+
+
 def test_pages_are_put_together_without_a_shuffle(spark):
     text = [None, "é,]", 'a "q"\n', ""]
     df = spark.range(0, 1000, 1, 3).select(F.col("id").cast("string").alias("unique_key"), F.array(*map(F.lit, text))[

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ticketflow.functions.numeric import nan_to_null
 from ticketflow.operators.hash_tree import BUCKETS, compare_trees, hash_tree
 from ticketflow.operators.onerow import side_by_side
-from ticketflow.session import path_exists, scratch_path
+from ticketflow.session import ROWS_PER_TASK, path_exists, scratch_path, sized_shuffles
 
 # CSV options that keep text exactly (outer spaces, embedded quotes/newlines).
 CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
@@ -113,8 +113,21 @@ def reconcile_copy(src: DataFrame, copy: DataFrame, compare_rows: bool = False,
     """Counts and row-content differences (bag semantics) of a copy, one row.
 
     Both sides get a hash tree (one aggregate scan each, see ``hash_tree``); counts come
-    from the roots. Only rows of leaves that differ are compared with
-    ``exceptAll`` both ways, so a copy with few damaged rows costs little more than
+def _bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row: ``missing_rows`` of ``left`` and ``extra_rows`` of ``right``, each row as often as it has no partner.
+
+    Both counts of the ``exceptAll`` of either side come from one shuffle of the rows.
+    """
+    n = "__copies"
+    both = left.withColumn(n, F.lit(1).cast("long")).union(right.withColumn(n, F.lit(-1).cast("long")))
+    more = F.col(n)
+    per_row = both.groupBy(*[F.col(f"`{c}`") for c in left.columns]).agg(F.sum(n).alias(n))
+    return per_row.agg(F.coalesce(F.sum(F.when(more > 0, more)), F.lit(0)).cast("long").alias("missing_rows"),
+                       F.coalesce(F.sum(F.when(more < 0, -more)), F.lit(0)).cast("long").alias("extra_rows"))
+
+
+    from the roots. Only rows of leaves that differ are compared, with their numbers of
+    copies, in one aggregate for both ways, so a copy with few damaged rows costs little more than
     the two scans. ``key`` keeps an altered row in the leaf of its original,
     ``partition_by`` makes differing partitions filters of the scan.
     Equal sums of different rows are possible but improbable; ``compare_rows``
@@ -124,15 +137,18 @@ def reconcile_copy(src: DataFrame, copy: DataFrame, compare_rows: bool = False,
     copy = copy.select(*[F.col(f"`{c}`") for c in cols])
     keep = _kept(spark, "hash-leaves")
     trees = [hash_tree(df, key, partition_by, buckets, keep) for df in (src, copy)]
-    counts = [t.leaves.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias(n))
-              for t, n in zip(trees, ("source_rows", "copy_rows"))]
+    one = side_by_side([t.leaves.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias(n))
+                        for t, n in zip(trees, ("source_rows", "copy_rows"))])
     if compare_rows:
         left, right = src, copy
     else:
         found = compare_trees(*trees, keep)
         left, right = (found.rows(src), found.rows(copy)) if found else (src.limit(0), copy.limit(0))
-    one = side_by_side([*counts, left.exceptAll(right).agg(F.count(F.lit(1)).alias("missing_rows")),
-                        right.exceptAll(left).agg(F.count(F.lit(1)).alias("extra_rows"))])
+    # the counts bound the rows that are compared
+    rows = one.agg((F.sum("source_rows") + F.sum("copy_rows")).alias("n")).first()["n"]
+    with sized_shuffles(spark, -(-rows // ROWS_PER_TASK)):
+        differing = _kept(spark, "differing-rows")(_bag_difference(left, right))
+    one = side_by_side([one, differing])
     return one.withColumn("match", (F.col("source_rows") == F.col("copy_rows"))
                           & (F.col("missing_rows") == 0) & (F.col("extra_rows") == 0))
 
