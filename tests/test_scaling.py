@@ -104,3 +104,12 @@ def test_pages_are_put_together_without_a_shuffle(spark):
     assert {os.path.splitext(n)[1] for n in os.listdir(path) if n.startswith("part-")} == {".gz"}
     back = spark.read.schema(df.schema).json(path)
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_compressed_csv_reads_back_in_bounded_files(spark, monkeypatch):
+    monkeypatch.setattr(FS, "ROWS_PER_TASK", 10)
+    df = spark.range(35).select(*[(F.col("id").cast("string") if c == "unique_key" else F.lit("x, y")).alias(c) for c in R.RAW_COLUMNS])
+    path = scratch_path(spark, "t_gz").removeprefix("file:")
+    FS.write_csv(df.coalesce(1), path, compression="gzip")
+    assert sum(n.endswith(".csv.gz") and n.startswith("part-") for n in os.listdir(path)) == 4
+    assert sorted(map(tuple, R.read_raw_csv(spark, path).collect())) == sorted(map(tuple, df.collect()))

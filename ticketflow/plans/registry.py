@@ -98,7 +98,7 @@ def q_raw_scan(spark, sf):
 def q_csv_roundtrip(spark, sf):
     raw = _st(spark, sf).raw.select(*RAW_TEXT)
     path = scratch_path(spark, "raw_csv")
-    FS.write_csv(raw, path)
+    FS.write_csv(raw, path, compression="gzip")
     return R.read_raw_csv(spark, path)
 
 

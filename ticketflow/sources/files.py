@@ -28,12 +28,16 @@ SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False,
-              single_file_rows: int = SINGLE_FILE_ROWS) -> None:
+              single_file_rows: int = SINGLE_FILE_ROWS, compression: str | None = None) -> None:
     """CSV with header, overwrite. ``single_file`` (for small marts handed to
     a BI tool) writes one file if the counted rows are within the bound;
-    larger frames stay several files."""
+    larger frames stay several files. ``compression`` (such as ``gzip``) is for large
+    landings: files of at most ``ROWS_PER_TASK`` rows, as each is then read by one task."""
     out = df.coalesce(1) if single_file and df.count() <= single_file_rows else df
-    out.write.mode("overwrite").options(**CSV_WRITE).csv(path)
+    w = out.write.mode("overwrite").options(**CSV_WRITE)
+    if compression:
+        w = w.option("compression", compression).option("maxRecordsPerFile", ROWS_PER_TASK)
+    w.csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
