@@ -91,6 +91,20 @@ def test_damaged_rows_are_counted_both_ways_in_one_shuffle(spark):
     assert tuple(out.first()) == (src.exceptAll(copy).count(), copy.exceptAll(src).count()) == (2, 2)
 
 
+def test_split_does_not_sort_rows_by_side(spark):
+    path, name = scratch_path(spark, "t_open").removeprefix("file:"), "spark.sql.maxConcurrentOutputFileWriters"
+    spark.sql(f"CREATE TABLE t_open_writers (v STRING, part STRING) USING CSV PARTITIONED BY (part) LOCATION '{path}'")
+    try:
+        write = "EXPLAIN INSERT INTO t_open_writers SELECT CAST(id AS STRING), CAST(id % 2 AS STRING) FROM range(9)"
+        old = spark.conf.get(name)
+        assert "Sort" in spark.sql(write).first()[0]
+        with FS._open_writers(spark, len(FS.PARTS) + 1):
+            assert "Sort" not in spark.sql(write).first()[0]
+        assert spark.conf.get(name) == old
+    finally:
+        spark.sql("DROP TABLE t_open_writers")
+
+
 def test_pages_are_put_together_without_a_shuffle(spark):
     text = [None, "é,]", 'a "q"\n', ""]
     df = spark.range(0, 1000, 1, 3).select(F.col("id").cast("string").alias("unique_key"), F.array(*map(F.lit, text))[

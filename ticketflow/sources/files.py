@@ -5,7 +5,8 @@ catalog tables over existing Parquet, and the serving-table load.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -112,11 +113,6 @@ def _kept(spark: SparkSession, name: str):
     return keep
 
 
-def reconcile_copy(src: DataFrame, copy: DataFrame, compare_rows: bool = False, key: Sequence[str] = (),
-                   partition_by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
-    """Counts and row-content differences (bag semantics) of a copy, one row.
-
-    Both sides get a hash tree (one aggregate scan each, see ``hash_tree``); counts come
 def _bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: ``missing_rows`` of ``left`` and ``extra_rows`` of ``right``, each row as often as it has no partner.
 
@@ -130,6 +126,11 @@ def _bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
                        F.coalesce(F.sum(F.when(more < 0, -more)), F.lit(0)).cast("long").alias("extra_rows"))
 
 
+def reconcile_copy(src: DataFrame, copy: DataFrame, compare_rows: bool = False, key: Sequence[str] = (),
+                   partition_by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+    """Counts and row-content differences (bag semantics) of a copy, one row.
+
+    Both sides get a hash tree (one aggregate scan each, see ``hash_tree``); counts come
     from the roots. Only rows of leaves that differ are compared, with their numbers of
     copies, in one aggregate for both ways, so a copy with few damaged rows costs little more than
     the two scans. ``key`` keeps an altered row in the leaf of its original,
@@ -178,12 +179,25 @@ def serving_load(spark: SparkSession, df: DataFrame, columns: Sequence[str], pat
 PARTS = ("valid", "rejected")
 
 
+@contextmanager
+def _open_writers(spark: SparkSession, n: int) -> Iterator[None]:
+    """Tasks of partitioned writes run inside keep fewer than ``n`` files open instead of sorting their rows by partition."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(old), n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def write_split(flagged: DataFrame, path: str, reasons_col: str = "_rejection_reasons") -> DataFrame:
     """Valid and rejected rows by one write, and the counts of the report observed in it.
 
     The rows go to ``part=valid`` and ``part=rejected`` under ``path`` as CSV with
     header, in one scan of ``flagged``; both keep the reason column, which is empty
-    for valid rows and left out when they are read (``read_split``). Returns the observed
+    for valid rows and left out when they are read (``read_split``). A task writes both
+    sides at once, so that its rows are not sorted by side. Returns the observed
     totals as one row (see ``quality.total_metrics``).
     """
     from ticketflow.operators.quality import total_metrics
@@ -193,7 +207,8 @@ def write_split(flagged: DataFrame, path: str, reasons_col: str = "_rejection_re
     rows = (flagged.observe(seen, *total_metrics())
             .drop(*[c for c in REJECTION_REASONS if c in flagged.columns])
             .withColumn("part", F.when(F.col(reasons_col) == "", F.lit(PARTS[0])).otherwise(F.lit(PARTS[1]))))
-    rows.write.mode("overwrite").options(**CSV_WRITE).partitionBy("part").csv(path)
+    with _open_writers(spark, len(PARTS) + 1):  # at this number a task begins to sort
+        rows.write.mode("overwrite").options(**CSV_WRITE).partitionBy("part").csv(path)
     return spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in seen.get.items()])
 
 
