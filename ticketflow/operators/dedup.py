@@ -19,8 +19,10 @@ therefore split off:
 
 When few keys repeat at all (keys are meant to be unique) and the measured
 bytes of the repeated keys are within a bound, these are broadcast and only
-their rows are shuffled; rows of single keys are settled where they are. With no
-hot key only the window runs. ``dedup_first`` keeps one row per key through a
+their rows are shuffled; rows of single keys are settled where they are. Where they
+are too many for that, filter bits of the repeated keys are broadcast instead, a
+few bits a key: rows whose bit is not set have a single key, and only the others, among
+them a few of single keys, are shuffled. With no hot key only the window runs. ``dedup_first`` keeps one row per key through a
 ``min`` aggregate over rows dealt by key; hot keys are aggregated where their rows lie first.
 
 Rows dealt by key go to as many tasks as their counted number asks for, so that what
@@ -34,6 +36,7 @@ is refused whatever the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,6 +49,13 @@ from ticketflow.session import tasks_for
 KEY_OVERHEAD_BYTES = 48
 # Hot keys up to which they are broadcast when one row of each is kept.
 MAX_HOT_KEYS = 100_000
+# Filter bits of repeated keys: bits in a block (a row of the broadcast), bits for a key where
+# there is room, bytes of memory that a block takes besides its bits, and the largest share of
+# rows left to shuffle for which reading the input twice pays.
+BLOCK_BITS = 1024
+BITS_PER_KEY = 8
+BLOCK_OVERHEAD_BYTES = 80
+MAX_LEFT_SHARE = 0.6
 
 
 def _q(name: str) -> Column:
@@ -112,6 +122,45 @@ def key_census(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(_q(key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
 
 
+def filter_blocks(repeated: int, max_bytes: int) -> int:
+    """Blocks of filter bits for so many keys, within ``max_bytes``."""
+    return min(-(-repeated * BITS_PER_KEY // BLOCK_BITS), max_bytes // (BLOCK_BITS // 8 + BLOCK_OVERHEAD_BYTES))
+
+
+def left_share(rows: int, rep_rows: int, repeated: int, blocks: int) -> float:
+    """Expected share of rows whose filter bit is set: those of repeated keys, and single keys that meet a bit of theirs."""
+    if not blocks:
+        return 1.0
+    return (rep_rows + (rows - rep_rows) * -math.expm1(-repeated / (blocks * BLOCK_BITS))) / rows
+
+
+def _hashes_as_it_groups(t: T.DataType) -> bool:
+    """Whether equal keys have equal hashes: not so for texts of a collation."""
+    return isinstance(t, T.IntegralType) or t == T.StringType()
+
+
+def split_by_bits(df: DataFrame, key: str, repeated: DataFrame, blocks: int, n_repeated: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose key has a filter bit of the keys ``__hk`` of ``repeated`` set, and the others.
+
+    Every row of these keys is among the first; rows without a key are among the others.
+    A key's bit is in one of ``blocks`` blocks, of words of 64 bits.
+    """
+    def placed(rows: DataFrame, c: Column) -> DataFrame:
+        place = F.pmod(F.xxhash64(c), F.lit(blocks * BLOCK_BITS))
+        return rows.withColumns({"__block": F.floor(place / BLOCK_BITS), "__word": F.floor(place % BLOCK_BITS / 64).cast("int"),
+                                 "__bit": (place % 64).cast("int")})
+
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    words = [F.coalesce(F.bit_or(F.when(F.col("__word") == i, F.call_function("shiftleft", one, F.col("__bit")))), none)
+             for i in range(BLOCK_BITS // 64)]
+    # dealt by block first: else a task would send a row of words for almost every key
+    bits = (placed(repeated, F.col("__hk")).select(F.col("__block").alias("__of"), "__word", "__bit")
+            .repartition(tasks_for(df.sparkSession, n_repeated), "__of").groupBy("__of").agg(F.array(*words).alias("__words")))
+    seen = placed(df, _q(key)).join(F.broadcast(bits), F.col("__block") == F.col("__of"), "left")  # bounded by ``blocks``
+    is_set = _q(key).isNotNull() & F.coalesce(F.getbit(F.get("__words", F.col("__word")), F.col("__bit")) == 1, F.lit(False))
+    return seen.where(is_set).select(*[_q(c) for c in df.columns]), seen.where(~is_set).select(*[_q(c) for c in df.columns])
+
+
 def _cold_flags(df: DataFrame, key: str, order: Sequence[str], flag: str, rows: int) -> DataFrame:
     """Window flag. NULL keys are never repeats; they are spread over tasks by
     a content hash instead of forming one NULL group. ``rows`` of ``df`` decide
@@ -145,6 +194,18 @@ def _hot_flags(df: DataFrame, key: str, order: Sequence[str], flag: str,
     return repeats.unionByName(regen)
 
 
+def _window_flags(df: DataFrame, key: str, order: Sequence[str], flag: str, rows: int, chunk_rows: int,
+                  hot_keys: DataFrame | None) -> DataFrame:
+    """Flags of rows that go through the window, those of ``hot_keys`` (if any) split off."""
+    if hot_keys is None:
+        return _cold_flags(df, key, order, flag, rows)
+    tagged = df.join(hot_keys, _q(key) == F.col("__hk"), "left")
+    cold = tagged.where(F.col("__hk").isNull()).drop("__hk")
+    hot = tagged.where(F.col("__hk").isNotNull()).drop("__hk")
+    return _cold_flags(cold, key, order, flag, rows).unionByName(
+        _hot_flags(hot, key, order, flag, chunk_rows))
+
+
 def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
                  hot_over: int = 1_000_000, max_hot_keys: int = 100_000,
                  chunk_rows: int = 100_000, max_repeated_keys: int = 1_000_000,
@@ -165,6 +226,9 @@ def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
       rows of single keys are settled without a shuffle and only rows of
       repeated keys go through the window / hot-key paths. This reads the
       input twice, so it is chosen only when it spares most of the shuffle;
+    * filter bits of the repeated keys, of at most ``broadcast_max_bytes``, are expected
+      to leave at most ``MAX_LEFT_SHARE`` of the rows: the others are settled without a
+      shuffle, these go through the window / hot-key paths;
     * otherwise every row goes through the window, hot keys split off.
     """
     check_orderable(df)
@@ -195,16 +259,18 @@ def flag_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str,
             hot = repeated.where(F.col("__hot")).drop("__hk", "__hot")
             out = out.unionByName(_hot_flags(hot, key, order, flag, chunk_rows))
         return out
-    if n_hot == 0:
-        return _cold_flags(df, key, order, flag, rows)
-    hot_keys = census.where(F.col("__n") > limit).select("__hk")
-    if int(st["rep_bytes"]) <= broadcast_max_bytes:  # the hot keys are among the repeated ones
-        hot_keys = F.broadcast(hot_keys)
-    tagged = df.join(hot_keys, _q(key) == F.col("__hk"), "left")
-    cold = tagged.where(F.col("__hk").isNull()).drop("__hk")
-    hot = tagged.where(F.col("__hk").isNotNull()).drop("__hk")
-    return _cold_flags(cold, key, order, flag, rows).unionByName(
-        _hot_flags(hot, key, order, flag, chunk_rows))
+    hot_keys = None
+    if n_hot:
+        hot_keys = census.where(F.col("__n") > limit).select("__hk")
+        if int(st["rep_bytes"]) <= broadcast_max_bytes:  # the hot keys are among the repeated ones
+            hot_keys = F.broadcast(hot_keys)
+    blocks = filter_blocks(n_rep, broadcast_max_bytes)
+    left = left_share(rows, int(st["rep_rows"]), n_rep, blocks)
+    if left <= MAX_LEFT_SHARE and _hashes_as_it_groups(df.schema[key].dataType):
+        maybe, single = split_by_bits(df, key, census.where(F.col("__n") > 1), blocks, n_rep)
+        flagged = _window_flags(maybe, key, order, flag, math.ceil(left * rows), chunk_rows, hot_keys)
+        return single.withColumn(flag, F.lit(False)).unionByName(flagged)
+    return _window_flags(df, key, order, flag, rows, chunk_rows, hot_keys)
 
 
 def dedup_first(df: DataFrame, key: str, order: Sequence[str], check_unique: bool = True,

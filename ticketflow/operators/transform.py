@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ticketflow.functions.text import upper_trim
 from ticketflow.functions.timecols import parse_ts, resolution_days, resolution_hours
 from ticketflow.operators.dedup import dedup_first
-from ticketflow.operators.joins import broadcast_if_small
+from ticketflow.operators.joins import broadcast_if_small, estimated_bytes
 from ticketflow.settings import DEFAULT_SETTINGS, MISSING_FILL, PipelineSettings
 
 DERIVED_COLUMNS = ("resolution_hours", "resolution_days", "created_year", "created_month",
@@ -64,6 +64,18 @@ def add_derived(df: DataFrame) -> DataFrame:
     })
 
 
+def with_month(df: DataFrame) -> DataFrame:
+    """The calendar columns by which curated rows are partitioned, of rows whose dates are still text."""
+    created = parse_ts("created_date")
+    return df.withColumns({"created_year": F.year(created), "created_month": F.month(created)})
+
+
+def dimensions_fit(dims: Sequence[DataFrame], settings: PipelineSettings = DEFAULT_SETTINGS) -> bool:
+    """Whether all of them are broadcast, so that enriched rows stay where they are."""
+    sizes = [estimated_bytes(d) for d in dims]
+    return all(n is not None and n <= settings.broadcast_max_bytes for n in sizes)
+
+
 def enrich_requests(df: DataFrame, dim_agency: DataFrame, dim_complaint_type: DataFrame,
                     dim_borough: DataFrame, settings: PipelineSettings = DEFAULT_SETTINGS) -> DataFrame:
     """Left joins to the three dimensions (ids, canonical agency name, category).

@@ -19,7 +19,7 @@ import hashlib
 import uuid
 from dataclasses import fields
 from functools import cached_property
-from typing import Callable
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ from ticketflow.operators import dims as D
 from ticketflow.operators import quality as Q
 from ticketflow.operators import transform as T
 from ticketflow.plans import marts as M
-from ticketflow.session import scratch_path, sized_shuffles
+from ticketflow.session import released_shuffles, scratch_path, sized_shuffles
 from ticketflow.settings import DEFAULT_SETTINGS, PipelineSettings
 from ticketflow.sources import testdata as TD
 
@@ -40,29 +40,45 @@ LANDING_TS = "_created_ts"
 HANDOVERS = ("raw", "dim_value_counts", "dimensions", "flagged", "curated", "monthly", "daily")
 _PROPERTIES = {"raw": "landed", "dim_value_counts": "value_counts", "dimensions": "_dimensions"}
 
+# Codec of tables that only the stages themselves read.
+SCRATCH_CODEC = "zstd"
 
-def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
+
+def write_table(df: DataFrame | Sequence[DataFrame], name: str, partition_by: tuple[str, ...] = (),
                 counts: dict | None = None, path: str | None = None,
-                paths: dict | None = None) -> DataFrame:
+                paths: dict | None = None, compression: str | None = None,
+                widen: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Write ``df`` as Parquet (under the checkpoint directory unless ``path``
     is given) and read it back; the row count is observed during the write.
+    What the write shuffled is deleted when it ends, so that the disk holds the
+    tables and the shuffles of one stage, not of all. ``compression`` is the codec of
+    the files (default: the session's). ``widen`` is applied to the dealt rows, so that
+    columns it adds are not shuffled; it must not deal them anew. Several frames are
+    the parts of one table, written one after the other.
 
     A partitioned write is rebalanced first: AQE cuts the data into
     advisory-size tasks per partition value (splitting big months, merging
     small ones), so files are neither tiny nor one-per-month giants.
     """
-    spark = df.sparkSession
+    parts = [df] if isinstance(df, DataFrame) else df
+    spark, rows = parts[0].sparkSession, 0
     path = path or scratch_path(spark, name)
-    obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    for i, part in enumerate(parts):
+        obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
+        if partition_by:
+            part = part.hint("rebalance", *partition_by)
+        if widen is not None:
+            part = widen(part)
+        w = part.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append" if i else "overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        if compression:
+            w = w.option("compression", compression)
+        with released_shuffles(spark):
+            w.parquet(path)
+        rows += int(obs.get["rows"])
     if counts is not None:
-        counts[name] = int(obs.get["rows"])
+        counts[name] = rows
     if paths is not None:
         paths[name] = path
     return spark.read.parquet(path)
@@ -73,14 +89,15 @@ class Stages:
 
     A query thus pays for the stages it reads and for no others; ``build`` makes all.
     ``counts`` and ``paths`` (rows written, counted by Observations, and place of each
-    stage) are filled as stages are written.
+    stage) are filled as stages are written. ``raw`` may be given in parts, which ``keep``
+    then writes one after the other.
     """
 
-    def __init__(self, raw: DataFrame, refs: dict | None, settings: PipelineSettings,
-                 keep: Callable[[DataFrame, str, tuple], DataFrame] | None = None,
+    def __init__(self, raw: DataFrame | Sequence[DataFrame], refs: dict | None, settings: PipelineSettings,
+                 keep: Callable[..., DataFrame] | None = None,
                  counts: dict | None = None, paths: dict | None = None):
         self._raw, self._refs, self.settings = raw, refs, settings
-        self._keep = keep or (lambda df, name, part=(): df)
+        self._keep = keep or (lambda df, name, part=(), widen=None: widen(df) if widen else df)
         self.counts, self.paths = counts, paths
 
     @cached_property
@@ -90,7 +107,9 @@ class Stages:
         landing also stores the parsed creation time, so date-range slices of
         it are filters the Parquet scan applies (row groups skipped by min/max);
         the stages themselves never read that column."""
-        return self._keep(self._raw.withColumn(LANDING_TS, parse_ts(F.col("created_date"))), "raw", ())
+        parts = [self._raw] if isinstance(self._raw, DataFrame) else self._raw
+        parts = [p.withColumn(LANDING_TS, parse_ts(F.col("created_date"))) for p in parts]
+        return self._keep(parts[0] if len(parts) == 1 else parts, "raw", ())
 
     @property
     def raw(self) -> DataFrame:
@@ -139,9 +158,16 @@ class Stages:
 
     @cached_property
     def curated(self) -> DataFrame:
-        # the duplicate flag left one valid row of each key
-        return self._keep(T.curate(self.valid, self.dim_agency, self.dim_complaint_type, self.dim_borough,
-                                   self.settings, known_unique=True), "curated", T.PARTITION_COLUMNS)
+        dims = (self.dim_agency, self.dim_complaint_type, self.dim_borough)
+
+        def curate(valid: DataFrame) -> DataFrame:
+            # the duplicate flag left one valid row of each key
+            return T.curate(valid, *dims, self.settings, known_unique=True)
+
+        if not T.dimensions_fit(dims, self.settings):  # their joins deal the rows
+            return self._keep(curate(self.valid), "curated", T.PARTITION_COLUMNS)
+        return self._keep(T.with_month(self.valid), "curated", T.PARTITION_COLUMNS,
+                          lambda df: curate(df.drop(*T.PARTITION_COLUMNS)))
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -163,10 +189,10 @@ class Stages:
         return self.paths[name]
 
 
-def compose(raw: DataFrame, refs: dict | None, settings: PipelineSettings,
-            keep: Callable[[DataFrame, str, tuple], DataFrame] | None = None,
+def compose(raw: DataFrame | Sequence[DataFrame], refs: dict | None, settings: PipelineSettings,
+            keep: Callable[..., DataFrame] | None = None,
             counts: dict | None = None, paths: dict | None = None) -> Stages:
-    """Wire the stages; ``keep`` (optional) materialises a named stage.
+    """Wire the stages; ``keep`` (optional) materialises a named stage (see ``write_table``).
 
     ``refs`` are the known agencies / complaint types / boroughs the quality
     rules check against; ``None`` means the dimensions built from this raw
@@ -196,8 +222,8 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_dir: str,
     counts: dict = {}
     paths: dict = {}
 
-    def keep(df: DataFrame, name: str, part: tuple = ()) -> DataFrame:
-        return write_table(df, name, part, counts, path=f"{base}/tables/{name}", paths=paths)
+    def keep(df: DataFrame, name: str, part: tuple = (), widen: Callable | None = None) -> DataFrame:
+        return write_table(df, name, part, counts, path=f"{base}/tables/{name}", paths=paths, widen=widen)
 
     raw, bad = R.read_raw_csv_checked(spark, raw_path, na_tokens=settings.na_tokens, multiline=multiline)
     st = compose(raw, refs, settings, keep, counts, paths).build()
@@ -266,11 +292,11 @@ def testdata_stages(spark: SparkSession, sf_dir: str, materialize: bool = True,
     paths: dict = {}
     tasks = TD.stage_tasks(spark, sf_dir)
 
-    def keep(df: DataFrame, name: str, part: tuple = ()) -> DataFrame:
+    def keep(df: DataFrame | Sequence[DataFrame], name: str, part: tuple = (), widen: Callable | None = None) -> DataFrame:
         with sized_shuffles(spark, tasks):
-            return write_table(df, name, part, counts, paths=paths)
+            return write_table(df, name, part, counts, paths=paths, compression=SCRATCH_CODEC, widen=widen)
 
-    st = compose(TD.raw_requests(spark, sf_dir), TD.reference_sets(spark, sf_dir), settings, keep, counts, paths)
+    st = compose(TD.raw_slices(spark, sf_dir), TD.reference_sets(spark, sf_dir), settings, keep, counts, paths)
     _CACHE[key] = st
     return st
 

@@ -133,6 +133,24 @@ def sized_shuffles(spark: SparkSession, tasks: int) -> Iterator[None]:
         spark.conf.set(name, old)
 
 
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of an action run inside are deleted when it ends, not when the driver happens to collect its garbage.
+
+    For actions whose result is written: nothing reads their shuffles again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, old)
+
+
 _SCRATCH: set[str] = set()
 
 

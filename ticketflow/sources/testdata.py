@@ -66,16 +66,34 @@ def stage_tasks(spark: SparkSession, sf_dir: str) -> int:
     return max(1, -(-size // BYTES_PER_TASK))
 
 
+# Bytes of stored orders and lines that are landed at once, and the most slices into which they are cut.
+BYTES_PER_SLICE = 256 * 1024 * 1024
+MAX_SLICES = 4
+
+
+def raw_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The raw requests in slices of order keys, to be landed one after the other.
+
+    The disk then holds the shuffles of one slice. Every slice reads the tables, so there are few of them.
+    """
+    size = sum(estimated_bytes(read_table(spark, sf_dir, t)) or 0 for t in ("orders", "lineitem"))
+    n = min(MAX_SLICES, max(1, -(-size // BYTES_PER_SLICE)))
+    return [raw_requests(spark, sf_dir, n, i) for i in range(n)]
+
+
 def iso_text(c) -> F.Column:
     return F.date_format(c, ISO_FORMAT)
 
 
-def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw request frame (all-string contract columns + typed order columns)."""
+def raw_requests(spark: SparkSession, sf_dir: str, slices: int = 1, at: int = 0) -> DataFrame:
+    """Raw request frame (all-string contract columns + typed order columns), or slice ``at`` of ``slices`` by order key."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
+    if slices > 1:  # rows without an order key are in one slice too
+        o, li = (df.where(F.pmod(F.xxhash64(F.col(k).cast("bigint")), F.lit(slices)) == at)
+                 for df, k in ((o, "o_orderkey"), (li, "l_orderkey")))
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = broadcast_if_small(read_table(spark, sf_dir, "nation")
                            .select("n_nationkey", "n_name", "n_regionkey"))
